@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 def list_tokens(value: Column) -> Column:
     """Tokens between commas, spaces around them and one leading `and ` removed; null has one empty token."""
     right_trimmed = F.regexp_replace(F.coalesce(value, F.lit("")), r" +(?=,|\z)", "")
-    return F.split(F.regexp_replace(right_trimmed, "(^|,) *(?:and )?", "$1"), ",")
+    return F.split(F.regexp_replace(right_trimmed, "(,|^) *(?:and )?", "$1"), ",")
 
 
 def loose_tokens(value: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.operators.quantiles import exact_quantiles, stack_columns
+from snapmart.operators.quantiles import exact_quantiles, stack_columns, stack_quantiles
 
 WHISKER = 1.5
 
@@ -29,12 +29,13 @@ def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """`by`, `column`, `median`, interpolated."""
-    return exact_quantiles(df, columns, [0.5], by).select(*by, "column", F.col("quantiles")[0].alias("median"))
+    middle = stack_quantiles(exact_quantiles(df, columns, [0.5], by), columns, by)
+    return middle.select(*by, "column", F.col("quantiles")[0].alias("median"))
 
 
 def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """`describe_table` with the interpolated quartiles `p25`, `p50`, `p75`."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
+    quartiles = stack_quantiles(exact_quantiles(df, columns, [0.25, 0.5, 0.75]), columns).select(
         "column",
         *[F.col("quantiles")[i].alias(name) for i, name in enumerate(["p25", "p50", "p75"])],
     )
@@ -43,10 +44,10 @@ def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _quartile_rows(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
-    """Interpolated quartiles on the driver: three numbers per column."""
-    rows = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).collect()
-    return {row["column"]: row["quantiles"] for row in rows}
+def _quartile_row(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
+    """Interpolated quartiles on the driver: three numbers per column that has values."""
+    row = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).first()
+    return {name: row[name] for name in columns if row[name] is not None}
 
 
 def _number(value: float | None) -> Column:
@@ -55,7 +56,7 @@ def _number(value: float | None) -> Column:
 
 def iqr_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, both Tukey bounds and the values outside them, one row per column."""
-    quartiles = _quartile_rows(df, columns)
+    quartiles = _quartile_row(df, columns)
     facts = []
     for name in columns:
         q1, median, q3 = quartiles.get(name, (None, None, None))
@@ -83,7 +84,7 @@ def iqr_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def boxplot_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whisker ends (furthest values within 1.5 quartile ranges) and the count beyond them."""
-    quartiles = {name: q for name, q in _quartile_rows(df, columns).items() if name in columns}
+    quartiles = _quartile_row(df, columns)
     present = [name for name in columns if name in quartiles]
     facts = []
     for name in present:

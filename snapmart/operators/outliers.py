@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.operators.quantiles import exact_quantiles, stack_columns
-from snapmart.operators.rows import all_of, within_bounds
+from snapmart.operators.quantiles import exact_quantiles, stack_quantiles
+from snapmart.operators.rows import all_of
 from snapmart.schemas import SNAPSHOT
 from snapmart.session import join_statistics, materialize
 
@@ -17,6 +17,24 @@ FENCE_FACTOR = 1.5
 FENCE_ACCURACY = 1000
 
 
+def _quartiles(df: DataFrame, columns: Sequence[str], by: Sequence[str], exact: bool) -> DataFrame:
+    """One row per group with the quartiles of each column: values of the column, not interpolated."""
+    if exact:
+        return exact_quantiles(df, columns, [0.25, 0.75], by, interpolate=False)
+    # One mergeable sketch per group and column, all in one pass.
+    return df.groupBy(*by).agg(
+        *[
+            F.percentile_approx(F.col(name).cast("double"), [0.25, 0.75], FENCE_ACCURACY).alias(name)
+            for name in columns
+        ]
+    )
+
+
+def _fence(quartiles: str, k: float) -> Column:
+    q1, q3 = F.col(quartiles)[0], F.col(quartiles)[1]
+    return q3 + k * (q3 - q1)
+
+
 def upper_fences(
     df: DataFrame,
     columns: Sequence[str],
@@ -24,26 +42,13 @@ def upper_fences(
     k: float = FENCE_FACTOR,
     exact: bool = False,
 ) -> DataFrame:
-    """`by`, `column`, `q1`, `q3`, `upper_fence` for every group and column that has values.
-
-    Quartiles are values of the column, not interpolated: from one mergeable sketch per group and
-    column, all in one pass, or exact.
-    """
-    if exact:
-        quartiles = exact_quantiles(df, columns, [0.25, 0.75], by, interpolate=False)
-    else:
-        sketches = [
-            F.struct(
-                F.percentile_approx(F.col(name).cast("double"), [0.25, 0.75], FENCE_ACCURACY).alias("quantiles")
-            ).alias(name)
-            for name in columns
-        ]
-        quartiles = stack_columns(df.groupBy(*by).agg(*sketches), columns, by).where(
-            F.col("quantiles").isNotNull()
-        )
-    q1, q3 = F.col("quantiles")[0], F.col("quantiles")[1]
-    return quartiles.select(
-        *by, "column", q1.alias("q1"), q3.alias("q3"), (q3 + k * (q3 - q1)).alias("upper_fence")
+    """`by`, `column`, `q1`, `q3`, `upper_fence` for every group and column that has values."""
+    return stack_quantiles(_quartiles(df, columns, by, exact), columns, by).select(
+        *by,
+        "column",
+        F.col("quantiles")[0].alias("q1"),
+        F.col("quantiles")[1].alias("q3"),
+        _fence("quantiles", k).alias("upper_fence"),
     )
 
 
@@ -55,21 +60,13 @@ def below_fences(
     exact: bool = False,
 ) -> DataFrame:
     """Rows with every column between 0 and its fence; all fences come from the unfiltered input."""
-    fences = upper_fences(df, columns, by, k, exact)
+    quartiles = _quartiles(df, columns, by, exact)
+    upper = {name: f"{name}_fence" for name in columns}
+    fences = quartiles.select(*by, *[_fence(name, k).alias(upper[name]) for name in columns])
     if not by:
-        # One row per fenced column: as literals they reach the scan.
-        found = {row["column"]: row["upper_fence"] for row in fences.collect()}
-        if len(found) < len(columns):
-            return df.where(F.lit(False))
-        return within_bounds(df, {name: (0, found[name]) for name in columns})
-    wide = materialize(
-        fences.groupBy(*by).agg(
-            *[F.max(F.when(F.col("column") == name, F.col("upper_fence"))).alias(_fence(name)) for name in columns]
-        )
-    )
-    inside = all_of(F.col(name).between(F.lit(0), F.col(_fence(name))) for name in columns)
-    return join_statistics(df, wide, by).where(inside).select(*df.columns)
-
-
-def _fence(name: str) -> str:
-    return f"{name}_fence"
+        # One row of numbers: as literals they reach the scan.
+        found = fences.first()
+        literals = {name: F.lit(found[upper[name]]).cast("double") for name in columns}
+        return df.where(all_of(F.col(name).between(F.lit(0), literals[name]) for name in columns))
+    inside = all_of(F.col(name).between(F.lit(0), F.col(upper[name])) for name in columns)
+    return join_statistics(df, materialize(fences), by).where(inside).select(*df.columns)

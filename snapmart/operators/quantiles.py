@@ -1,11 +1,11 @@
-"""Exact quantiles of many columns and groups, without gathering a group in one task.
-
-Spark's exact `percentile` keeps every distinct value of a group in one buffer. Here a sketch only
-tells where to look: around each wanted quantile it gives a narrow bracket. Counting then keeps the
-values inside the brackets and only a count for each stretch between them, so that map-side combining
-shrinks almost all rows to a few. The wanted ranks are looked up in the counts. Should a rank fall
-outside its bracket, the brackets are widened and the count repeated, so the result never depends on
-how good the sketch is.
+"""Exact quantiles of many columns and groups, without gathering a large group in one task.
+
+Spark's exact `percentile` keeps every distinct value of a group in one buffer, so it serves inputs
+that are checked to be small. Beyond that, a sketch tells where to look: around each wanted quantile it
+gives a narrow bracket. Counting then keeps the values inside the brackets and only a count for each
+stretch between them, so that map-side combining shrinks almost all rows to a few. The wanted ranks
+are looked up in the counts. Should a rank fall outside its bracket, the brackets are widened and the
+count repeated, so the result never depends on how good the sketch is.
 """
 
 from __future__ import annotations
@@ -15,10 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.session import join_statistics, materialize
+from snapmart.session import has_more_rows, join_statistics, materialize
 
-SKETCH_ACCURACY = 10_000
-BRACKET_WIDTHS = (0.001, 0.01, 1.0)
+# Rows times columns that the buffers of one task may hold, some 50 bytes each.
+BUFFERED_VALUES = 300_000
+# Share of the rows on either side of a quantile that its bracket should span; the sketch errs by a
+# quarter of the first one. The last one keeps everything.
+BRACKET_WIDTHS = (0.002, 0.02, 1.0)
+SKETCH_ACCURACY = 2_000
 BINS_PER_BRACKET = 1024
 SMALL_GROUP_ROWS = 10_000
 
@@ -29,28 +33,65 @@ def exact_quantiles(
     probabilities: Sequence[float],
     by: Sequence[str] = (),
     interpolate: bool = True,
+    buffered_values: int = BUFFERED_VALUES,
     small_group_rows: int = SMALL_GROUP_ROWS,
 ) -> DataFrame:
-    """One row per group and column that has values: `by`, `column`, `n`, `quantiles`.
+    """One row per group: `by` and, under the name of each column, the array of its quantiles.
 
-    Nulls and NaN are skipped. With `interpolate` a quantile lies between its two neighbours, without
-    it is the first value whose share of rows reaches the probability. The result is materialized.
+    Nulls and NaN are skipped; a column without values has null. With `interpolate` a quantile lies
+    between its two neighbours, without it is the first value whose share of rows reaches the
+    probability. Probabilities are given in ascending order.
     """
-    keys = [*by, "column"]
-    probabilities = sorted(probabilities)
     numbers = df.select(*by, *[_number(name) for name in columns])
+    if not has_more_rows(numbers, buffered_values // len(columns)):
+        return numbers.groupBy(*by).agg(
+            *[_buffered(name, probabilities, interpolate).alias(name) for name in columns]
+        )
+    long = _bracketed_quantiles(numbers, columns, probabilities, by, interpolate, small_group_rows)
+    return long.groupBy(*by).agg(
+        *[
+            F.any_value(F.when(F.col("column") == name, F.col("quantiles")), ignoreNulls=True).alias(name)
+            for name in columns
+        ]
+    )
+
+
+def stack_quantiles(wide: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """`by`, `column`, `quantiles`, one row per column that has values."""
+    rows = F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).alias("quantiles")) for name in columns])
+    return wide.select(*by, F.inline(rows)).where("quantiles is not null")
+
+
+def _number(name: str) -> Column:
+    return F.nullif(F.col(name).cast("double"), F.lit(float("nan"))).alias(name)
+
+
+def _buffered(name: str, probabilities: Sequence[float], interpolate: bool) -> Column:
+    if interpolate:
+        return F.percentile(name, list(probabilities))
+    first_to_reach = [f"percentile_disc({p}) within group (order by `{name}`)" for p in probabilities]
+    found = F.array(*[F.expr(text) for text in first_to_reach])
+    return F.when(F.count(name) > 0, found)
+
+
+def _bracketed_quantiles(
+    numbers: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    by: Sequence[str],
+    interpolate: bool,
+    small_group_rows: int,
+) -> DataFrame:
+    """`by`, `column`, `n`, `quantiles`, materialized."""
+    keys = [*by, "column"]
     for width in BRACKET_WIDTHS:
         brackets = materialize(_brackets(numbers, columns, probabilities, by, width, small_group_rows))
         counts = materialize(_bracket_counts(numbers, brackets, columns, by, len(probabilities)))
-        targets = materialize(_target_cells(counts, keys, probabilities, interpolate))
-        if targets.where(F.col("segment") % 2 == 0).isEmpty():
+        found = materialize(_quantiles_at(counts, keys, probabilities, interpolate))
+        # A rank that fell between the brackets has no value.
+        if found.where(F.exists("quantiles", F.isnull)).isEmpty():
             break
-    return materialize(_quantiles_at(counts, targets, keys, probabilities, interpolate))
-
-
-def _number(name: str) -> Column:
-    number = F.col(name).cast("double")
-    return F.when(~F.isnan(number), number).alias(name)
+    return found
 
 
 def _brackets(
@@ -90,12 +131,6 @@ def stack_columns(wide: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     return wide.select(*by, F.inline(rows))
 
 
-def long_numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """`by`, `column`, `value` for every number that is present."""
-    numbers = df.select(*by, *[_number(name) for name in columns])
-    return numbers.unpivot(list(by), list(columns), "column", "value").where(F.col("value").isNotNull())
-
-
 def _bracket_counts(
     numbers: DataFrame, brackets: DataFrame, columns: Sequence[str], by: Sequence[str], k: int
 ) -> DataFrame:
@@ -109,7 +144,8 @@ def _bracket_counts(
     low = F.get("low", F.shiftright("segment", 1))
     span = F.get("high", F.shiftright("segment", 1)) - low
     bin_ = F.least(F.floor((value - low) / span * BINS_PER_BRACKET), F.lit(BINS_PER_BRACKET - 1))
-    rows = join_statistics(long_numbers(numbers, columns, by), brackets, [*by, "column"])
+    long = numbers.unpivot(list(by), list(columns), "column", "value").where("value is not null")
+    rows = join_statistics(long, brackets, [*by, "column"])
     return (
         rows.withColumn("segment", segment)
         .select(
@@ -138,7 +174,7 @@ def _target_cells(
 ) -> DataFrame:
     """The (segment, bin) cells that hold a wanted rank, with the number of rows before them.
 
-    A group has at most some thousand cells, whatever its size, so the windows stay small.
+    A group has at most some thousand cells, whatever its size, so these windows stay small.
     """
     group = Window.partitionBy(*keys)
     cells = counts.groupBy(*keys, "segment", "bin").agg(F.sum("rows").alias("rows"))
@@ -155,18 +191,18 @@ def _target_cells(
 
 
 def _quantiles_at(
-    counts: DataFrame,
-    targets: DataFrame,
-    keys: Sequence[str],
-    probabilities: Sequence[float],
-    interpolate: bool,
+    counts: DataFrame, keys: Sequence[str], probabilities: Sequence[float], interpolate: bool
 ) -> DataFrame:
-    """Order statistics at the wanted ranks, found among the values of their cells."""
+    """Order statistics at the wanted ranks, found among the values of their cells.
+
+    The windows here see the distinct values of one cell: a bin of a bracket.
+    """
     cell = [*keys, "segment", "bin"]
+    targets = _target_cells(counts, keys, probabilities, interpolate)
     running = F.sum("rows").over(Window.partitionBy(*cell).orderBy("value"))
     end = F.col("before") + F.col("running")
     found = (
-        join_statistics(counts, targets, cell)
+        counts.join(targets, cell)
         .withColumn("running", running)
         .withColumn(
             "ranks",

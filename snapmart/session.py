@@ -20,6 +20,7 @@ def build_session(app_name: str = "snapmart", master: str | None = None, **conf:
     settings = {
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
@@ -51,6 +52,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def has_more_rows(df: DataFrame, n: int) -> bool:
+    """Whether the table has more than n rows; reads partitions only until it does."""
+    return not df.select().offset(n).isEmpty()
+
+
 def join_statistics(
     df: DataFrame,
     statistics: DataFrame,
