@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from snapmart.functions.dates import month_starts
 from snapmart.operators.features import Vocabulary, build_vocabulary, engineer_features, read_vocabulary
@@ -17,7 +16,7 @@ from snapmart.plans.gold import gold_clickstream, gold_customer
 from snapmart.plans.silver import build_silver
 from snapmart.schemas import DATASETS, DEFAULT_DPD, DEFAULT_MOB, silver_schema
 from snapmart.sources.delimited import read_delimited
-from snapmart.sources.snapshots import read_snapshots, table_path, write_snapshots
+from snapmart.sources.snapshots import read_snapshots, table_exists, table_path, write_snapshots
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -99,12 +98,8 @@ def run_gold(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[da
 
 
 def saved_vocabulary(spark: SparkSession, config: DatamartConfig) -> Vocabulary | None:
-    try:
-        return read_vocabulary(spark.read.parquet(config.path("gold", "vocabulary")))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    path = config.path("gold", "vocabulary")
+    return read_vocabulary(spark.read.parquet(path)) if table_exists(spark, path) else None
 
 
 def run_datamart(

@@ -6,8 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A quote inside a quoted field is written twice.
-QUOTING = {"header": True, "quote": '"', "escape": '"'}
+# A quote inside a quoted field is written twice, and spaces around a text are part of it.
+FORMAT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def read_delimited(
@@ -23,7 +29,7 @@ def read_delimited(
     have. A file whose header differs from the first one's is an error.
     """
     df = (
-        spark.read.options(**QUOTING, sep=sep, enforceSchema=False)
+        spark.read.options(**FORMAT, sep=sep, enforceSchema=False)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .csv(paths if isinstance(paths, str) else list(paths))
     )
@@ -37,4 +43,4 @@ def write_delimited(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sep: str = ",", mode: str = "overwrite"
 ) -> None:
     """Part files with a header each, written by the executors; dates in ISO form."""
-    df.write.options(**QUOTING, sep=sep).mode(mode).partitionBy(*partition_by).csv(path)
+    df.write.options(**FORMAT, sep=sep).mode(mode).partitionBy(*partition_by).csv(path)

@@ -63,9 +63,18 @@ def write_snapshots(
     return rows
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    directory, files = _on_file_system(spark, path)
+    return files.exists(directory)
+
+
 def _drop_partitions(spark: SparkSession, path: str, days: Sequence[date]) -> None:
-    """Remove partition directories through the file system that the table lives on."""
-    jvm = spark.sparkContext._jvm
     for day in days:
-        directory = jvm.org.apache.hadoop.fs.Path(path, f"{SNAPSHOT}={day.isoformat()}")
-        directory.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(directory, True)
+        directory, files = _on_file_system(spark, f"{path}/{SNAPSHOT}={day.isoformat()}")
+        files.delete(directory, True)
+
+
+def _on_file_system(spark: SparkSession, path: str):
+    """The path and the file system it lives on, local or shared."""
+    directory = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return directory, directory.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

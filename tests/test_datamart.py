@@ -1,0 +1,182 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapmart.operators.features import read_vocabulary
+from snapmart.plans import profiling
+from snapmart.plans.datamart import DatamartConfig, run_datamart
+from snapmart.plans.silver import build_silver, silver_financials
+from snapmart.schemas import DATASETS, PROFILE_FENCED_COLUMNS, SNAPSHOT, STATIC_BOUNDS, dataset, silver_schema
+from snapmart.sources.delimited import read_delimited, write_delimited
+from snapmart.sources.snapshots import read_snapshots
+from tests import raw
+from tests.conftest import rows
+
+JAN, FEB, MAR = raw.MONTHS
+GOLD = ["feature_store_clickstream", "feature_store_customer", "feature_store_customer_engineered", "label_store"]
+
+
+@pytest.fixture(scope="module")
+def mart(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("mart")
+    config = DatamartConfig(str(folder / "tables"), raw.write_sources(folder), JAN, MAR)
+    return config, run_datamart(spark, config)
+
+
+def gold(spark, config, name):
+    return read_snapshots(spark, config.path("gold", name))
+
+
+def test_bronze_and_silver_counts(spark, mart):
+    config, written = mart
+    assert written["bronze/attributes"] == {JAN: 80, FEB: 80, MAR: 80}
+    assert written["bronze/lms"] == {JAN: 240, FEB: 240, MAR: 240}
+    for name in DATASETS:
+        silver = read_snapshots(spark, config.path("silver", name), schema=silver_schema(name))
+        assert sum(written[f"silver/{name}"].values()) == silver.count()
+        assert dict(silver.dtypes) == {f.name: f.dataType.simpleString() for f in silver_schema(name)}
+
+
+def expected_attributes():
+    for i in range(240):
+        row = raw.attribute_row(i, None)
+        age = int(row[2].replace("_", ""))
+        if row[3] != "#F%$D@*&8" and row[4] != "_______" and 18 <= age <= 70:
+            yield f"CUS_{i}", row[1], age, row[4], raw.MONTHS[i % 3]
+
+
+def test_silver_attributes_row_by_row(spark, mart):
+    silver = read_snapshots(spark, mart[0].path("silver", "attributes"))
+    assert "SSN" not in silver.columns
+    found = silver.select("Customer_ID", "Name", "Age", "Occupation", SNAPSHOT)
+    assert sorted(rows(found)) == sorted(expected_attributes())
+
+
+def test_gold_customer_has_the_customers_of_both_sides(spark, mart):
+    config, _ = mart
+    attributes = {r[0] for r in rows(read_snapshots(spark, config.path("silver", "attributes")).select("Customer_ID"))}
+    financials = {r[0] for r in rows(read_snapshots(spark, config.path("silver", "financials")).select("Customer_ID"))}
+    customers = [r[0] for r in rows(gold(spark, config, "feature_store_customer").select("Customer_ID"))]
+    assert sorted(customers) == sorted(attributes & financials) and customers
+
+
+def test_engineered_rows(spark, mart):
+    config, _ = mart
+    engineered = gold(spark, config, "feature_store_customer_engineered")
+    assert not {"Interest_Rate", "Occupation", "Credit_Mix", "Payment_Behaviour", "Type_of_Loan"} & set(engineered.columns)
+    vocabulary = read_vocabulary(spark.read.parquet(config.path("gold", "vocabulary")))
+    assert vocabulary.values["occupations"] == ("Doctor", "Lawyer", "Media_Manager")
+    for row in engineered.collect():
+        i = int(row.Customer_ID[4:])
+        assert row[f"Occupation_{raw.OCCUPATIONS[i % 4]}"] == 1
+        assert row.auto_loan_type == (2 if i // 4 % 4 == 0 else 0)
+        assert row.payday_loan_type == (1 if i // 4 % 4 == 3 else 0)
+
+
+def test_labels(spark, mart):
+    labels = gold(spark, mart[0], "label_store")
+    assert labels.count() == 3 * 30
+    for row in labels.collect():
+        missed = int(row.loan_id[5:]) % 3
+        # One month before 1 March is 28 days.
+        assert row.label == (0 if missed == 0 or (missed == 1 and row[SNAPSHOT] == MAR) else 1)
+
+
+def everything(spark, config):
+    return {name: sorted(map(str, rows(gold(spark, config, name)))) for name in GOLD}
+
+
+def test_rerun_of_one_month_changes_nothing(spark, mart):
+    config, _ = mart
+    before = everything(spark, config)
+    written = run_datamart(spark, config, snapshots=[FEB])
+    assert set(written["gold/feature_store_customer_engineered"]) == {FEB}
+    assert everything(spark, config) == before
+
+
+def test_months_built_one_by_one_equal_one_run(spark, mart, tmp_path):
+    config, _ = mart
+    single = DatamartConfig(str(tmp_path / "tables"), config.sources, JAN, MAR)
+    for month in raw.MONTHS:
+        run_datamart(spark, single, [month], layers=["bronze"])
+    run_datamart(spark, single, layers=["silver", "gold"])
+    assert everything(spark, single) == everything(spark, config)
+
+
+def test_a_new_category_rebuilds_the_engineered_months(spark, tmp_path):
+    config = DatamartConfig(str(tmp_path / "tables"), raw.write_sources(tmp_path), JAN, MAR)
+    run_datamart(spark, config)
+    raw.write_sources(tmp_path, extra_occupation="Astronaut")
+    written = run_datamart(spark, config, snapshots=[FEB])
+    assert set(written["gold/feature_store_customer"]) == {FEB}
+    assert set(written["gold/feature_store_customer_engineered"]) == set(raw.MONTHS)
+    engineered = gold(spark, config, "feature_store_customer_engineered")
+    assert "Occupation_Astronaut" in engineered.columns
+    per_month = engineered.groupBy(SNAPSHOT).agg(F.sum("Occupation_Astronaut").alias("n"), F.count_if(F.col("Occupation_Astronaut").isNull()).alias("missing"))
+    found = {row[0]: (row[1], row[2]) for row in per_month.collect()}
+    assert found[JAN] == (0, 0) and found[FEB][0] > 0 and found[FEB][1] == 0
+
+
+def test_a_month_without_rows_is_empty_and_does_not_fail(spark, mart, tmp_path):
+    config = DatamartConfig(str(tmp_path / "tables"), mart[0].sources, date(2025, 1, 1), date(2025, 2, 1))
+    written = run_datamart(spark, config)
+    assert {n for counts in written.values() for n in counts.values()} == {0}
+
+
+def jobs_of(spark, config):
+    spark.sparkContext.setJobGroup(config.root, "jobs of one run")
+    run_datamart(spark, config)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(config.root))
+
+
+def test_number_of_jobs_does_not_grow_with_the_months(spark, mart, tmp_path):
+    config, _ = mart
+    short = DatamartConfig(str(tmp_path / "a"), config.sources, JAN, JAN)
+    long = DatamartConfig(str(tmp_path / "b"), config.sources, JAN, date(2024, 12, 1))
+    few, many = jobs_of(spark, short), jobs_of(spark, long)
+    assert abs(many - few) <= 3, (few, many)
+
+
+def test_unknown_names(spark, mart):
+    with pytest.raises(ValueError, match="unknown dataset"):
+        dataset("payments")
+    with pytest.raises(ValueError, match="unknown dataset"):
+        build_silver("payments", spark.range(1))
+    with pytest.raises(ValueError, match="unknown layers"):
+        run_datamart(spark, mart[0], layers=["platinum"])
+
+
+def test_reviewed_export(spark, mart, tmp_path):
+    bronze = read_snapshots(spark, mart[0].path("bronze", "financials"))
+    export = silver_financials(
+        bronze,
+        fence_scope="global",
+        fence_columns=PROFILE_FENCED_COLUMNS,
+        bounds=STATIC_BOUNDS,
+        blank_loans_to_null=False,
+    )
+    write_delimited(export, str(tmp_path / "export"))
+    again = read_delimited(spark, str(tmp_path / "export"), export.columns)
+    assert again.count() == export.count() > 0
+    assert again.where("Type_of_Loan = ' '").count() > 0
+
+
+def test_profiles_of_every_dataset(spark, mart):
+    jobs = {
+        "clickstream": profiling.profile_clickstream,
+        "attributes": profiling.profile_attributes,
+        "lms": profiling.profile_lms,
+    }
+    for name, job in jobs.items():
+        bronze = read_snapshots(spark, mart[0].path("bronze", name), schema=DATASETS[name].bronze_schema)
+        for report in job(bronze).values():
+            assert report.count() > 0
+    bronze = read_snapshots(spark, mart[0].path("bronze", "attributes"))
+    reports = profiling.profile_attributes(bronze)
+    assert reports["sentinels"].first().bad_Occupation == 60
+    assert reports["sentinels_left"].first().bad_Occupation == 0
+    financials = profiling.profile_financials(read_snapshots(spark, mart[0].path("bronze", "financials")))
+    assert [r["column"] for r in financials["fences"].collect()] == list(PROFILE_FENCED_COLUMNS)
+    assert financials["density_Outstanding_Debt"].count() == 200
