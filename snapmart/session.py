@@ -47,14 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage through the reliable checkpoint folder."""
+    """Compute once and cut the lineage through the reliable checkpoint folder.
+
+    The columns get an identity of their own, so that the result joins with the table it came from.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return df.select(*[F.col(name).alias(name) for name in df.columns]).checkpoint(eager=True)
 
 
 def has_more_rows(df: DataFrame, n: int) -> bool:
     """Whether the table has more than n rows; reads partitions only until it does."""
-    return not df.select().offset(n).isEmpty()
+    return bool(df.select().offset(n).take(1))
 
 
 def join_statistics(
