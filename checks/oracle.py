@@ -263,15 +263,16 @@ from (
 group by b.bin, b.lower, b.upper"""
 
 
-def metric_rows(source: str, columns) -> str:
+def metric_rows(source: str, columns, keys) -> str:
     parts = []
     for name, dtype in columns:
         v = f"cast({name} as double)"
         metrics = {
             "rows": "count(*)",
             "nulls": f"count(*) - count({name})",
-            "distinct": f"count(distinct {name})",
         }
+        if name in keys:
+            metrics["distinct"] = f"count(distinct {name})"
         if dtype in (INT, FLOAT):
             metrics |= {
                 "mean": f"avg({v})",
@@ -554,10 +555,10 @@ k as (select i, any_value(x) as x, any_value(n) as n, any_value(hi - lo) as span
   from g, d group by i)
 select cast(i as integer) as point, round(x, 4) as x, round(density * 1000000, 4) as density,
   round(density * n * (span / 50), 4) as curve from k"""
-    sql["profile_table"] = with_ctes(["fin_clean"], metric_rows("fin_clean", FINANCIALS.columns))
-    sql["profile_table_lms"] = with_ctes(["lms_typed"], metric_rows("lms_typed", LMS.columns))
+    sql["profile_table"] = with_ctes(["fin_clean"], metric_rows("fin_clean", FINANCIALS.columns, ["Customer_ID"]))
+    sql["profile_table_lms"] = with_ctes(["lms_typed"], metric_rows("lms_typed", LMS.columns, ["loan_id", "Customer_ID"]))
     sql["profile_table_clickstream"] = (
         "with clickstream_raw as (" + view_sql("clickstream_raw") + "), clicks as ("
-        + typed_view("clickstream_raw", CLICKSTREAM) + ")\n" + metric_rows("clicks", CLICKSTREAM.columns)
+        + typed_view("clickstream_raw", CLICKSTREAM) + ")\n" + metric_rows("clicks", CLICKSTREAM.columns, ["Customer_ID"])
     )
     return {name: text.strip() for name, text in sql.items()}

@@ -519,14 +519,16 @@ def kernel_density(spark, sf):
 
 @query
 def profile_table(spark, sf):
-    return plain(profiling.profile_table(clean_financials(spark, sf)))
+    return plain(profiling.profile_table(clean_financials(spark, sf), ["Customer_ID"]))
 
 
 @query
 def profile_table_lms(spark, sf):
-    return plain(profiling.profile_table(rows.enforce_schema(lms_raw(spark, sf), LMS.typed_schema)))
+    typed = rows.enforce_schema(lms_raw(spark, sf), LMS.typed_schema)
+    return plain(profiling.profile_table(typed, ["loan_id", "Customer_ID"]))
 
 
 @query
 def profile_table_clickstream(spark, sf):
-    return plain(profiling.profile_table(rows.enforce_schema(clickstream_raw(spark, sf), CLICKSTREAM.typed_schema)))
+    typed = rows.enforce_schema(clickstream_raw(spark, sf), CLICKSTREAM.typed_schema)
+    return plain(profiling.profile_table(typed, ["Customer_ID"]))

@@ -16,7 +16,8 @@ def typed(value: Column, dtype: T.DataType, strict: bool = False) -> Column:
     if strict:
         return value.cast(dtype)
     if isinstance(dtype, T.IntegerType):
-        return F.coalesce(value.try_cast(dtype), value.try_cast("double").try_cast(dtype))
+        # A double holds every 32-bit integer.
+        value = value.try_cast("double")
     return value.try_cast(dtype)
 
 
@@ -29,7 +30,8 @@ def clean_number(
 ) -> Column:
     """Drop every underscore, read a decimal comma as a point if asked, and empty as null."""
     text = F.translate(value, ",_", ".") if decimal_comma else F.translate(value, "_", "")
-    number = typed(F.nullif(text, F.lit("")), dtype, strict)
+    # An empty text is no number for `try_cast`; only the strict cast has to be spared it.
+    number = typed(F.nullif(text, F.lit("")) if strict else text, dtype, strict)
     return number if decimals is None else F.round(number, decimals)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.operators.quantiles import exact_quantiles, stack_columns, stack_quantiles
+from snapmart.session import materialize
 
 WHISKER = 1.5
 
@@ -158,7 +159,8 @@ def histogram(df: DataFrame, column: str, bins: int, threshold: float | None = N
 def integer_histogram(df: DataFrame, column: str) -> DataFrame:
     """`value`, `n` for every integer from least to greatest, gaps included, each bin centred on it."""
     whole = F.floor(F.col(column) + 0.5).alias("value")
-    counted = df.where(F.col(column).isNotNull()).groupBy(whole).agg(F.count(F.lit(1)).alias("n"))
+    # Materialized, so that finding the ends does not read the input a second time.
+    counted = materialize(df.where(F.col(column).isNotNull()).groupBy(whole).agg(F.count(F.lit(1)).alias("n")))
     ends = counted.agg(F.min("value"), F.max("value")).first()
     low, high = ends if ends[0] is not None else (0, -1)
     # Generated in parallel, however far apart the ends are.

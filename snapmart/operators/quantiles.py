@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.session import has_more_rows, join_statistics, materialize
+from snapmart.session import has_more_rows, join_on, join_statistics, materialize
 
 # Rows times columns that the buffers of one task may hold, some 50 bytes each.
 BUFFERED_VALUES = 300_000
@@ -69,9 +69,8 @@ def _number(name: str) -> Column:
 def _buffered(name: str, probabilities: Sequence[float], interpolate: bool) -> Column:
     if interpolate:
         return F.percentile(name, list(probabilities))
-    first_to_reach = [f"percentile_disc({p}) within group (order by `{name}`)" for p in probabilities]
-    found = F.array(*[F.expr(text) for text in first_to_reach])
-    return F.when(F.count(name) > 0, found)
+    listed = ", ".join(f"{p}d" for p in probabilities)
+    return F.expr(f"percentile_disc(array({listed})) within group (order by `{name}`)")
 
 
 def _bracketed_quantiles(
@@ -202,7 +201,7 @@ def _quantiles_at(
     running = F.sum("rows").over(Window.partitionBy(*cell).orderBy("value"))
     end = F.col("before") + F.col("running")
     found = (
-        counts.join(targets, cell)
+        join_on(counts, targets, cell)
         .withColumn("running", running)
         .withColumn(
             "ranks",

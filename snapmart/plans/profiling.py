@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.functions.cleaning import clean_age, coerce_number
 from snapmart.operators import counts, distributions, features, loans, outliers, quality, rows
+from snapmart.operators.quantiles import exact_quantiles, stack_columns
 from snapmart.plans.silver import clean_financials, silver_attributes, silver_lms
 from snapmart.schemas import (
     AGE_RANGE,
@@ -34,31 +38,40 @@ DENSITY_COLUMNS = (
 Reports = dict[str, DataFrame]
 
 
-def profile_table(df: DataFrame) -> DataFrame:
-    """`column`, `metric`, `value`: counts for every column, moments and quartiles for the numbers."""
-    columns = df.columns
+def profile_table(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """`column`, `metric`, `value`: rows and nulls of every column, moments and quartiles of the numbers,
+    distinct values of the keys."""
     numbers = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    texts = df.select(*[F.col(name).cast("string").alias(name) for name in columns])
-    # Counting each (column, value) first keeps a column of one repeated value cheap to shuffle.
-    counted = (
-        texts.unpivot([], columns, "column", "text")
-        .groupBy("column", "text")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("column")
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.sum(F.when(F.col("text").isNull(), F.col("rows")).otherwise(0)).alias("nulls"),
-            F.count("text").alias("distinct"),
-        )
-    )
-    long_counts = _metrics(counted, ["rows", "nulls", "distinct"])
-    if not numbers:
-        return long_counts
-    summary = distributions.summary_stats(df, numbers).drop("n")
-    return long_counts.unionByName(_metrics(summary, [name for name in summary.columns if name != "column"]))
-
-
-def _metrics(table: DataFrame, names: list[str]) -> DataFrame:
+    facts = [F.struct(*_facts(name, name in numbers)).alias(name) for name in df.columns]
+    described = _metrics(stack_columns(df.agg(*facts), df.columns))
+    parts = [described.where(F.col("metric").isin("rows", "nulls") | F.col("column").isin(numbers))]
+    if keys:
+        distinct = [F.struct(F.count_distinct(key).alias("distinct")).alias(key) for key in keys]
+        parts.append(_metrics(stack_columns(df.agg(*distinct), keys)))
+    if numbers:
+        quartiles = exact_quantiles(df, numbers, [0.25, 0.5, 0.75])
+        named = [
+            F.struct(*[F.col(name)[i].alias(p) for i, p in enumerate(["p25", "p50", "p75"])]).alias(name)
+            for name in numbers
+        ]
+        parts.append(_metrics(stack_columns(quartiles.select(*named), numbers)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _facts(name: str, is_number: bool) -> list[Column]:
+    value = F.col(name) if is_number else F.lit(None).cast("double")
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(name).isNull()).alias("nulls"),
+        F.mean(value).alias("mean"),
+        F.stddev_samp(value).alias("stddev"),
+        F.min(value.cast("double")).alias("min"),
+        F.max(value.cast("double")).alias("max"),
+    ]
+
+
+def _metrics(table: DataFrame) -> DataFrame:
+    names = [name for name in table.columns if name != "column"]
     doubles = table.select("column", *[F.col(name).cast("double").alias(name) for name in names])
     return doubles.unpivot(["column"], names, "metric", "value")
 

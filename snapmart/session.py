@@ -60,17 +60,24 @@ def has_more_rows(df: DataFrame, n: int) -> bool:
     return bool(df.select().offset(n).take(1))
 
 
+def join_on(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Join on equal keys, null keys included, as a grouping sees them; the right keys are dropped."""
+    theirs = {name: f"_right_{name}" for name in on}
+    same = [F.col(name).eqNullSafe(F.col(theirs[name])) for name in on]
+    return left.join(right.withColumnsRenamed(theirs), same, "inner").drop(*theirs.values())
+
+
 def join_statistics(
     df: DataFrame,
     statistics: DataFrame,
     on: Sequence[str],
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
-    """Inner join of rows with a table of group statistics that has been materialized.
+    """Rows with the statistics of their group, which have been materialized.
 
-    Its row count decides: up to the limit it is broadcast, so the rows are not shuffled; beyond it
+    Their row count decides: up to the limit they are broadcast, so the rows are not shuffled; beyond it
     the planner chooses, and adaptive execution splits the partitions of hot groups.
     """
     if statistics.count() <= max_broadcast_rows:
         statistics = F.broadcast(statistics)
-    return df.join(statistics, on=list(on), how="inner")
+    return join_on(df, statistics, on)

@@ -108,3 +108,10 @@ def test_same_with_more_groups_than_may_be_broadcast(data, monkeypatch):
     monkeypatch.setattr(quantiles, "join_statistics", lambda a, b, on: plain(a, b, on, max_broadcast_rows=0))
     found = exact_quantiles(df, ["smooth"], [0.5], ["g"], buffered_values=0, small_group_rows=0)
     assert {r.g: r.smooth[0] for r in found.collect()} == pytest.approx(dict(pdf.groupby("g").smooth.median()))
+
+
+@pytest.mark.parametrize("buffered", [10**9, 0])
+def test_a_null_group_is_a_group(spark, buffered):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 9.0)], "g string, x double")
+    found = exact_quantiles(df, ["x"], [0.5], ["g"], buffered_values=buffered, small_group_rows=0).collect()
+    assert {r.g: r.x for r in found} == {"a": [2.0], None: [7.0]}
