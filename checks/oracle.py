@@ -355,8 +355,8 @@ where Changed_Credit_Limit <> '_' and Credit_Mix <> '_' and Payment_Behaviour <>
     sql["rejected_values"] = with_ctes(
         ["financials_raw"],
         union(
-            f"select '{n}' as \"column\", count(*) filter (where {n} is not null and {cast_of(n, t)} is null) as rejected from financials_raw"
-            for n, t in FINANCIALS.columns
+            f"select '{n}' as \"column\", count(*) filter (where {n} is not null and {clean[n]} is null) as rejected from financials_raw"
+            for n in clean
         ),
     )
     bounds = " and ".join(f"f.{n} between {low} and {high}" for n, (low, high) in STATIC_BOUNDS.items())

@@ -7,7 +7,7 @@ equal values have equal text in both engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,6 @@ from snapmart.schemas import (
     FENCED_COLUMNS,
     FINANCIAL_NUMBERS,
     FINANCIAL_SENTINELS,
-    FINANCIALS,
     LMS,
     ONE_HOT_COLUMNS,
     PROFILE_FENCED_COLUMNS,
@@ -87,7 +86,7 @@ def customer(spark, sf):
 @query
 def scan_snapshot(spark, sf):
     path = f"{sf}/orders.parquet"
-    days = read_snapshots(spark, path, [datetime(1995, 3, 1)], column="o_orderdate")
+    days = read_snapshots(spark, path, [date(1995, 3, 1)], column="o_orderdate")
     return days.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
 
 
@@ -186,7 +185,7 @@ def enforce_schema(spark, sf):
 
 @query
 def rejected_values(spark, sf):
-    return quality.rejected_values(financials_raw(spark, sf), FINANCIALS.typed_schema)
+    return quality.rejected_values(financials_raw(spark, sf), silver.financial_columns())
 
 
 @query

@@ -6,9 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from snapmart.functions.cleaning import typed
 from snapmart.operators.rows import all_of
 
 
@@ -50,15 +48,13 @@ def column_info(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
 
 
-def rejected_values(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """`column`, `rejected`: texts that lenient typing to the schema turns into null."""
+def rejected_values(raw: DataFrame, cleaned: Mapping[str, Column]) -> DataFrame:
+    """`column`, `rejected`: texts that lenient cleaning of the column turns into null."""
     facts = [
         F.struct(
-            F.lit(field.name).alias("column"),
-            F.count_if(
-                F.col(field.name).isNotNull() & typed(F.col(field.name), field.dataType).isNull()
-            ).alias("rejected"),
+            F.lit(name).alias("column"),
+            F.count_if(F.col(name).isNotNull() & value.isNull()).alias("rejected"),
         )
-        for field in schema
+        for name, value in cleaned.items()
     ]
     return raw.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))

@@ -20,8 +20,12 @@ def all_of(conditions: Iterable[Column]) -> Column:
 
 
 def at_snapshots(df: DataFrame, snapshots: Iterable[date], column: str = SNAPSHOT) -> DataFrame:
-    """Rows dated exactly on one of the snapshots; any other day never enters the datamart."""
-    return df.where(F.col(column).isin(list(snapshots)))
+    """Rows dated exactly on one of the snapshots; any other day never enters the datamart.
+
+    The days take the type of the column, so that the filter reaches the scan whatever that is.
+    """
+    kind = df.schema[column].dataType
+    return df.where(F.col(column).isin([F.lit(day).cast(kind) for day in snapshots]))
 
 
 def without_sentinels(df: DataFrame, sentinels: Mapping[str, str]) -> DataFrame:
@@ -34,16 +38,21 @@ def within_bounds(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> D
     return df.where(all_of(F.col(name).between(low, high) for name, (low, high) in bounds.items()))
 
 
+def typed_columns(schema: T.StructType, strict: bool = False) -> dict[str, Column]:
+    return {field.name: typed(F.col(field.name), field.dataType, strict) for field in schema}
+
+
 def enforce_schema(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
     """The declared columns in the declared types, in one projection."""
     missing = [field.name for field in schema if field.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing from the input: {missing}")
+    casts = typed_columns(schema, strict)
     return df.select(
         *[
             F.col(field.name)
             if df.schema[field.name].dataType == field.dataType
-            else typed(F.col(field.name), field.dataType, strict).alias(field.name)
+            else casts[field.name].alias(field.name)
             for field in schema
         ]
     )

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from snapmart.functions.cleaning import clean_age, coerce_number
 from snapmart.operators import counts, distributions, features, loans, outliers, quality, rows
 from snapmart.operators.quantiles import exact_quantiles, stack_columns
-from snapmart.plans.silver import clean_financials, silver_attributes, silver_lms
+from snapmart.plans.silver import clean_financials, financial_columns, silver_attributes, silver_lms
 from snapmart.schemas import (
     AGE_RANGE,
     ATTRIBUTE_SENTINELS,
+    CLICKSTREAM,
     DEFAULT_DPD,
     DEFAULT_MOB,
     FINANCIAL_NUMBERS,
@@ -77,11 +78,13 @@ def _metrics(table: DataFrame) -> DataFrame:
 
 
 def profile_clickstream(bronze: DataFrame) -> Reports:
-    features_only = [name for name in bronze.columns if name.startswith("fe_")]
+    typed = rows.enforce_schema(bronze, CLICKSTREAM.typed_schema)
+    features_only = [name for name in typed.columns if name.startswith("fe_")]
     return {
         "columns": quality.column_info(bronze),
         "nulls": quality.null_profile(bronze),
-        "describe": distributions.describe_table(bronze, features_only),
+        "rejected": quality.rejected_values(bronze, rows.typed_columns(CLICKSTREAM.typed_schema)),
+        "describe": distributions.describe_table(typed, features_only),
         "rows_per_snapshot": counts.counts_by(bronze, SNAPSHOT),
     }
 
@@ -105,6 +108,7 @@ def profile_attributes(bronze: DataFrame) -> Reports:
         "sentinels_left": quality.count_matching(
             silver_attributes(bronze), {"bad_Occupation": sentinels["bad_Occupation"]}
         ),
+        "rejected": quality.rejected_values(bronze, {"Age": clean_age(F.col("Age"))}),
         "distinct_customers": counts.distinct_keys(known, ["Customer_ID"]),
         "age": distributions.summary_stats(aged, ["Age"]),
         "age_histogram": distributions.histogram(aged, "Age", BINS),
@@ -114,16 +118,17 @@ def profile_attributes(bronze: DataFrame) -> Reports:
 
 def profile_lms(bronze: DataFrame, dpd: int = DEFAULT_DPD, mob: int = DEFAULT_MOB) -> Reports:
     typed = rows.enforce_schema(bronze, LMS.typed_schema)
+    amounts = [field.name for field in typed.schema if isinstance(field.dataType, T.NumericType)]
     silver = silver_lms(bronze)
     at_age = silver.where(F.col("mob") == mob)
     labels = loans.label_store(silver, dpd, mob)
-    order = [SNAPSHOT, "installment_num", *[n for n in typed.columns if n not in ("loan_id", SNAPSHOT, "installment_num")]]
-    per_loan = counts.one_per_key(typed, "loan_id", order)
+    per_loan = counts.one_per_key(typed.select("loan_id", SNAPSHOT, "loan_amt"), "loan_id", [SNAPSHOT, "loan_amt"])
     unknown_dpd = {"overdue_without_due": (F.col("overdue_amt") > 0) & F.col("dpd").isNull()}
     return {
         "columns": quality.column_info(bronze),
         "nulls": quality.null_profile(bronze),
-        "describe": distributions.describe_table(typed, [f.name for f in typed.schema if isinstance(f.dataType, T.NumericType)]),
+        "rejected": quality.rejected_values(bronze, rows.typed_columns(LMS.typed_schema)),
+        "describe": distributions.describe_table(typed, amounts),
         "rows_per_snapshot": counts.counts_by(bronze, SNAPSHOT),
         "distinct": counts.distinct_keys(bronze, ["loan_id", "Customer_ID"]),
         "installments": counts.counts_by(typed, "installment_num"),
@@ -146,6 +151,7 @@ def profile_financials(bronze: DataFrame) -> Reports:
     reports = {
         "columns": quality.column_info(bronze),
         "nulls": quality.null_profile(bronze),
+        "rejected": quality.rejected_values(bronze, financial_columns()),
         "categories": counts.column_value_counts(bronze, ["Credit_Mix", "Payment_Behaviour"]),
         "loan_types": features.token_value_counts(bronze),
         "iqr": distributions.iqr_report(coerced, numbers),
@@ -160,3 +166,13 @@ def profile_financials(bronze: DataFrame) -> Reports:
         reports[f"histogram_{name}"] = distributions.histogram(cleaned, name, BINS)
         reports[f"density_{name}"] = distributions.kernel_density(cleaned, name, bins=BINS)
     return reports
+
+
+def profile_customer(customer: DataFrame) -> Reports:
+    """What the customer join left: nulls per snapshot, and the loan counts where the loan list is missing."""
+    return {
+        "columns": quality.column_info(customer),
+        "rows_per_snapshot": counts.counts_by(customer, SNAPSHOT),
+        "nulls": quality.null_report(customer, [SNAPSHOT]),
+        "no_loan_list": counts.counts_by(customer.where(F.col("Type_of_Loan").isNull()), "Num_of_Loan"),
+    }

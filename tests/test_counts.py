@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.operators import counts, quality
+from snapmart.operators.rows import typed_columns
 from snapmart.schemas import SNAPSHOT
 from tests.conftest import rows
 
@@ -42,7 +43,7 @@ def test_step_audit_is_cumulative(data):
 def test_rejected_values(spark):
     raw = spark.createDataFrame([("1", "x"), ("y", "2.5"), (None, "")], "a string, b string")
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.FloatType())])
-    assert rows(quality.rejected_values(raw, schema)) == [("a", 1), ("b", 2)]
+    assert rows(quality.rejected_values(raw, typed_columns(schema))) == [("a", 1), ("b", 2)]
 
 
 def test_column_info(data):

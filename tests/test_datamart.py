@@ -180,3 +180,6 @@ def test_profiles_of_every_dataset(spark, mart):
     financials = profiling.profile_financials(read_snapshots(spark, mart[0].path("bronze", "financials")))
     assert [r["column"] for r in financials["fences"].collect()] == list(PROFILE_FENCED_COLUMNS)
     assert financials["density_Outstanding_Debt"].count() == 200
+    customers = profiling.profile_customer(gold(spark, mart[0], "feature_store_customer"))
+    assert {r["column"] for r in customers["nulls"].collect()} == {"Type_of_Loan"}
+    assert customers["no_loan_list"].count() > 0

@@ -13,6 +13,7 @@ from snapmart.operators.outliers import upper_fences
 from snapmart.plans.gold import gold_customer
 from snapmart.plans.silver import silver_lms
 from snapmart.schemas import FENCED_COLUMNS, FINANCIALS, LMS, SNAPSHOT
+from snapmart.sources.snapshots import read_snapshots
 from snapmart.session import ensure_checkpoint_dir, has_more_rows, join_statistics, materialize
 
 JAN = date(2023, 1, 1)
@@ -53,6 +54,13 @@ def test_labels_read_only_their_columns_and_push_the_age_filter(spark, lms_table
     assert "EqualTo(mob,6)" in plan
 
 
+def test_a_day_of_a_timestamp_column_reaches_the_scan(spark):
+    days = read_snapshots(spark, "/root/testdata/sf0.001/orders.parquet", [date(1995, 3, 1)], column="o_orderdate")
+    plan = plan_of(days.select("o_orderkey"))
+    assert "EqualTo(o_orderdate,1995-03-01T00:00)" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
 def test_default_rates_shuffle_partial_sums_once_before_the_sort(spark, lms_table):
     plan = plan_of(counts.default_rates(loans.label_store(spark.read.parquet(lms_table))))
     assert plan.count("Exchange hashpartitioning") == 1
