@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from snapmart.session import has_more_rows, join_on, join_statistics, materialize
 
-# Rows times columns that the buffers of one task may hold, some 50 bytes each.
-BUFFERED_VALUES = 300_000
+# Rows times columns that the buffers of one task may hold: at some 50 bytes each, 100 MB at worst.
+BUFFERED_VALUES = 2_000_000
 # Share of the rows on either side of a quantile that its bracket should span; the sketch errs by a
 # quarter of the first one. The last one keeps everything.
 BRACKET_WIDTHS = (0.002, 0.02, 1.0)
