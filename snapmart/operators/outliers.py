@@ -68,5 +68,9 @@ def below_fences(
         found = fences.first()
         literals = {name: F.lit(found[upper[name]]).cast("double") for name in columns}
         return df.where(all_of(F.col(name).between(F.lit(0), literals[name]) for name in columns))
-    inside = all_of(F.col(name).between(F.lit(0), F.col(upper[name])) for name in columns)
+    # Wrapped, so that no part of a test is pushed below the join: there the optimizer would clean the
+    # column a second time, once for the filter and once for the projection.
+    inside = all_of(
+        F.coalesce(F.col(name).between(F.lit(0), F.col(upper[name])), F.lit(False)) for name in columns
+    )
     return join_statistics(df, materialize(fences), by).where(inside).select(*df.columns)

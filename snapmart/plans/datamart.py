@@ -16,7 +16,7 @@ from snapmart.plans.gold import gold_clickstream, gold_customer
 from snapmart.plans.silver import build_silver
 from snapmart.schemas import DATASETS, DEFAULT_DPD, DEFAULT_MOB, silver_schema
 from snapmart.sources.delimited import read_delimited
-from snapmart.sources.snapshots import read_snapshots, table_exists, table_path, write_snapshots
+from snapmart.sources.snapshots import path_exists, read_snapshots, table_path, write_snapshots
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -99,7 +99,7 @@ def run_gold(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[da
 
 def saved_vocabulary(spark: SparkSession, config: DatamartConfig) -> Vocabulary | None:
     path = config.path("gold", "vocabulary")
-    return read_vocabulary(spark.read.parquet(path)) if table_exists(spark, path) else None
+    return read_vocabulary(spark.read.parquet(path)) if path_exists(spark, path) else None
 
 
 def run_datamart(

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from snapmart.operators.rows import at_snapshots
@@ -36,45 +35,59 @@ def write_snapshots(
     snapshots: Sequence[date] | None = None,
     rebalance: bool = True,
 ) -> dict[date, int]:
-    """Replace the snapshots found in the rows and return how many rows each got.
+    """Replace the snapshots found in the rows; with `snapshots`, only those, and return their row counts.
 
-    Other snapshots stay as they are. Those asked for by `snapshots` but without rows end up empty too,
-    as a fresh run would leave them. `rebalance` gathers the rows of a snapshot into files of the
-    advised size and splits a large snapshot over many tasks; leave it off if the input is already laid
-    out by snapshot. The counts are taken while writing, without another pass.
+    Other snapshots stay as they are. Those asked for but without rows end up empty, as a fresh run would
+    leave them. `rebalance` gathers the rows of a snapshot into files of the advised size and splits a
+    large snapshot over many tasks; leave it off if the input is already laid out by snapshot.
     """
+    spark = df.sparkSession
+    days = list(snapshots or [])
+    before = {day: _any_file(spark, _directory(path, day)) for day in days}
     if snapshots is not None:
-        df = at_snapshots(df, snapshots)
-    written = Observation()
-    observed = df.hint("rebalance", SNAPSHOT) if rebalance else df
-    if snapshots is not None:
-        counts = [F.count_if(F.col(SNAPSHOT) == day).alias(day.isoformat()) for day in snapshots]
-        observed = observed.observe(written, *counts) if counts else observed
+        df = at_snapshots(df, days)
+    laid_out = df.hint("rebalance", SNAPSHOT) if rebalance else df
     (
-        observed.write.mode("overwrite")
+        laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(SNAPSHOT)
         .parquet(path)
     )
-    if not snapshots:
+    for day, file in before.items():
+        # The write replaces all files of a snapshot that has rows, so this one had none.
+        if file is not None and path_exists(spark, file):
+            _delete(spark, _directory(path, day))
+    if not days:
         return {}
-    rows = {day: written.get[day.isoformat()] for day in snapshots}
-    _drop_partitions(df.sparkSession, path, [day for day, n in rows.items() if n == 0])
-    return rows
+    # No column is read: the counts come from the file footers.
+    written = read_snapshots(spark, path, days, df.schema).groupBy(SNAPSHOT).count()
+    rows = {row[SNAPSHOT]: row["count"] for row in written.collect()}
+    return {day: rows.get(day, 0) for day in days}
+
+
+def _directory(path: str, day: date) -> str:
+    return f"{path}/{SNAPSHOT}={day.isoformat()}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location, files = _on_file_system(spark, path)
+    return files.exists(location)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    directory, files = _on_file_system(spark, path)
-    return files.exists(directory)
+def _any_file(spark: SparkSession, directory: str) -> str | None:
+    location, files = _on_file_system(spark, directory)
+    if not files.exists(location):
+        return None
+    found = files.listFiles(location, False)
+    return found.next().getPath().toString() if found.hasNext() else None
 
 
-def _drop_partitions(spark: SparkSession, path: str, days: Sequence[date]) -> None:
-    for day in days:
-        directory, files = _on_file_system(spark, f"{path}/{SNAPSHOT}={day.isoformat()}")
-        files.delete(directory, True)
+def _delete(spark: SparkSession, directory: str) -> None:
+    location, files = _on_file_system(spark, directory)
+    files.delete(location, True)
 
 
 def _on_file_system(spark: SparkSession, path: str):
     """The path and the file system it lives on, local or shared."""
-    directory = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return directory, directory.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
