@@ -11,8 +11,8 @@ from snapmart.operators import counts, loans
 from snapmart.operators.features import Vocabulary, engineer_features
 from snapmart.operators.outliers import upper_fences
 from snapmart.plans.gold import gold_customer
-from snapmart.plans.silver import silver_lms
-from snapmart.schemas import FENCED_COLUMNS, FINANCIALS, LMS, SNAPSHOT
+from snapmart.plans.silver import silver_financials, silver_lms
+from snapmart.schemas import FENCED_COLUMNS, FINANCIAL_NUMBERS, FINANCIALS, LMS, SNAPSHOT
 from snapmart.sources.snapshots import read_snapshots
 from snapmart.session import ensure_checkpoint_dir, has_more_rows, join_statistics, materialize
 
@@ -94,6 +94,14 @@ def test_all_fences_come_from_one_shuffle_of_sketches(spark):
     assert plan.count("partial_percentile_approx") == len(FENCED_COLUMNS)
 
 
+def test_fenced_columns_are_cleaned_once(spark):
+    schema = ", ".join(f"{name} {'date' if name == SNAPSHOT else 'string'}" for name in FINANCIALS.column_names)
+    bronze = spark.createDataFrame([], schema)
+    plan = plan_of(silver_financials(bronze))
+    # Every number in the projection, and the balance in the not-null filter below it.
+    assert plan.count("translate(") == len(FINANCIAL_NUMBERS) + 1
+
+
 def test_statistics_are_broadcast_only_below_the_limit(spark):
     rows = spark.range(1000).withColumn("k", F.col("id") % 10)
     statistics = materialize(rows.groupBy("k").count())
