@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.store import materialize, without_rows
+from snapmart.llm.store import materialize, small_enough, without_rows
 
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -42,6 +42,8 @@ BATCH_CHARS = 2_000_000
 SAMPLE_DOCS = 120
 SAMPLE_CHARS = 2500
 LEXICON_MIN = 3
+#: Languages whose counts are broadcast at most, so that the texts are sampled where they are read.
+BROADCAST_LANGUAGES = 10_000
 EPOCHS = 25
 RATE = 0.1
 RIDGE = 1e-5
@@ -211,7 +213,7 @@ def training_sample(docs: DataFrame, docs_per_language: int = SAMPLE_DOCS, chars
     counts = materialize(labelled.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")))
     # Twice the wanted number are expected, so that chance leaves enough; one row per language and text.
     share = F.least(F.lit(1.0), 2.0 * docs_per_language / F.col("n"))
-    drawn = labelled.join(counts, "lang").filter(F.pmod(F.xxhash64(F.col("key")), F.lit(1 << 24)) < share * (1 << 24))
+    drawn = labelled.join(small_enough(counts, BROADCAST_LANGUAGES), "lang").filter(F.pmod(F.xxhash64(F.col("key")), F.lit(1 << 24)) < share * (1 << 24))
     place = F.pmod(F.col("key"), F.greatest(F.length("text") - chars, F.lit(1)).cast("long")).cast("int") + 1
     drawn = drawn.groupBy("lang", "key").agg(F.max(F.substring("text", place, F.lit(chars))).alias("text"))
     taken: dict[str, list[str]] = {}
