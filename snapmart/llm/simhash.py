@@ -36,6 +36,8 @@ RADIUS = 3
 SEED = 42
 BLOCKS = 5
 SHARD_ROWS = 4096
+#: Bits that a shard may leave free without being dealt anew: at most 2 to that power fingerprints.
+FREE_BITS = 10
 #: Shingles hashed at a time, so that a very long text needs no more memory than a long one.
 CHUNK = 1 << 16
 
@@ -88,8 +90,9 @@ def bk_links(points: np.ndarray, radius: int) -> list[tuple[int, int]]:
     The tree is walked from the root with all queries at once; a node passes to the child at distance c those whose own
     distance is within the radius of c.
     """
-    label = np.arange(len(points))
-    stack = [(label, label)]
+    everyone = np.arange(len(points))
+    label = everyone.copy()
+    stack = [(everyone, everyone)]
     while stack:
         members, queries = stack.pop()
         node, rest = members[0], members[1:]
@@ -140,11 +143,12 @@ def near_links(points: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_
     while True:
         rows = rows.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
         shards = materialize(rows.groupBy("mask", "value").count().filter("count > 1"))
-        cold = rows.join(shards.filter(F.col("count") <= shard_rows), ["mask", "value"], "left_semi")
+        large = (F.col("count") > shard_rows) & (64 - F.bit_count("mask") > FREE_BITS)
+        cold = rows.join(shards.filter(~large), ["mask", "value"], "left_semi")
         cold = cold.repartition("mask", "value").sortWithinPartitions("mask", "value", "fp")
         links = materialize(cold.mapInPandas(shard_links(radius), "a long, b long"))
         found = links if found is None else found.unionByName(links)
-        hot = shards.filter(F.col("count") > shard_rows)
+        hot = shards.filter(large)
         masks = [row["mask"] for row in hot.select("mask").distinct().collect()]  # at most ten per level and mask
         if not masks:
             return found
