@@ -28,6 +28,9 @@ LONG_TEXT = 1 << 16
 PART = 1 << 14
 WINDOW = 16
 
+#: The characters that the pre-tokenizer's pattern takes as white space.
+WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") | {chr(c) for c in range(0x2000, 0x200B)}
+
 ENCODED = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -72,23 +75,26 @@ def cut(tokenizer: Loaded, text: str, part: int = PART) -> list[tuple[str, int,
     plain: list[str] = []
     runs = room = 0
 
-    def close() -> None:
+    def close(following: str = "") -> None:
+        """End a part. White space before other text is split otherwise than at the end of a text, so it goes alone."""
         nonlocal room
-        if plain:
-            parts.append(("plain", -1, "".join(plain)))
-            plain.clear()
+        alone = [plain.pop()] if plain and following and following not in WHITE and plain[-1][-1] in WHITE else []
+        for text in ("".join(plain), *alone):
+            if text:
+                parts.append(("plain", -1, text))
+        plain.clear()
         room = part
 
     def add(section: str) -> None:
         nonlocal runs, room
         for written, (a, b) in tokenizer.whole.pre_tokenizer.pre_tokenize_str(section):
             if len(written) > part:
-                close()
+                close(section[a])
                 parts.extend(("run", runs, written[at : at + part]) for at in range(0, len(written), part))
                 runs += 1
                 continue
             if len(written) > room:
-                close()
+                close(section[a])
             plain.append(section[a:b])
             room -= len(written)
 
