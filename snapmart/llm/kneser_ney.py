@@ -30,7 +30,8 @@ from snapmart.llm.store import materialize, small_enough
 
 ORDER = 4
 QUANTILE = 0.99
-MARGIN = 1.1
+#: The model has seen the trusted documents, so their perplexities lie below those of other good text.
+MARGIN = 1.5
 #: Trusted ids broadcast at most: 8 bytes each.
 BROADCAST_IDS = 2_000_000
 BEGIN, STOP, BEYOND = 0x02, 0x03, 0xFFFD
