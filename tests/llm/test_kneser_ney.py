@@ -1,0 +1,85 @@
+import math
+from collections import Counter, defaultdict
+
+import pytest
+from edges import ROWS
+from pyspark.sql import functions as F
+
+from snapmart.llm import kneser_ney as kn
+
+TEXTS = ["the cat sat.", "the cat ran.", "a dog sat on the mat.", "the dog ran on.", "cat and dog.", "é ü the"] * 3 + ["on the mat sat a cat."]
+
+
+class Slow:
+    """Interpolated modified Kneser-Ney as in its textbook recursion."""
+
+    def __init__(self, texts):
+        levels = [Counter(g for text in texts for g in self.grams(text))]
+        for _ in range(kn.ORDER - 1):
+            levels.insert(0, Counter(g[1:] for g in levels[0]))
+        self.levels, self.cuts = levels, []
+        for level in levels:
+            n = [sum(c == k for c in level.values()) for k in (1, 2, 3, 4)]
+            rate = n[0] / (n[0] + 2 * n[1]) if all(n) else 0
+            cut = [min(max(k - (k + 1) * rate * n[k] / n[k - 1], 0.05), k - 0.05) for k in (1, 2, 3)] if all(n) else [0.5, 0.75, 0.9]
+            self.cuts.append(cut)
+        self.totals = [defaultdict(lambda: [0, 0.0]) for _ in levels]
+        for level, cut, totals in zip(levels, self.cuts, self.totals):
+            for g, c in level.items():
+                totals[g[:-1]][0] += c
+                totals[g[:-1]][1] += cut[min(c, 3) - 1]
+
+    @staticmethod
+    def grams(text):
+        marked = "\x02" * (kn.ORDER - 1) + "".join(c if ord(c) <= 0xFFFF else "�" for c in text) + "\x03"
+        return [marked[i : i + kn.ORDER] for i in range(len(text) + 1)]
+
+    def p(self, gram):
+        if not gram:
+            return 1 / (len(self.levels[0]) + 1)
+        at = len(gram) - 1
+        total, taken = self.totals[at].get(gram[:-1], (0, 0))
+        if not total:
+            return self.p(gram[1:])
+        c = self.levels[at].get(gram, 0)
+        return (max(c - (self.cuts[at][min(c, 3) - 1] if c else 0), 0) + taken * self.p(gram[1:])) / total
+
+    def perplexity(self, text):
+        grams = self.grams(text or "")
+        return math.exp(-sum(math.log(self.p(g)) for g in grams) / len(grams))
+
+
+def test_perplexity_against_brute_force(spark):
+    asked = [*TEXTS, "zebra quartz", "", None, "the cat \U0001f600\U0001f601", "the " * 200]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "doc_id long, text string").repartition(3).cache()
+    counts = kn.train(spark.createDataFrame([(t,) for t in TEXTS], "text string"))
+    ids = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id")
+    got = {r.doc_id: r.perplexity for r in kn.perplexities(docs, counts).join(ids, "row_id").collect()}
+    slow = Slow(TEXTS)
+    assert got == {i: pytest.approx(slow.perplexity(t), rel=1e-5) for i, t in enumerate(asked)}
+
+
+def test_probabilities_of_a_context_sum_to_one():
+    slow = Slow(TEXTS)
+    symbols = list(slow.levels[0])
+    assert sum(slow.p("the" + c) for c in symbols) + slow.p("the\x7f") == pytest.approx(1)
+
+
+def test_garbage_goes_and_prose_stays(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = kn.quality(docs, labels.filter("quality = 1 and doc_id % 2 = 0").select("doc_id"))
+    held = judged.join(labels, "doc_id").filter("doc_id % 2 = 1")
+    kept = {r.quality: r.share for r in held.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert kept[1] > 0.97 and kept[0] < 0.2
+
+
+def test_edges(spark, edge, empty):
+    ids = spark.createDataFrame([(1,), (1,), (9,), (None,)], "doc_id long")
+    judged = kn.quality(edge, ids)
+    assert judged.count() == len(ROWS)
+    assert judged.filter("trusted").count() == 3 and judged.filter("perplexity is null").count() == 0
+    assert judged.filter("threshold is null").count() == 0
+    unknown = kn.quality(edge, ids.limit(0))
+    assert unknown.count() == len(ROWS) and unknown.filter("not kept or perplexity is not null").count() == 0
+    assert kn.quality(empty, ids).count() == 0
