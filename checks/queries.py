@@ -76,7 +76,7 @@ def lms_silver(spark, sf):
 
 
 def customer(spark, sf):
-    fenced = silver.silver_financials(financials_raw(spark, sf), exact_fences=True)
+    fenced = silver.silver_financials(financials_raw(spark, sf))
     return gold.gold_customer(silver.silver_attributes(attributes_raw(spark, sf)), fenced)
 
 
@@ -249,7 +249,7 @@ def silver_attributes(spark, sf):
 
 @query
 def silver_financials(spark, sf):
-    return plain(silver.silver_financials(financials_raw(spark, sf), exact_fences=True))
+    return plain(silver.silver_financials(financials_raw(spark, sf)))
 
 
 @query
@@ -288,7 +288,7 @@ def customer_feature_join(spark, sf):
 
 @query
 def vocabulary_table(spark, sf):
-    return features.build_vocabulary(customer(spark, sf)).to_table(spark)
+    return features.vocabulary_table(customer(spark, sf))
 
 
 @query

@@ -16,8 +16,9 @@ def typed(value: Column, dtype: T.DataType, strict: bool = False) -> Column:
     if strict:
         return value.cast(dtype)
     if isinstance(dtype, T.IntegerType):
-        # A double holds every 32-bit integer.
+        # A double holds every 32-bit integer; 3.7 is none.
         value = value.try_cast("double")
+        value = F.when(value == F.floor(value), value)
     return value.try_cast(dtype)
 
 

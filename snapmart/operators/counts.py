@@ -44,8 +44,8 @@ def one_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
     An aggregate and not a window, so the rows of a hot key are reduced before the shuffle.
     """
-    rest = [name for name in df.columns if name != key]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("first")
+    rest = [name for name in df.columns if name != key and name not in order]
+    first = F.min(F.struct(*order, *rest)).alias("first")
     return df.groupBy(key).agg(first).select(key, "first.*").select(*df.columns)
 
 

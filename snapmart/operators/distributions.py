@@ -13,6 +13,11 @@ from snapmart.session import materialize
 WHISKER = 1.5
 
 
+def number(name: str) -> Column:
+    """The column as a double in which NaN is missing, as it is for the quartiles."""
+    return F.nullif(F.col(name).cast("double"), F.lit(float("nan")))
+
+
 def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """`column`, `n`, `mean`, `stddev` (sample), `min`, `max` for every column, present or all null."""
     facts = [
@@ -40,7 +45,8 @@ def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "column",
         *[F.col("quantiles")[i].alias(name) for i, name in enumerate(["p25", "p50", "p75"])],
     )
-    return describe_table(df, columns).join(quartiles, "column", "left").select(
+    numbers = df.select(*[number(name).alias(name) for name in columns])
+    return describe_table(numbers, columns).join(quartiles, "column", "left").select(
         "column", "n", "mean", "stddev", "min", "p25", "p50", "p75", "max"
     )
 
@@ -61,7 +67,7 @@ def iqr_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     facts = []
     for name in columns:
         q1, median, q3 = quartiles.get(name, (None, None, None))
-        value = F.col(name).cast("double")
+        value = number(name)
         iqr = None if q1 is None else q3 - q1
         low = None if q1 is None else q1 - WHISKER * iqr
         high = None if q1 is None else q3 + WHISKER * iqr
@@ -91,7 +97,7 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for name in present:
         q1, median, q3 = quartiles[name]
         low, high = q1 - WHISKER * (q3 - q1), q3 + WHISKER * (q3 - q1)
-        value = F.col(name).cast("double")
+        value = number(name)
         facts.append(
             F.struct(
                 F.lit(q1).alias("q1"),
@@ -113,7 +119,7 @@ def histogram(df: DataFrame, column: str, bins: int, threshold: float | None = N
 
     Empty bins are listed. A threshold adds `n_at_or_above`, the values of the bin from it on.
     """
-    values = df.select(F.col(column).cast("double").alias("value")).where("value is not null")
+    values = df.select(number(column).alias("value")).where("value is not null")
     ends = values.agg(F.min("value").alias("low"), F.max("value").alias("high"))
     flat = F.col("low") == F.col("high")
     ends = ends.select(
@@ -157,7 +163,10 @@ def histogram(df: DataFrame, column: str, bins: int, threshold: float | None = N
 
 
 def integer_histogram(df: DataFrame, column: str) -> DataFrame:
-    """`value`, `n` for every integer from least to greatest, gaps included, each bin centred on it."""
+    """`value`, `n` for every integer from least to greatest, gaps included, each bin centred on it.
+
+    The result is as long as the range of the values, so an outlier makes it long.
+    """
     whole = F.floor(F.col(column) + 0.5).alias("value")
     # Materialized, so that finding the ends does not read the input a second time.
     counted = materialize(df.where(F.col(column).isNotNull()).groupBy(whole).agg(F.count(F.lit(1)).alias("n")))
@@ -176,11 +185,10 @@ def kernel_density(df: DataFrame, column: str, grid: int = 200, bins: int = 50)
     """Gaussian density from least to greatest value: `point`, `x`, `density`, `curve`.
 
     Bandwidth by Scott's rule from the sample deviation. `curve` is the density scaled to the counts of
-    a histogram with that many bins. Equal values are counted first, so the work is grid points times
-    distinct values; the sums are combined before the shuffle, which carries one row per point and task.
+    a histogram with that many bins. One pass adds up all grid points at once: every task yields one row of sums.
     """
     schema = "point int, x double, density double, curve double"
-    values = df.select(F.col(column).cast("double").alias("value")).where("value is not null")
+    values = df.select(number(column).alias("value")).where("value is not null")
     facts = values.agg(
         F.count(F.lit(1)).alias("n"),
         F.stddev_samp("value").alias("deviation"),
@@ -192,16 +200,16 @@ def kernel_density(df: DataFrame, column: str, grid: int = 200, bins: int = 50)
     n, low, high = facts["n"], facts["low"], facts["high"]
     bandwidth = facts["deviation"] * n ** (-1 / 5)
     step = (high - low) / (grid - 1)
-    x = F.lit(low) + F.col("point") * F.lit(step)
-    distance = (x - F.col("value")) / F.lit(bandwidth)
-    total = F.sum(F.col("rows") * F.exp(-distance * distance / 2))
+    points = [low + i * step for i in range(grid)]
+    distances = [(F.lit(x) - F.col("value")) / F.lit(bandwidth) for x in points]
+    sums = [F.sum(F.exp(-d * d / 2)).alias(f"at{i}") for i, d in enumerate(distances)]
+    listed = [
+        F.struct(F.lit(i).alias("point"), F.lit(x).alias("x"), F.col(f"at{i}").alias("total")) for i, x in enumerate(points)
+    ]
     density = F.col("total") / (n * bandwidth * F.sqrt(2 * F.pi()))
     return (
-        values.groupBy("value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select("value", "rows", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
-        .groupBy("point")
-        .agg(total.alias("total"))
-        .select("point", x.alias("x"), density.alias("density"), (density * n * ((high - low) / bins)).alias("curve"))
+        values.agg(*sums)
+        .select(F.inline(F.array(*listed)))
+        .select("point", "x", density.alias("density"), (density * n * ((high - low) / bins)).alias("curve"))
         .orderBy("point")
     )

@@ -5,15 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapmart.functions.tokens import count_token, list_tokens, loose_tokens, safe_name
 from snapmart.schemas import LEAKAGE_COLUMNS, ONE_HOT_COLUMNS, TOKEN_COLUMN, TOKEN_KIND
 
-# One feature column per value, so more values than this are a mistake in the data.
-MAX_VALUES_PER_KIND = 1000
-
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -70,24 +67,27 @@ def vocabulary_values(df: DataFrame) -> DataFrame:
     )
 
 
-def build_vocabulary(df: DataFrame, max_values: int = MAX_VALUES_PER_KIND) -> Vocabulary:
-    """Read the vocabulary to the driver: it becomes the columns of the next plan.
+def vocabulary_table(df: DataFrame) -> DataFrame:
+    """`kind`, `value`, `position` in value order: one row per feature column of the customer table.
 
-    Distinct values are found on the executors; only as many as the limits allow are ever fetched.
+    The window of a kind sees its distinct values, which are as many as the columns made of them.
     """
-    kinds = [*ONE_HOT_COLUMNS, TOKEN_KIND]
-    rows = vocabulary_values(df).limit(max_values * len(kinds) + 1).collect()
-    values = {kind: tuple(sorted(row["value"] for row in rows if row["kind"] == kind)) for kind in kinds}
-    too_many = {kind: len(found) for kind, found in values.items() if len(found) > max_values}
-    if too_many:
-        raise ValueError(f"more than {max_values} values for {too_many}")
-    return Vocabulary(values)
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("value")) - 1
+    return vocabulary_values(df).withColumn("position", place)
+
+
+def build_vocabulary(df: DataFrame) -> Vocabulary:
+    """The vocabulary on the driver, where it becomes the columns of the next plan."""
+    return read_vocabulary(vocabulary_table(df))
 
 
 def read_vocabulary(table: DataFrame) -> Vocabulary:
+    """One row per output column is fetched, however many rows the customer table has."""
     rows = table.orderBy("kind", "position").collect()
-    kinds = [*ONE_HOT_COLUMNS, TOKEN_KIND]
-    return Vocabulary({kind: tuple(row["value"] for row in rows if row["kind"] == kind) for kind in kinds})
+    values: dict[str, list[str]] = {kind: [] for kind in [*ONE_HOT_COLUMNS, TOKEN_KIND]}
+    for row in rows:
+        values[row["kind"]].append(row["value"])
+    return Vocabulary({kind: tuple(found) for kind, found in values.items()})
 
 
 def one_hot(vocabulary: Vocabulary) -> dict[str, Column]:

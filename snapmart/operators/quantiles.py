@@ -1,11 +1,9 @@
 """Exact quantiles of many columns and groups, without gathering a large group in one task.
 
-Spark's exact `percentile` keeps every distinct value of a group in one buffer, so it serves inputs
-that are checked to be small. Beyond that, a sketch tells where to look: around each wanted quantile it
-gives a narrow bracket. Counting then keeps the values inside the brackets and only a count for each
-stretch between them, so that map-side combining shrinks almost all rows to a few. The wanted ranks
-are looked up in the counts. Should a rank fall outside its bracket, the brackets are widened and the
-count repeated, so the result never depends on how good the sketch is.
+A sketch tells where to look: around each wanted quantile it gives a narrow bracket. Counting then keeps the values inside
+the brackets and only a count for each stretch between them, so that map-side combining shrinks almost all rows to a few.
+The wanted ranks are looked up in the counts. Should a rank fall outside its bracket, the brackets are widened and the
+count repeated, so the result never depends on how good the sketch is. There is one path for tables of every size.
 """
 
 from __future__ import annotations
@@ -15,16 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.session import has_more_rows, join_on, join_statistics, materialize
+from snapmart.session import join_on, join_statistics, materialize
 
-# Rows times columns that the buffers of one task may hold: at some 50 bytes each, 100 MB at worst.
-BUFFERED_VALUES = 2_000_000
 # Share of the rows on either side of a quantile that its bracket should span; the sketch errs by a
 # quarter of the first one. The last one keeps everything.
 BRACKET_WIDTHS = (0.002, 0.02, 1.0)
 SKETCH_ACCURACY = 2_000
 BINS_PER_BRACKET = 1024
-SMALL_GROUP_ROWS = 10_000
 
 
 def exact_quantiles(
@@ -33,8 +28,6 @@ def exact_quantiles(
     probabilities: Sequence[float],
     by: Sequence[str] = (),
     interpolate: bool = True,
-    buffered_values: int = BUFFERED_VALUES,
-    small_group_rows: int = SMALL_GROUP_ROWS,
 ) -> DataFrame:
     """One row per group: `by` and, under the name of each column, the array of its quantiles.
 
@@ -43,11 +36,7 @@ def exact_quantiles(
     probability. Probabilities are given in ascending order.
     """
     numbers = df.select(*by, *[_number(name) for name in columns])
-    if not has_more_rows(numbers, buffered_values // len(columns)):
-        return numbers.groupBy(*by).agg(
-            *[_buffered(name, probabilities, interpolate).alias(name) for name in columns]
-        )
-    long = _bracketed_quantiles(numbers, columns, probabilities, by, interpolate, small_group_rows)
+    long = _bracketed_quantiles(numbers, columns, probabilities, by, interpolate)
     return long.groupBy(*by).agg(
         *[
             F.any_value(F.when(F.col("column") == name, F.col("quantiles")), ignoreNulls=True).alias(name)
@@ -66,25 +55,17 @@ def _number(name: str) -> Column:
     return F.nullif(F.col(name).cast("double"), F.lit(float("nan"))).alias(name)
 
 
-def _buffered(name: str, probabilities: Sequence[float], interpolate: bool) -> Column:
-    if interpolate:
-        return F.percentile(name, list(probabilities))
-    listed = ", ".join(f"{p}d" for p in probabilities)
-    return F.expr(f"percentile_disc(array({listed})) within group (order by `{name}`)")
-
-
 def _bracketed_quantiles(
     numbers: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: Sequence[str],
     interpolate: bool,
-    small_group_rows: int,
 ) -> DataFrame:
     """`by`, `column`, `n`, `quantiles`, materialized."""
     keys = [*by, "column"]
     for width in BRACKET_WIDTHS:
-        brackets = materialize(_brackets(numbers, columns, probabilities, by, width, small_group_rows))
+        brackets = materialize(_brackets(numbers, columns, probabilities, by, width))
         counts = materialize(_bracket_counts(numbers, brackets, columns, by, len(probabilities)))
         found = materialize(_quantiles_at(counts, keys, probabilities, interpolate))
         # A rank that fell between the brackets has no value.
@@ -99,9 +80,8 @@ def _brackets(
     probabilities: Sequence[float],
     by: Sequence[str],
     width: float,
-    small_group_rows: int,
 ) -> DataFrame:
-    """Lower and upper end of each bracket; a small group gets its whole range."""
+    """Lower and upper end of each bracket."""
     below = [max(0.0, p - width) for p in probabilities]
     above = [min(1.0, p + width) for p in probabilities]
     summaries = [
@@ -114,7 +94,7 @@ def _brackets(
         for name in columns
     ]
     stacked = stack_columns(numbers.groupBy(*by).agg(*summaries), columns, by).where("n > 0")
-    whole = F.lit(width >= 1.0) | (F.col("n") <= small_group_rows)
+    whole = F.lit(width >= 1.0)
     k = len(probabilities)
     return stacked.select(
         *by,
@@ -194,14 +174,25 @@ def _quantiles_at(
 ) -> DataFrame:
     """Order statistics at the wanted ranks, found among the values of their cells.
 
-    The windows here see the distinct values of one cell: a bin of a bracket.
+    A cell may hold most values of a heavy-tailed column, so its values are dealt out by range first: the ranks are
+    looked up among the row counts of the ranges, and then among the values of the ranges that hold one.
     """
     cell = [*keys, "segment", "bin"]
     targets = _target_cells(counts, keys, probabilities, interpolate)
-    running = F.sum("rows").over(Window.partitionBy(*cell).orderBy("value"))
-    end = F.col("before") + F.col("running")
+    chunk = [*cell, "chunk"]
+    dealt = join_on(counts, targets, cell).repartitionByRange(*cell, "value")
+    # Materialized, so that both steps see the same ranges.
+    dealt = materialize(dealt.withColumn("chunk", F.spark_partition_id()))
+    sums = dealt.groupBy(*chunk, "n", "before", "ranks").agg(F.sum("rows").alias("held"))
+    start = F.col("before") + F.sum("held").over(Window.partitionBy(*cell).orderBy("chunk")) - F.col("held")
+    sums = sums.withColumn("start", start).withColumn(
+        "ranks", F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("held")))
+    )
+    wanted = sums.where(F.size("ranks") > 0).select(*chunk, "start", "ranks")
+    running = F.sum("rows").over(Window.partitionBy(*chunk).orderBy("value"))
+    end = F.col("start") + F.col("running")
     found = (
-        join_on(counts, targets, cell)
+        join_on(dealt.drop("before", "ranks"), wanted, chunk)
         .withColumn("running", running)
         .withColumn(
             "ranks",

@@ -13,6 +13,13 @@ from snapmart.operators.rows import at_snapshots
 from snapmart.schemas import SNAPSHOT, DatasetSpec
 
 
+def rejected_rows(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The source rows whose snapshot date cannot be read, as text; bronze has no month for them."""
+    return raw.where(parse_date(F.col(SNAPSHOT), spec.date_format).isNull()).select(
+        *[F.col(name).cast("string").alias(name) for name in spec.column_names]
+    )
+
+
 def build_bronze(
     raw: DataFrame,
     spec: DatasetSpec,

@@ -11,10 +11,10 @@ from pyspark.sql import SparkSession
 from snapmart.functions.dates import month_starts
 from snapmart.operators.features import Vocabulary, build_vocabulary, engineer_features, read_vocabulary
 from snapmart.operators.loans import label_store
-from snapmart.plans.bronze import build_bronze
+from snapmart.plans.bronze import build_bronze, rejected_rows
 from snapmart.plans.gold import gold_clickstream, gold_customer
 from snapmart.plans.silver import build_silver
-from snapmart.schemas import DATASETS, DEFAULT_DPD, DEFAULT_MOB, silver_schema
+from snapmart.schemas import DATASETS, DEFAULT_DPD, DEFAULT_MOB, SNAPSHOT, silver_schema
 from snapmart.sources.delimited import read_delimited
 from snapmart.sources.snapshots import path_exists, read_snapshots, table_path, write_snapshots
 
@@ -49,6 +49,7 @@ def run_bronze(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[
     for name, source in config.sources.items():
         spec = DATASETS[name]
         raw = read_delimited(spark, source, spec.column_names, strict=config.strict)
+        rejected_rows(raw, spec).write.mode("overwrite").parquet(config.path("rejects", name))
         bronze = build_bronze(raw, spec, snapshots, config.strict)
         rows[f"bronze/{name}"] = write_snapshots(bronze, config.path("bronze", name), snapshots)
     return rows
@@ -81,12 +82,13 @@ def run_gold(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[da
     customer = gold_customer(silver("attributes"), silver("financials"))
     rows["gold/feature_store_customer"] = write_snapshots(customer, customer_path, snapshots)
 
-    # The vocabulary covers all snapshots, so a new value changes the columns of all of them. It is
-    # saved last: should the run break off, the next one finds the old vocabulary and redoes them all.
+    # The vocabulary covers every month of the customer table, so a new value changes the columns of all of
+    # them, also of those outside the configured range. It is saved last: should the run break off, the next one finds the old vocabulary and redoes them all.
     customer_schema = customer.schema
     vocabulary = build_vocabulary(read_snapshots(spark, customer_path, None, customer_schema))
     changed = vocabulary != saved_vocabulary(spark, config)
-    redone = sorted({*config.snapshots, *snapshots}) if changed else snapshots
+    every = read_snapshots(spark, customer_path, None, customer_schema).select(SNAPSHOT).distinct()
+    redone = sorted({*[row[0] for row in every.collect()], *snapshots}) if changed else snapshots
     customer = read_snapshots(spark, customer_path, redone, customer_schema)
     path = config.path("gold", "feature_store_customer_engineered")
     engineered = engineer_features(customer, vocabulary)

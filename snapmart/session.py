@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,17 +32,12 @@ def build_session(app_name: str = "snapmart", master: str | None = None, **conf:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the session names; only a local session may fall back to its own."""
+    """Use the shared folder the session names; where it names none, one in the warehouse, which is shared too."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="snapmart-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -55,11 +49,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(name).alias(name) for name in df.columns]).checkpoint(eager=True)
 
 
-def has_more_rows(df: DataFrame, n: int) -> bool:
-    """Whether the table has more than n rows; reads partitions only until it does."""
-    return bool(df.select().offset(n).take(1))
-
-
 def join_on(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Join on equal keys, null keys included, as a grouping sees them; the right keys are dropped."""
     theirs = {name: f"_right_{name}" for name in on}

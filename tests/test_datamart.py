@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from snapmart.operators.features import read_vocabulary
 from snapmart.plans import profiling
+from snapmart.plans.bronze import build_bronze, rejected_rows
 from snapmart.plans.datamart import DatamartConfig, run_datamart
 from snapmart.plans.silver import build_silver, silver_financials
 from snapmart.schemas import DATASETS, PROFILE_FENCED_COLUMNS, SNAPSHOT, STATIC_BOUNDS, dataset, silver_schema
@@ -104,6 +105,26 @@ def test_months_built_one_by_one_equal_one_run(spark, mart, tmp_path):
     assert everything(spark, single) == everything(spark, config)
 
 
+def test_a_new_category_rebuilds_months_outside_the_configured_range(spark, tmp_path):
+    sources = raw.write_sources(tmp_path)
+    run_datamart(spark, DatamartConfig(str(tmp_path / "tables"), sources, JAN, MAR))
+    raw.write_sources(tmp_path, extra_occupation="Astronaut")
+    later = DatamartConfig(str(tmp_path / "tables"), sources, FEB, MAR)
+    written = run_datamart(spark, later)
+    assert set(written["gold/feature_store_customer_engineered"]) == set(raw.MONTHS)
+    engineered = gold(spark, later, "feature_store_customer_engineered")
+    assert engineered.where(F.col(SNAPSHOT) == JAN).where("Occupation_Astronaut is null").count() == 0
+
+
+def test_rows_with_unreadable_dates_are_kept_apart(spark):
+    spec = DATASETS["clickstream"]
+    dates = ["01/01/2023", "1/1/2023", "2023-01-01", None]
+    rows_ = [tuple(d if name == SNAPSHOT else "1" for name in spec.column_names) for d in dates]
+    source = spark.createDataFrame(rows_, ", ".join(f"{name} string" for name in spec.column_names))
+    assert build_bronze(source, spec).count() == 1
+    assert {row[SNAPSHOT] for row in rejected_rows(source, spec).collect()} == {"1/1/2023", "2023-01-01", None}
+
+
 def test_a_new_category_rebuilds_the_engineered_months(spark, tmp_path):
     config = DatamartConfig(str(tmp_path / "tables"), raw.write_sources(tmp_path), JAN, MAR)
     run_datamart(spark, config)

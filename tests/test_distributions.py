@@ -102,3 +102,17 @@ def test_kernel_density(data):
     assert [r.density for r in found] == pytest.approx(list(density))
     assert [r.curve for r in found] == pytest.approx(list(density * len(x) * (x.max() - x.min()) / 50))
     assert rows(distributions.kernel_density(df.where("false"), "x")) == []
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    with_nan = spark.createDataFrame([(1.0,), (nan,), (2.0,), (4.0,), (None,)], "x double")
+    without = with_nan.where("x is not null and not isnan(x)")
+    for make in (
+        lambda df: distributions.summary_stats(df, ["x"]),
+        lambda df: distributions.histogram(df, "x", 3),
+        lambda df: distributions.kernel_density(df, "x", grid=5),
+        lambda df: distributions.boxplot_stats(df, ["x"]),
+        lambda df: distributions.iqr_report(df, ["x"]),
+    ):
+        assert make(with_nan).collect() == make(without).collect()

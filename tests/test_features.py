@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from snapmart.operators import features
 from snapmart.operators.features import Vocabulary
@@ -37,9 +38,13 @@ def test_vocabulary_survives_its_table(spark, customers):
     assert features.read_vocabulary(vocabulary.to_table(spark)) == vocabulary
 
 
-def test_vocabulary_has_a_limit(customers):
-    with pytest.raises(ValueError, match="more than 1 values"):
-        features.build_vocabulary(customers, max_values=1)
+def test_a_vocabulary_of_any_size(spark, customers):
+    job = F.concat(F.lit("Job "), F.lpad(F.col("id").cast("string"), 5, "0"))
+    many = spark.range(1001).select(F.col("id").cast("string").alias("Customer_ID"), job.alias("Occupation"))
+    many = many.unionByName(customers, allowMissingColumns=True)
+    engineered = features.engineer_features(many, features.build_vocabulary(many))
+    assert sum(name.startswith("Occupation_") for name in engineered.columns) == 1003
+    assert engineered.where("Customer_ID = '1000'").first()["Occupation_Job_01000"] == 1
 
 
 def test_engineered_columns(customers):

@@ -45,12 +45,9 @@ def data(spark):
 
 
 @pytest.mark.parametrize("interpolate", [True, False])
-@pytest.mark.parametrize("buffered,small", [(10**9, 10_000), (0, 10_000), (0, 0)])
-def test_by_group_against_numpy(data, interpolate, buffered, small):
+def test_by_group_against_numpy(data, interpolate):
     pdf, df = data
-    found = exact_quantiles(
-        df, COLUMNS, PROBABILITIES, ["g"], interpolate, buffered_values=buffered, small_group_rows=small
-    ).collect()
+    found = exact_quantiles(df, COLUMNS, PROBABILITIES, ["g"], interpolate).collect()
     assert {row.g for row in found} == set(pdf.g)
     for row in found:
         for name in COLUMNS:
@@ -61,7 +58,7 @@ def test_by_group_against_numpy(data, interpolate, buffered, small):
 
 def test_whole_table(data):
     pdf, df = data
-    row = exact_quantiles(df, COLUMNS, [0.25, 0.5, 0.75], buffered_values=0, small_group_rows=0).first()
+    row = exact_quantiles(df, COLUMNS, [0.25, 0.5, 0.75]).first()
     for name in COLUMNS:
         assert row[name] == pytest.approx(list(pdf[name].quantile([0.25, 0.5, 0.75])), rel=1e-12)
 
@@ -71,27 +68,26 @@ def test_a_missed_bracket_is_widened(data, monkeypatch):
     tries = []
     brackets = quantiles._brackets
 
-    def useless_first(numbers, columns, probabilities, by, width, small):
+    def useless_first(numbers, columns, probabilities, by, width):
         tries.append(width)
-        found = brackets(numbers, columns, probabilities, by, width, small)
+        found = brackets(numbers, columns, probabilities, by, width)
         if len(tries) > 1:
             return found
         nowhere = F.array(F.lit(-1e9))
         return found.withColumns({"low": nowhere, "high": nowhere})
 
     monkeypatch.setattr(quantiles, "_brackets", useless_first)
-    row = exact_quantiles(df, ["smooth"], [0.5], buffered_values=0, small_group_rows=0).first()
+    row = exact_quantiles(df, ["smooth"], [0.5]).first()
     assert len(tries) == 2
     assert row["smooth"] == pytest.approx([pdf.smooth.median()])
 
 
-@pytest.mark.parametrize("buffered", [10**9, 0])
-def test_nulls_nan_infinities_and_empty_columns(spark, buffered):
+def test_nulls_nan_infinities_and_empty_columns(spark):
     inf = float("inf")
     df = spark.createDataFrame(
         [(1.0, None, inf), (None, None, -inf), (float("nan"), None, 1.0), (3.0, None, 2.0)], "x double, none double, y double"
     )
-    row = exact_quantiles(df, ["x", "none", "y"], [0.5], buffered_values=buffered).first()
+    row = exact_quantiles(df, ["x", "none", "y"], [0.5]).first()
     assert row["x"] == [2.0] and row["none"] is None and row["y"] == [1.5]
 
 
@@ -106,12 +102,38 @@ def test_same_with_more_groups_than_may_be_broadcast(data, monkeypatch):
     pdf, df = data
     plain = quantiles.join_statistics
     monkeypatch.setattr(quantiles, "join_statistics", lambda a, b, on: plain(a, b, on, max_broadcast_rows=0))
-    found = exact_quantiles(df, ["smooth"], [0.5], ["g"], buffered_values=0, small_group_rows=0)
+    found = exact_quantiles(df, ["smooth"], [0.5], ["g"])
     assert {r.g: r.smooth[0] for r in found.collect()} == pytest.approx(dict(pdf.groupby("g").smooth.median()))
 
 
-@pytest.mark.parametrize("buffered", [10**9, 0])
-def test_a_null_group_is_a_group(spark, buffered):
+def test_a_null_group_is_a_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 9.0)], "g string, x double")
-    found = exact_quantiles(df, ["x"], [0.5], ["g"], buffered_values=buffered, small_group_rows=0).collect()
+    found = exact_quantiles(df, ["x"], [0.5], ["g"]).collect()
     assert {r.g: r.x for r in found} == {"a": [2.0], None: [7.0]}
+
+
+def test_a_heavy_tail_is_dealt_over_tasks(spark, monkeypatch):
+    """A column whose values crowd in one bin of its bracket: no range of the look-up holds most of them."""
+    rng = np.random.default_rng(9)
+    values = np.unique(np.exp(rng.normal(0, 12, 40_000)))
+    df = spark.createDataFrame(pd.DataFrame({"x": values})).repartition(8)
+    dealt = []
+    plain = quantiles.materialize
+
+    def spy(made):
+        out = plain(made)
+        if "chunk" in out.columns:
+            dealt.append([row["n"] for row in out.groupBy("chunk").agg(F.count("*").alias("n")).collect()])
+        return out
+
+    monkeypatch.setattr(quantiles, "materialize", spy)
+    # Brackets as wide as the table, so that the look-up gets every value.
+    monkeypatch.setattr(quantiles, "BRACKET_WIDTHS", (1.0,))
+    with_conf = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        row = exact_quantiles(df, ["x"], [0.5]).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_conf)
+    assert row["x"] == pytest.approx([np.quantile(values, 0.5)])
+    assert len(dealt[0]) > 1 and max(dealt[0]) < 0.5 * len(values) < sum(dealt[0])
