@@ -37,7 +37,7 @@ SIZES = (2, 3, 4)
 BUCKETS = 1 << 15
 BLOCK = 64
 #: Characters of text labelled at a time.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 
 SAMPLE_DOCS = 120
 SAMPLE_CHARS = 2500
