@@ -1,7 +1,9 @@
 """Loan-customer views over the given tables.
 
 The tables are clean, so these views write dirt into them. Each text runs unchanged in Spark SQL and in
-DuckDB; `{table}` stands for the table it reads. Every view reads its whole table.
+DuckDB; `{table}` stands for the table it reads. Every view reads its whole table. Every fifth customer
+has two snapshots, so that a join must use both keys, and loans at every installment have missed none to
+three, so that some are 28 to 31 days past due at the sixth.
 """
 
 from __future__ import annotations
@@ -11,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 ATTRIBUTES_RAW = """
 select 'CUS_' || cast(c_custkey as string) as Customer_ID, c_name as Name,
   case when c_custkey % 50 = 7 then '-500'
-       else cast(15 + c_custkey % 60 as string) || case when c_custkey % 20 = 0 then '_' else '' end end as Age,
+       else cast(15 + (c_custkey + later) % 60 as string) || case when c_custkey % 20 = 0 then '_' else '' end end as Age,
   case when c_custkey % 17 = 0 then '#F%$D@*&8'
        else '100-20-' || lpad(cast(c_custkey % 10000 as string), 4, '0') end as SSN,
   case when c_custkey % 14 = 0 then '_______' else c_mktsegment end as Occupation,
-  make_date(2023 + cast(floor((c_custkey % 24) / 12) as int), cast(c_custkey % 12 as int) + 1, 1) as snapshot_date
-from {customer}
+  make_date(2023 + cast(floor(((c_custkey + later) % 24) / 12) as int), cast((c_custkey + later) % 12 as int) + 1, 1) as snapshot_date
+from (select *, 0 as later from {customer} union all select *, 1 as later from {customer} where c_custkey % 5 = 0) as months
 """
 
 FINANCIALS_RAW = """
@@ -25,7 +27,7 @@ select 'CUS_' || cast(c_custkey as string) as Customer_ID,
   replace(cast(abs(c_acctbal) as string), '.', ',') as Monthly_Inhand_Salary,
   cast(c_custkey % 11 + case when c_custkey % 97 = 0 then 500 else 0 end as string) as Num_Bank_Accounts,
   cast(c_custkey % 9 as string) as Num_Credit_Card,
-  cast(c_custkey % 35 as string) as Interest_Rate,
+  cast((c_custkey + later) % 35 as string) as Interest_Rate,
   cast(case when c_custkey % 10 = 0 then 0 else c_custkey % 4 + 1 end as string)
     || case when c_custkey % 11 = 0 then '_' else '' end as Num_of_Loan,
   case when c_custkey % 10 = 0 then ' '
@@ -48,8 +50,8 @@ select 'CUS_' || cast(c_custkey as string) as Customer_ID,
   case when c_custkey % 29 = 0 then '!@9#%8' when c_custkey % 2 = 0 then 'Low_spent_Small_value_payments'
        else 'High_spent_Large_value_payments' end as Payment_Behaviour,
   case when c_custkey % 31 = 0 then '' else replace(cast(abs(c_acctbal) as string), '.', ',') end as Monthly_Balance,
-  make_date(2023 + cast(floor((c_custkey % 24) / 12) as int), cast(c_custkey % 12 as int) + 1, 1) as snapshot_date
-from {customer}
+  make_date(2023 + cast(floor(((c_custkey + later) % 24) / 12) as int), cast((c_custkey + later) % 12 as int) + 1, 1) as snapshot_date
+from (select *, 0 as later from {customer} union all select *, 1 as later from {customer} where c_custkey % 5 = 0) as months
 """
 
 LMS_RAW = """
@@ -62,7 +64,7 @@ select cast(l_orderkey as string) as loan_id, 'CUS_' || cast(l_partkey as string
        else cast(l_extendedprice as string) end as due_amt,
   case when l_returnflag = 'R' then '0.0' else cast(l_extendedprice as string) end as paid_amt,
   case when l_quantity = 3 then null
-       when l_returnflag = 'R' then cast(l_extendedprice * (l_linenumber % 4) as string)
+       when l_returnflag = 'R' then cast(l_extendedprice * ((l_linenumber + l_orderkey) % 4) as string)
        else '0.0' end as overdue_amt,
   cast(l_extendedprice + l_quantity as string) as balance,
   cast(date_trunc('month', l_shipdate) as date) as snapshot_date
