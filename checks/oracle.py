@@ -3,19 +3,36 @@
 from __future__ import annotations
 
 from checks.views import view_sql
-from snapmart.schemas import (
-    CLICKSTREAM,
-    DECIMAL_COMMA_COLUMNS,
-    FENCED_COLUMNS,
-    FINANCIAL_NUMBERS,
-    FINANCIALS,
-    FLOAT,
-    INT,
-    LMS,
-    PROFILE_FENCED_COLUMNS,
-    STATIC_BOUNDS,
-    TWO_DECIMAL_COLUMNS,
-)
+# Columns, types and ranges, written out here so that a wrong list in the package shows.
+INT, FLOAT, DATE, STRING = "int", "float", "date", "string"
+CLICKSTREAM = {f"fe_{i}": INT for i in range(1, 21)} | {"Customer_ID": STRING, "snapshot_date": DATE}
+LMS = {
+    "loan_id": STRING, "Customer_ID": STRING, "loan_start_date": DATE, "tenure": INT, "installment_num": INT,
+    "loan_amt": FLOAT, "due_amt": FLOAT, "paid_amt": FLOAT, "overdue_amt": FLOAT, "balance": FLOAT,
+    "snapshot_date": DATE,
+}
+FINANCIALS = {
+    "Customer_ID": STRING, "Annual_Income": FLOAT, "Monthly_Inhand_Salary": FLOAT, "Num_Bank_Accounts": INT,
+    "Num_Credit_Card": INT, "Interest_Rate": INT, "Num_of_Loan": INT, "Type_of_Loan": STRING,
+    "Delay_from_due_date": INT, "Num_of_Delayed_Payment": INT, "Changed_Credit_Limit": FLOAT,
+    "Num_Credit_Inquiries": INT, "Credit_Mix": STRING, "Outstanding_Debt": FLOAT, "Credit_Utilization_Ratio": FLOAT,
+    "Credit_History_Age": STRING, "Payment_of_Min_Amount": STRING, "Total_EMI_per_month": FLOAT,
+    "Amount_invested_monthly": FLOAT, "Payment_Behaviour": STRING, "Monthly_Balance": FLOAT, "snapshot_date": DATE,
+}
+FINANCIAL_NUMBERS = [name for name, dtype in FINANCIALS.items() if dtype in (INT, FLOAT)]
+DECIMAL_COMMA_COLUMNS = ["Monthly_Inhand_Salary", "Credit_Utilization_Ratio", "Total_EMI_per_month", "Monthly_Balance"]
+TWO_DECIMAL_COLUMNS = ["Annual_Income", "Changed_Credit_Limit"]
+FENCED_COLUMNS = [
+    "Num_Bank_Accounts", "Num_Credit_Card", "Num_of_Loan", "Delay_from_due_date", "Num_of_Delayed_Payment",
+    "Changed_Credit_Limit", "Outstanding_Debt", "Num_Credit_Inquiries", "Total_EMI_per_month", "Amount_invested_monthly",
+]
+PROFILE_FENCED_COLUMNS = [*FENCED_COLUMNS, "Interest_Rate"]
+STATIC_BOUNDS = {
+    "Num_Bank_Accounts": (0, 10), "Num_Credit_Card": (0, 10), "Interest_Rate": (0, 34), "Num_of_Loan": (0, 9),
+    "Delay_from_due_date": (0, 55), "Num_of_Delayed_Payment": (0, 25), "Changed_Credit_Limit": (0, 30),
+    "Outstanding_Debt": (0, 4500), "Num_Credit_Inquiries": (0, 18), "Total_EMI_per_month": (0, 370),
+    "Amount_invested_monthly": (0, 420),
+}
 
 # The categories and loan types that the views write.
 VOCABULARY = {
@@ -38,7 +55,7 @@ LOAN_TOKENS = (
 
 
 def cast_of(name: str, dtype) -> str:
-    return f"try_cast({name} as {SQL_TYPES[dtype.simpleString()]})"
+    return f"try_cast({name} as {SQL_TYPES[dtype]})"
 
 
 def rounded(name: str, dtype=FLOAT, digits: int = 4) -> str:
@@ -58,7 +75,7 @@ def clean_expression(name: str, dtype) -> str:
 
 
 def clean_columns(blank_loans_to_null: bool = True) -> dict[str, str]:
-    columns = {name: clean_expression(name, dtype) for name, dtype in FINANCIALS.columns}
+    columns = {name: clean_expression(name, dtype) for name, dtype in FINANCIALS.items()}
     if blank_loans_to_null:
         columns["Type_of_Loan"] = "case when trim(Type_of_Loan, ' ') <> '' then Type_of_Loan end"
     return columns
@@ -69,7 +86,7 @@ def select_list(columns: dict[str, str]) -> str:
 
 
 def typed_view(view: str, spec) -> str:
-    return f"select {select_list({n: cast_of(n, t) for n, t in spec.columns})} from {view}"
+    return f"select {select_list({n: cast_of(n, t) for n, t in spec.items()})} from {view}"
 
 
 def clean_financials(blank_loans_to_null: bool = True) -> str:
@@ -170,13 +187,13 @@ def with_ctes(names: list[str], body: str) -> str:
 
 
 def all_columns(spec, prefix: str = "", skip=()) -> str:
-    return ", ".join(rounded(f"{prefix}{name}", dtype) for name, dtype in spec.columns if name not in skip)
+    return ", ".join(rounded(f"{prefix}{name}", dtype) for name, dtype in spec.items() if name not in skip)
 
 
 def customer_columns(skip=()) -> list[str]:
     names = ["Customer_ID", "snapshot_date", "Name", "Age", "Occupation"]
     columns = [name for name in names if name not in skip]
-    for name, dtype in FINANCIALS.columns:
+    for name, dtype in FINANCIALS.items():
         if name not in names and name not in skip:
             columns.append(rounded(name, dtype))
     return columns
@@ -302,7 +319,7 @@ def oracle() -> dict[str, str]:
     clean = clean_columns()
     raw_numbers = ["Monthly_Inhand_Salary", "Num_of_Loan", "Outstanding_Debt", "Amount_invested_monthly", "Monthly_Balance"]
     extracted = ["Annual_Income", "Num_of_Loan", "Outstanding_Debt", "Amount_invested_monthly"]
-    types = dict(FINANCIALS.columns)
+    types = FINANCIALS
     sql: dict[str, str] = {}
 
     sql["scan_snapshot"] = """
@@ -463,7 +480,7 @@ from labels_at_age group by snapshot_date""",
         ["financials_raw"],
         f"select snapshot_date, count(*) as rows_read, {', '.join(audited)} from financials_raw group by snapshot_date",
     )
-    value_columns = [n for n, _ in FINANCIALS.columns if n != "snapshot_date"]
+    value_columns = [n for n, _ in FINANCIALS.items() if n != "snapshot_date"]
     sql["null_profile"] = with_ctes(
         ["financials_raw"],
         "select snapshot_date, "
@@ -482,8 +499,8 @@ from labels_at_age group by snapshot_date""",
     sql["column_info"] = with_ctes(
         ["fin_clean"],
         union(
-            f"select '{n}' as \"column\", '{t.simpleString()}' as dtype, count({n}) as non_null from fin_clean"
-            for n, t in FINANCIALS.columns
+            f"select '{n}' as \"column\", '{t}' as dtype, count({n}) as non_null from fin_clean"
+            for n, t in FINANCIALS.items()
         ),
     )
     sql["dirty_counts"] = with_ctes(
@@ -555,10 +572,10 @@ k as (select i, any_value(x) as x, any_value(n) as n, any_value(hi - lo) as span
   from g, d group by i)
 select cast(i as integer) as point, round(x, 4) as x, round(density * 1000000, 4) as density,
   round(density * n * (span / 50), 4) as curve from k"""
-    sql["profile_table"] = with_ctes(["fin_clean"], metric_rows("fin_clean", FINANCIALS.columns, ["Customer_ID"]))
-    sql["profile_table_lms"] = with_ctes(["lms_typed"], metric_rows("lms_typed", LMS.columns, ["loan_id", "Customer_ID"]))
+    sql["profile_table"] = with_ctes(["fin_clean"], metric_rows("fin_clean", FINANCIALS.items(), ["Customer_ID"]))
+    sql["profile_table_lms"] = with_ctes(["lms_typed"], metric_rows("lms_typed", LMS.items(), ["loan_id", "Customer_ID"]))
     sql["profile_table_clickstream"] = (
         "with clickstream_raw as (" + view_sql("clickstream_raw") + "), clicks as ("
-        + typed_view("clickstream_raw", CLICKSTREAM) + ")\n" + metric_rows("clicks", CLICKSTREAM.columns, ["Customer_ID"])
+        + typed_view("clickstream_raw", CLICKSTREAM) + ")\n" + metric_rows("clicks", CLICKSTREAM.items(), ["Customer_ID"])
     )
     return {name: text.strip() for name, text in sql.items()}

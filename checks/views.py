@@ -75,7 +75,7 @@ CLICKSTREAM_RAW = (
     """
 select 'CUS_' || cast(user_id as string) as Customer_ID,
   cast(cast(floor(value) as bigint) as string) as fe_1, cast(length(event_type) as string) as fe_2,
-  cast(hour(ts) as string) as fe_3,
+  case when event_id % 11 = 0 then 'n/a' when event_id % 13 = 0 then '' else cast(hour(ts) as string) end as fe_3,
 """
     + "".join(f"  cast((user_id + event_id) % {i * 7} - {i} as string) as fe_{i},\n" for i in range(4, 21))
     + """

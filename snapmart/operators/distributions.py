@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,19 +18,23 @@ def number(name: str) -> Column:
     return F.nullif(F.col(name).cast("double"), F.lit(float("nan")))
 
 
+Quartiles = Mapping[str, Sequence[float]]
+
+
+def _described(value: Column, *quartiles: Column) -> Column:
+    return F.struct(
+        F.count(value).alias("n"),
+        F.mean(value).alias("mean"),
+        F.stddev_samp(value).alias("stddev"),
+        F.min(value.cast("double")).alias("min"),
+        *quartiles,
+        F.max(value.cast("double")).alias("max"),
+    )
+
+
 def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """`column`, `n`, `mean`, `stddev` (sample), `min`, `max` for every column, present or all null."""
-    facts = [
-        F.struct(
-            F.count(name).alias("n"),
-            F.mean(name).alias("mean"),
-            F.stddev_samp(name).alias("stddev"),
-            F.min(F.col(name).cast("double")).alias("min"),
-            F.max(F.col(name).cast("double")).alias("max"),
-        ).alias(name)
-        for name in columns
-    ]
-    return stack_columns(df.agg(*facts), columns)
+    return stack_columns(df.agg(*[_described(F.col(name)).alias(name) for name in columns]), columns)
 
 
 def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -39,19 +43,17 @@ def medians(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Da
     return middle.select(*by, "column", F.col("quantiles")[0].alias("median"))
 
 
-def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`describe_table` with the interpolated quartiles `p25`, `p50`, `p75`."""
-    quartiles = stack_quantiles(exact_quantiles(df, columns, [0.25, 0.5, 0.75]), columns).select(
-        "column",
-        *[F.col("quantiles")[i].alias(name) for i, name in enumerate(["p25", "p50", "p75"])],
-    )
-    numbers = df.select(*[number(name).alias(name) for name in columns])
-    return describe_table(numbers, columns).join(quartiles, "column", "left").select(
-        "column", "n", "mean", "stddev", "min", "p25", "p50", "p75", "max"
-    )
+def summary_stats(df: DataFrame, columns: Sequence[str], quartiles: Quartiles | None = None) -> DataFrame:
+    """`describe_table` with the interpolated quartiles `p25`, `p50`, `p75`; `quartiles` if they are known already."""
+    quartiles = quartile_row(df, columns) if quartiles is None else quartiles
+    facts = []
+    for name in columns:
+        own = zip(["p25", "p50", "p75"], quartiles.get(name, (None, None, None)))
+        facts.append(_described(number(name), *[_number(value).alias(title) for title, value in own]).alias(name))
+    return stack_columns(df.agg(*facts), columns)
 
 
-def _quartile_row(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
+def quartile_row(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
     """Interpolated quartiles on the driver: three numbers per column that has values."""
     row = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).first()
     return {name: row[name] for name in columns if row[name] is not None}
@@ -63,7 +65,7 @@ def _number(value: float | None) -> Column:
 
 def iqr_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, both Tukey bounds and the values outside them, one row per column."""
-    quartiles = _quartile_row(df, columns)
+    quartiles = quartile_row(df, columns)
     facts = []
     for name in columns:
         q1, median, q3 = quartiles.get(name, (None, None, None))
@@ -89,9 +91,9 @@ def iqr_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stack_columns(df.agg(*facts), columns)
 
 
-def boxplot_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def boxplot_stats(df: DataFrame, columns: Sequence[str], quartiles: Quartiles | None = None) -> DataFrame:
     """Quartiles, whisker ends (furthest values within 1.5 quartile ranges) and the count beyond them."""
-    quartiles = _quartile_row(df, columns)
+    quartiles = quartile_row(df, columns) if quartiles is None else quartiles
     present = [name for name in columns if name in quartiles]
     facts = []
     for name in present:

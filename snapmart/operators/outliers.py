@@ -52,17 +52,34 @@ def upper_fences(
     )
 
 
-def below_fences(
+def fence_row(
     df: DataFrame,
     columns: Sequence[str],
     by: Sequence[str] = (SNAPSHOT,),
     k: float = FENCE_FACTOR,
     exact: bool = False,
 ) -> DataFrame:
-    """Rows with every column between 0 and its fence; all fences come from the unfiltered input."""
+    """`by` and `{column}_fence` for every column, one row per group."""
     quartiles = _quartiles(df, columns, by, exact)
+    return quartiles.select(*by, *[_fence(name, k).alias(f"{name}_fence") for name in columns])
+
+
+def below_fences(
+    df: DataFrame,
+    columns: Sequence[str],
+    by: Sequence[str] = (SNAPSHOT,),
+    k: float = FENCE_FACTOR,
+    exact: bool = False,
+    fences: DataFrame | None = None,
+) -> DataFrame:
+    """Rows with every column between 0 and its fence; all fences come from the unfiltered input.
+
+    `fences` is a stored `fence_row` of that input, if there is one; else they are computed and materialized.
+    """
     upper = {name: f"{name}_fence" for name in columns}
-    fences = quartiles.select(*by, *[_fence(name, k).alias(upper[name]) for name in columns])
+    stored = fences is not None
+    if not stored:
+        fences = fence_row(df, columns, by, k, exact)
     if not by:
         # One row of numbers: as literals they reach the scan.
         found = fences.first()
@@ -73,4 +90,5 @@ def below_fences(
     inside = all_of(
         F.coalesce(F.col(name).between(F.lit(0), F.col(upper[name])), F.lit(False)) for name in columns
     )
-    return join_statistics(df, materialize(fences), by).where(inside).select(*df.columns)
+    kept = join_statistics(df, fences if stored else materialize(fences), by).where(inside)
+    return kept.select(*df.columns)

@@ -6,16 +6,24 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from snapmart.functions.dates import month_starts
 from snapmart.operators.features import Vocabulary, build_vocabulary, engineer_features, read_vocabulary
 from snapmart.operators.loans import label_store
+from snapmart.operators.quality import null_profile, step_audit
 from snapmart.plans.bronze import build_bronze, rejected_rows
 from snapmart.plans.gold import gold_clickstream, gold_customer
-from snapmart.plans.silver import build_silver
+from snapmart.plans.profiling import PROFILES
+from snapmart.plans.silver import (
+    build_silver,
+    cleaning_steps,
+    financial_fences,
+    reviewed_export,
+    silver_financials,
+)
 from snapmart.schemas import DATASETS, DEFAULT_DPD, DEFAULT_MOB, SNAPSHOT, silver_schema
-from snapmart.sources.delimited import read_delimited
+from snapmart.sources.delimited import read_delimited, write_delimited
 from snapmart.sources.snapshots import path_exists, read_snapshots, table_path, write_snapshots
 
 LAYERS = ("bronze", "silver", "gold")
@@ -35,6 +43,8 @@ class DatamartConfig:
     dpd: int = DEFAULT_DPD
     mob: int = DEFAULT_MOB
     strict: bool = False
+    #: Write the bronze tables as CSV too, under `{root}/bronze_csv`.
+    bronze_csv: bool = False
 
     def path(self, layer: str, name: str) -> str:
         return table_path(self.root, layer, name)
@@ -51,36 +61,62 @@ def run_bronze(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[
         raw = read_delimited(spark, source, spec.column_names, strict=config.strict)
         rejected_rows(raw, spec).write.mode("overwrite").parquet(config.path("rejects", name))
         bronze = build_bronze(raw, spec, snapshots, config.strict)
-        rows[f"bronze/{name}"] = write_snapshots(bronze, config.path("bronze", name), snapshots)
+        path = config.path("bronze", name)
+        rows[f"bronze/{name}"] = write_snapshots(bronze, path, snapshots)
+        if config.bronze_csv:
+            written = read_snapshots(spark, path, snapshots, spec.bronze_schema)
+            write_delimited(written, config.path("bronze_csv", name), [SNAPSHOT])
     return rows
 
 
+def report(spark: SparkSession, config: DatamartConfig, name: str, table: DataFrame, snapshots: Sequence[date]) -> DataFrame:
+    """Save a table of few numbers per snapshot, and read it again."""
+    path = config.path("reports", name)
+    write_snapshots(table, path, snapshots, rebalance=False)
+    return read_snapshots(spark, path, snapshots, table.schema)
+
+
 def run_silver(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[date]) -> RowCounts:
     rows = {}
     for name, spec in DATASETS.items():
+        if not path_exists(spark, config.path("bronze", name)):
+            continue
         bronze = read_snapshots(spark, config.path("bronze", name), snapshots, spec.bronze_schema)
-        silver = build_silver(name, bronze, config.strict)
+        report(spark, config, f"cleaning_{name}", step_audit(bronze, cleaning_steps(name), [SNAPSHOT]), snapshots)
+        if name == "financials":
+            fences = report(spark, config, "fences", financial_fences(bronze, config.strict), snapshots)
+            silver = silver_financials(bronze, config.strict, fences=fences)
+        else:
+            silver = build_silver(name, bronze, config.strict)
         path = config.path("silver", name)
         rows[f"silver/{name}"] = write_snapshots(silver, path, snapshots, rebalance=False)
     return rows
 
 
 def run_gold(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[date]) -> RowCounts:
-    def silver(name: str):
+    def has(*names: str) -> bool:
+        return all(path_exists(spark, config.path("silver", name)) for name in names)
+
+    def silver(name: str) -> DataFrame:
         return read_snapshots(spark, config.path("silver", name), snapshots, silver_schema(name))
 
     rows = {}
-    path = config.path("gold", "feature_store_clickstream")
-    clickstream = gold_clickstream(silver("clickstream"))
-    rows["gold/feature_store_clickstream"] = write_snapshots(clickstream, path, snapshots, rebalance=False)
-
-    path = config.path("gold", "label_store")
-    labels = label_store(silver("lms"), config.dpd, config.mob)
-    rows["gold/label_store"] = write_snapshots(labels, path, snapshots, rebalance=False)
+    if has("clickstream"):
+        path = config.path("gold", "feature_store_clickstream")
+        clickstream = gold_clickstream(silver("clickstream"))
+        rows["gold/feature_store_clickstream"] = write_snapshots(clickstream, path, snapshots, rebalance=False)
+    if has("lms"):
+        path = config.path("gold", "label_store")
+        labels = label_store(silver("lms"), config.dpd, config.mob)
+        rows["gold/label_store"] = write_snapshots(labels, path, snapshots, rebalance=False)
+    if not has("attributes", "financials"):
+        return rows
 
     customer_path = config.path("gold", "feature_store_customer")
     customer = gold_customer(silver("attributes"), silver("financials"))
     rows["gold/feature_store_customer"] = write_snapshots(customer, customer_path, snapshots)
+    joined = read_snapshots(spark, customer_path, snapshots, customer.schema)
+    report(spark, config, "customer_nulls", null_profile(joined, [SNAPSHOT]), snapshots)
 
     # The vocabulary covers every month of the customer table, so a new value changes the columns of all of
     # them, also of those outside the configured range. It is saved last: should the run break off, the next one finds the old vocabulary and redoes them all.
@@ -113,7 +149,8 @@ def run_datamart(
     """Build the layers for all configured months, or again for some of them.
 
     Returns the rows written per table and snapshot. The number of jobs does not depend on the number
-    of snapshots.
+    of snapshots. Tables whose sources were never read are left out. Under `{root}/reports` are, per snapshot,
+    the rows left after each cleaning step, the fences, and the nulls after the customer join.
     """
     unknown = set(layers) - set(LAYERS)
     if unknown:
@@ -125,3 +162,22 @@ def run_datamart(
         if layer in layers:
             rows.update(steps[layer](spark, config, chosen))
     return rows
+
+
+def run_profiles(spark: SparkSession, config: DatamartConfig, names: Sequence[str] = tuple(PROFILES)) -> list[str]:
+    """Save the profiles of the bronze tables and of the joined customers over all months; returns their paths."""
+    paths = []
+    for name in names:
+        layer, table, profile = PROFILES[name]
+        schema = DATASETS[table].bronze_schema if layer == "bronze" else None
+        for title, found in profile(read_snapshots(spark, config.path(layer, table), schema=schema)).items():
+            paths.append(config.path("profiles", f"{name}/{title}"))
+            found.write.mode("overwrite").parquet(paths[-1])
+    return paths
+
+
+def run_export(spark: SparkSession, config: DatamartConfig, path: str) -> None:
+    """Write the reviewed financials of all months as CSV."""
+    schema = DATASETS["financials"].bronze_schema
+    bronze = read_snapshots(spark, config.path("bronze", "financials"), schema=schema)
+    write_delimited(reviewed_export(bronze, config.strict), path)

@@ -95,6 +95,7 @@ def profile_attributes(bronze: DataFrame) -> Reports:
     aged = known.withColumn("Age", clean_age(F.col("Age")))
     age = F.col("Age")
     sentinels = {f"bad_{name}": F.col(name) == text for name, text in ATTRIBUTE_SENTINELS.items()}
+    sentinels["underscored_Age"] = F.col("Age").cast("string").contains("_")
     ages = {
         "above": age > AGE_RANGE[1],
         "below": age < AGE_RANGE[0],
@@ -106,7 +107,7 @@ def profile_attributes(bronze: DataFrame) -> Reports:
         "occupations": counts.value_counts(bronze, "Occupation"),
         "sentinels": quality.count_matching(bronze, sentinels),
         "sentinels_left": quality.count_matching(
-            silver_attributes(bronze), {"bad_Occupation": sentinels["bad_Occupation"]}
+            silver_attributes(bronze), {name: sentinels[name] for name in ("bad_Occupation", "underscored_Age")}
         ),
         "rejected": quality.rejected_values(bronze, {"Age": clean_age(F.col("Age"))}),
         "distinct_customers": counts.distinct_keys(known, ["Customer_ID"]),
@@ -148,16 +149,18 @@ def profile_financials(bronze: DataFrame) -> Reports:
     coerced = bronze.select(*[coerce_number(F.col(name)).alias(name) for name in FINANCIAL_NUMBERS])
     cleaned = clean_financials(bronze)
     numbers = list(FINANCIAL_NUMBERS)
+    quartiles = distributions.quartile_row(cleaned, numbers)
     reports = {
         "columns": quality.column_info(bronze),
         "nulls": quality.null_profile(bronze),
         "rejected": quality.rejected_values(bronze, financial_columns()),
         "categories": counts.column_value_counts(bronze, ["Credit_Mix", "Payment_Behaviour"]),
         "loan_types": features.token_value_counts(bronze),
+        "raw_summary": distributions.describe_table(coerced, numbers),
         "iqr": distributions.iqr_report(coerced, numbers),
         "values": counts.column_value_counts(cleaned, numbers),
-        "summary": distributions.summary_stats(cleaned, numbers),
-        "boxplots": distributions.boxplot_stats(cleaned, numbers),
+        "summary": distributions.summary_stats(cleaned, numbers, quartiles),
+        "boxplots": distributions.boxplot_stats(cleaned, numbers, quartiles),
         "delay_histogram": distributions.integer_histogram(cleaned, "Delay_from_due_date"),
         "fences": outliers.upper_fences(cleaned, PROFILE_FENCED_COLUMNS, by=()),
         "no_loan_list": counts.counts_by(cleaned.where(F.col("Type_of_Loan").isNull()), "Num_of_Loan"),
@@ -176,3 +179,13 @@ def profile_customer(customer: DataFrame) -> Reports:
         "nulls": quality.null_report(customer, [SNAPSHOT]),
         "no_loan_list": counts.counts_by(customer.where(F.col("Type_of_Loan").isNull()), "Num_of_Loan"),
     }
+
+
+#: Layer and table that each profile reads.
+PROFILES = {
+    "clickstream": ("bronze", "clickstream", profile_clickstream),
+    "attributes": ("bronze", "attributes", profile_attributes),
+    "financials": ("bronze", "financials", profile_financials),
+    "lms": ("bronze", "lms", profile_lms),
+    "customer": ("gold", "feature_store_customer", profile_customer),
+}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapmart.functions.cleaning import blank_to_null, clean_age, clean_number, typed
 from snapmart.operators.loans import with_days_past_due, with_missed_installments
-from snapmart.operators.outliers import below_fences
+from snapmart.operators.outliers import below_fences, fence_row
 from snapmart.operators.rows import enforce_schema, within_bounds, without_sentinels
 from snapmart.schemas import (
     AGE_RANGE,
@@ -23,7 +23,9 @@ from snapmart.schemas import (
     FINANCIALS,
     LMS,
     PII_COLUMNS,
+    PROFILE_FENCED_COLUMNS,
     SNAPSHOT,
+    STATIC_BOUNDS,
     TOKEN_COLUMN,
     TWO_DECIMAL_COLUMNS,
     dataset,
@@ -94,19 +96,49 @@ def silver_financials(
     exact_fences: bool = False,
     bounds: Mapping[str, tuple[float, float]] | None = None,
     blank_loans_to_null: bool = True,
+    fences: DataFrame | None = None,
 ) -> DataFrame:
     """Cleaned financials below their fences, taken per snapshot or over the whole table.
 
-    `bounds` cuts at fixed ranges as well, as the reviewed export does.
+    `bounds` cuts at fixed ranges as well, as the reviewed export does. `fences` are those of `financial_fences`,
+    if they are stored.
     """
     scopes = {"snapshot": (SNAPSHOT,), "global": ()}
     if fence_scope not in scopes:
         raise ValueError(f"unknown fence scope {fence_scope!r}, expected one of {sorted(scopes)}")
     cleaned = clean_financials(bronze, strict, blank_loans_to_null)
-    fenced = below_fences(cleaned, fence_columns, scopes[fence_scope], exact=exact_fences)
+    fenced = below_fences(cleaned, fence_columns, scopes[fence_scope], exact=exact_fences, fences=fences)
     return within_bounds(fenced, bounds) if bounds else fenced
 
 
+def financial_fences(bronze: DataFrame, strict: bool = False) -> DataFrame:
+    """The fences of every snapshot, one row each."""
+    return fence_row(clean_financials(bronze, strict), FENCED_COLUMNS)
+
+
+def reviewed_export(bronze: DataFrame, strict: bool = False) -> DataFrame:
+    """Financials below pooled fences and inside the reviewed ranges, blank loan lists left as they are."""
+    return silver_financials(
+        bronze,
+        strict,
+        fence_scope="global",
+        fence_columns=PROFILE_FENCED_COLUMNS,
+        bounds=STATIC_BOUNDS,
+        blank_loans_to_null=False,
+    )
+
+
+def cleaning_steps(name: str) -> dict[str, Column]:
+    """What each filter of a dataset asks of a bronze row, in order; the fences of financials come after them."""
+    if name == "attributes":
+        known = {column: F.col(column) != text for column, text in ATTRIBUTE_SENTINELS.items()}
+        return {**known, "Age": clean_age(F.col("Age")).between(*AGE_RANGE)}
+    if name == "financials":
+        known = {column: F.col(column) != text for column, text in FINANCIAL_SENTINELS.items()}
+        return {**known, "Monthly_Balance": financial_columns()["Monthly_Balance"].isNotNull()}
+    return {}
+
+
 def silver_lms(bronze: DataFrame, strict: bool = False) -> DataFrame:
     """Typed installments with months on book, missed installments and days past due."""
     typed_rows = enforce_schema(bronze, LMS.typed_schema, strict)

@@ -42,5 +42,11 @@ def read_delimited(
 def write_delimited(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), sep: str = ",", mode: str = "overwrite"
 ) -> None:
-    """Part files with a header each, written by the executors; dates in ISO form."""
-    df.write.options(**FORMAT, sep=sep).mode(mode).partitionBy(*partition_by).csv(path)
+    """Part files with a header each, written by the executors; dates in ISO form.
+
+    Of a partitioned table, only the partitions found in the rows are replaced.
+    """
+    writer = df.write.options(**FORMAT, sep=sep).mode(mode).partitionBy(*partition_by)
+    if partition_by:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.csv(path)

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from snapmart.operators.features import read_vocabulary
 from snapmart.plans import profiling
 from snapmart.plans.bronze import build_bronze, rejected_rows
-from snapmart.plans.datamart import DatamartConfig, run_datamart
-from snapmart.plans.silver import build_silver, silver_financials
-from snapmart.schemas import DATASETS, PROFILE_FENCED_COLUMNS, SNAPSHOT, STATIC_BOUNDS, dataset, silver_schema
-from snapmart.sources.delimited import read_delimited, write_delimited
+from snapmart.plans.datamart import DatamartConfig, run_datamart, run_export, run_profiles
+from snapmart.plans.silver import build_silver, reviewed_export, silver_financials
+from snapmart.schemas import DATASETS, PROFILE_FENCED_COLUMNS, SNAPSHOT, dataset, silver_schema
+from snapmart.sources.delimited import read_delimited
 from snapmart.sources.snapshots import read_snapshots
 from tests import raw
 from tests.conftest import rows
@@ -170,20 +170,64 @@ def test_unknown_names(spark, mart):
 
 
 def test_reviewed_export(spark, mart, tmp_path):
-    bronze = read_snapshots(spark, mart[0].path("bronze", "financials"))
-    export = silver_financials(
-        bronze,
-        fence_scope="global",
-        fence_columns=PROFILE_FENCED_COLUMNS,
-        bounds=STATIC_BOUNDS,
-        blank_loans_to_null=False,
-    )
-    write_delimited(export, str(tmp_path / "export"))
+    run_export(spark, mart[0], str(tmp_path / "export"))
+    export = reviewed_export(read_snapshots(spark, mart[0].path("bronze", "financials")))
     again = read_delimited(spark, str(tmp_path / "export"), export.columns)
     assert again.count() == export.count() > 0
     assert again.where("Type_of_Loan = ' '").count() > 0
 
 
+def test_reports_of_the_run(spark, mart):
+    config, written = mart
+    audit = {row[SNAPSHOT]: row for row in read_snapshots(spark, config.path("reports", "cleaning_attributes")).collect()}
+    assert {day: row.rows_read for day, row in audit.items()} == written["bronze/attributes"]
+    assert {day: row.after_Age for day, row in audit.items()} == written["silver/attributes"]
+    audit = read_snapshots(spark, config.path("reports", "cleaning_financials")).collect()
+    for row in audit:
+        assert row.rows_read >= row.after_Credit_Mix >= row.after_Monthly_Balance
+        assert row.after_Monthly_Balance >= written["silver/financials"][row[SNAPSHOT]] > 0
+    fences = {row[SNAPSHOT]: row for row in read_snapshots(spark, config.path("reports", "fences")).collect()}
+    silver = read_snapshots(spark, config.path("silver", "financials"))
+    for row in silver.groupBy(SNAPSHOT).agg(F.max("Num_Bank_Accounts").alias("most")).collect():
+        assert row.most <= fences[row[SNAPSHOT]].Num_Bank_Accounts_fence < 500
+    nulls = read_snapshots(spark, config.path("reports", "customer_nulls"))
+    customers = gold(spark, config, "feature_store_customer").where("Type_of_Loan is null").groupBy(SNAPSHOT).count()
+    assert sorted(rows(nulls.select(SNAPSHOT, "Type_of_Loan"))) == sorted(rows(customers))
+    assert nulls.agg(F.sum("Age")).first()[0] == 0
+
+
+def test_stored_fences_keep_the_same_rows(spark, mart):
+    bronze = read_snapshots(spark, mart[0].path("bronze", "financials"))
+    silver = read_snapshots(spark, mart[0].path("silver", "financials"))
+    assert sorted(map(str, rows(silver_financials(bronze).select(*silver.columns)))) == sorted(map(str, rows(silver)))
+
+
+def test_some_sources_build_their_tables_only(spark, mart, tmp_path):
+    sources = {"lms": mart[0].sources["lms"]}
+    written = run_datamart(spark, DatamartConfig(str(tmp_path), sources, JAN, MAR))
+    assert set(written) == {"bronze/lms", "silver/lms", "gold/label_store"}
+    assert written["gold/label_store"] == mart[1]["gold/label_store"]
+
+
+def test_bronze_as_csv_too(spark, mart, tmp_path):
+    sources = {"attributes": mart[0].sources["attributes"]}
+    config = DatamartConfig(str(tmp_path), sources, JAN, MAR, bronze_csv=True)
+    run_datamart(spark, config, layers=["bronze"])
+    run_datamart(spark, config, [FEB], layers=["bronze"])
+    table = read_snapshots(spark, config.path("bronze", "attributes"))
+    again = spark.read.options(header=True, escape='"').csv(config.path("bronze_csv", "attributes")).select(*table.columns)
+    assert sorted(map(str, rows(again))) == sorted(map(str, rows(table))) and again.count() == 240
+
+
+def test_saved_profiles(spark, mart):
+    config, _ = mart
+    paths = run_profiles(spark, config, ["attributes", "customer"])
+    assert config.path("profiles", "customer/nulls") in paths
+    left = spark.read.parquet(config.path("profiles", "attributes/sentinels_left")).first()
+    assert (left.bad_Occupation, left.underscored_Age) == (0, 0)
+    assert spark.read.parquet(config.path("profiles", "attributes/sentinels")).first().underscored_Age == 24
+
+
 def test_profiles_of_every_dataset(spark, mart):
     jobs = {
         "clickstream": profiling.profile_clickstream,
