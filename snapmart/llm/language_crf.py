@@ -24,12 +24,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.store import materialize, small_enough, without_rows
+from snapmart.llm.store import materialize, slices, small_enough, without_rows
 
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -251,16 +252,20 @@ def label_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float,
 
 
 def predict(model: Model | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            chars = batch["text"].str.len().fillna(0).cumsum() // BATCH_CHARS
-            for _, part in batch.groupby(chars.to_numpy()):
-                texts = [text if isinstance(text, str) else None for text in part["text"]]
+    names = ("lang", "first_word", "n_words")
+    segments = pa.list_(pa.struct(list(zip(names, (pa.string(), pa.int32(), pa.int32())))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            chars = np.cumsum(pc.utf8_length(part["text"].fill_null("")).to_numpy()) // BATCH_CHARS
+            ends = [0, *(np.flatnonzero(np.diff(chars)) + 1).tolist(), part.num_rows]
+            for own in (part.slice(a, b - a) for a, b in zip(ends, ends[1:])):
+                texts = own["text"].to_pylist()
                 found = label_texts(model, texts) if model else [(UNKNOWN, 0.0, [])] * len(texts)
-                out = part.drop(columns="text").reset_index(drop=True)
-                out["lang_pred"], out["score"], out["segments"] = [list(column) for column in zip(*found)]
-                out["segments"] = [[dict(zip(("lang", "first_word", "n_words"), s)) for s in runs] for runs in out["segments"]]
-                yield out
+                lang, score, runs = zip(*found)
+                told = [[dict(zip(names, segment)) for segment in own_runs] for own_runs in runs]
+                columns = [own["row_id"], own["doc_id"], pa.array(lang), pa.array(score), pa.array(told, segments)]
+                yield pa.RecordBatch.from_arrays(columns, names=["row_id", "doc_id", "lang_pred", "score", "segments"])
 
     return run
 
@@ -272,7 +277,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     )
     kind = texts.schema["doc_id"].dataType.simpleString()
     segments = "array<struct<lang:string,first_word:int,n_words:int>>"
-    return texts.mapInPandas(
+    return texts.mapInArrow(
         predict(model), f"row_id long, doc_id {kind}, lang_pred string, score double, segments {segments}"
     )
 

@@ -23,11 +23,11 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.llm.store import materialize
+from snapmart.llm.store import materialize, slices
 from snapmart.llm.tokens import default_path, load
 
 LENGTH = 1024
@@ -41,16 +41,20 @@ def piece_starts(n: int, length: int) -> list[int]:
 
 
 def cut_pieces(path: str, length: int, end: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)
-        for batch in batches:
+        for part in slices(batches):
             rows = []
-            for row_id, doc_id, text in zip(batch["row_id"], batch["doc_id"], batch["text"]):
-                ids = np.append(tokenizer.encode(text), np.uint32(end)).astype("<u4")
+            for at, text in enumerate(part["text"]):
+                ids = np.append(tokenizer.encode(text.as_py()), np.uint32(end)).astype("<u4")
                 starts = piece_starts(len(ids), length)
                 for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
-                    rows.append((row_id, doc_id, piece, a, b - a, zlib.crc32(ids[a:b].tobytes())))
-            yield pd.DataFrame(rows, columns=["row_id", "doc_id", "piece", "start", "length", "ids_crc32"])
+                    rows.append((at, piece, a, b - a, zlib.crc32(ids[a:b].tobytes())))
+            of, piece, start, size, crc = (pa.array(column, pa.int64()) for column in zip(*rows))
+            yield pa.RecordBatch.from_arrays(
+                [part["row_id"].take(of), part["doc_id"].take(of), piece.cast(pa.int32()), start, size, crc],
+                names=["row_id", "doc_id", "piece", "start", "length", "ids_crc32"],
+            )
 
     return run
 
@@ -63,7 +67,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, length: int,
     )
     kind = texts.schema["doc_id"].dataType.simpleString()
     schema = f"row_id long, doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    return texts.mapInPandas(cut_pieces(path, length, end), schema)
+    return texts.mapInArrow(cut_pieces(path, length, end), schema)
 
 
 def best_fit(counts: dict[int, int], length: int) -> list[tuple[int, int, int, int, int, int]]:

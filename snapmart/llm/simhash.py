@@ -24,12 +24,13 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm.components import components
-from snapmart.llm.store import materialize, without_rows
+from snapmart.llm.store import materialize, slices, without_rows
 
 SHINGLE = 3
 RADIUS = 3
@@ -60,17 +61,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """row_id, doc_id, fp: the fingerprint as a signed long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [fingerprint(text, shingle) for text in batch["text"]]
-            fp = np.array(found, np.uint64).view(np.int64)
-            yield pd.DataFrame({"row_id": batch["row_id"], "doc_id": batch["doc_id"], "fp": fp})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = [fingerprint(text.as_py(), shingle) for text in part["text"]]
+            fp = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([part["row_id"], part["doc_id"], fp], names=["row_id", "doc_id", "fp"])
 
     slim = docs.select(
         F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
     )
     kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInPandas(run, f"row_id long, doc_id {kind}, fp long")
+    return slim.mapInArrow(run, f"row_id long, doc_id {kind}, fp long")
 
 
 def deeper(mask: int, radius: int) -> list[int]:
