@@ -8,12 +8,15 @@ suffix. To score, the different grams of each block of documents are joined with
 the part of the model it needs; that part and the block's documents, which travel as compressed Arrow batches, meet in
 one task. Nothing is broadcast, and no document's grams are shuffled one by one.
 
-A document is kept if its perplexity is at most MARGIN times the QUANTILE quantile of the trusted documents of its
-language; languages without trusted documents take that of all trusted documents.
+A document is kept if its perplexity is at most the QUANTILE quantile of the trusted documents of its language; languages
+without trusted documents take that of all trusted documents. A model knows the documents it counted better than others,
+so the quantile is of perplexities by a model that did not count them: trusted documents fall in two folds by the hash of
+their text, which keeps copies together, and each fold is scored by the counts of the other.
 
 Defined results: a null text counts as empty, and an empty text has the perplexity of the end mark. Null languages are a
 language of their own. Repeated rows are scored one by one; a trusted id that repeats is trusted in every row. Without
-any trusted text the perplexity is null and every document is kept. An empty table gives an empty result.
+any trusted text the perplexity is null and every document is kept. Where all trusted text falls in one fold, the quantile
+is of the perplexities by the whole model. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,8 +33,7 @@ from snapmart.llm.store import materialize, small_enough
 
 ORDER = 4
 QUANTILE = 0.99
-#: The model has seen the trusted documents, so their perplexities lie below those of other good text.
-MARGIN = 1.5
+FOLDS = 2
 #: Trusted ids broadcast at most: 8 bytes each.
 BROADCAST_IDS = 2_000_000
 BEGIN, STOP, BEYOND = 0x02, 0x03, 0xFFFD
@@ -82,16 +84,19 @@ def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def scored(docs: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-    """Log probability of each document of a block."""
+    """Log probability of each document of a block, by the model and by that which did not count its fold."""
     model = model.sort_values("gram")
     grams, logs = model["gram"].to_numpy(), model["log_p"].to_numpy()
+    unseen = [model[f"unseen_{fold}"].to_numpy() for fold in range(FOLDS)]
     out = []
     for data in docs["data"]:
         part = pa.ipc.open_stream(data).read_pandas()
         own, sizes = grams_of(part["text"].tolist())
-        sums = np.add.reduceat(logs[np.searchsorted(grams, own)], np.cumsum(sizes) - sizes)
-        out.append(pd.DataFrame({"row_id": part["row_id"], "log_p": sums, "events": sizes}))
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"row_id": [], "log_p": [], "events": []})
+        at, starts = np.searchsorted(grams, own), np.cumsum(sizes) - sizes
+        sums = np.add.reduceat(logs[at], starts)
+        other = np.choose(part["fold"].to_numpy(), [np.add.reduceat(one[at], starts) for one in unseen])
+        out.append(pd.DataFrame({"row_id": part["row_id"], "log_p": sums, "unseen_p": other, "events": sizes}))
+    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"row_id": [], "log_p": [], "unseen_p": [], "events": []})
 
 
 def suffix(gram: Column, order: int) -> Column:
@@ -161,10 +166,22 @@ def train(trusted: DataFrame, text_col: str = "text") -> DataFrame:
     return materialize(texts.mapInPandas(counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
 
 
-def perplexities(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row_id, perplexity, events of every document under the model of the counts."""
+def fold_of(text: Column) -> Column:
+    """The fold of a text; copies have the same."""
+    return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(FOLDS)).cast("int")
+
+
+def perplexities(
+    docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: list[DataFrame] | None = None
+) -> DataFrame:
+    """row_id, perplexity, unseen, events of every document under the model of the counts.
+
+    folds: counts of each fold; unseen is the perplexity by the counts of the other fold, null without folds.
+    """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+        F.monotonically_increasing_id().alias("row_id"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        fold_of(F.col(text_col)).alias("fold"),
     ).withColumn("block", F.shiftright("row_id", 33))
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -181,12 +198,20 @@ def perplexities(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", tex
                 yield pd.DataFrame({"block": block, "gram": found["gram"]})
 
     asked = materialize(rows.select("block", "text").mapInPandas(grams, "block long, gram long"))
-    logs = log_probabilities(asked.select("gram").distinct(), *model_tables(counts))
+    different = asked.select("gram").distinct()
+    logs = log_probabilities(different, *model_tables(counts))
+    for fold in range(FOLDS):
+        unseen = F.lit(None).cast("double")
+        if folds:
+            other = log_probabilities(different, *model_tables(folds[1 - fold]))
+            logs, unseen = logs.join(other.withColumnRenamed("log_p", "unseen"), "gram"), F.col("unseen")
+        logs = logs.withColumn(f"unseen_{fold}", unseen).drop("unseen")
     parts = asked.join(logs, "gram")
     texts = rows.mapInPandas(packed, "block long, data binary")
-    met = texts.groupBy("block").cogroup(parts.select("block", "gram", "log_p").groupBy("block"))
-    out = met.applyInPandas(scored, "row_id long, log_p double, events long")
-    return out.select("row_id", F.round(F.exp(-F.col("log_p") / F.col("events")), 6).alias("perplexity"), "events")
+    met = texts.groupBy("block").cogroup(parts.groupBy("block"))
+    out = met.applyInPandas(scored, "row_id long, log_p double, unseen_p double, events long")
+    mean = lambda log_p: F.round(F.exp(-F.nanvl(log_p, F.lit(None)) / F.col("events")), 6)
+    return out.select("row_id", mean(F.col("log_p")).alias("perplexity"), mean(F.col("unseen_p")).alias("unseen"), "events")
 
 
 def quality(
@@ -197,22 +222,25 @@ def quality(
     lang_col: str = "lang",
     *,
     quantile: float = QUANTILE,
-    margin: float = MARGIN,
 ) -> DataFrame:
     """One row per document: row_id, doc_id, lang, trusted, perplexity, threshold, kept. trusted_ids: doc_id."""
     ids = materialize(trusted_ids.select("doc_id").filter("doc_id is not null").distinct())
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    counts = train(slim.join(small_enough(ids, BROADCAST_IDS), "doc_id", "left_semi"))
+    known = slim.join(small_enough(ids, BROADCAST_IDS), "doc_id", "left_semi")
+    folds = [train(known.filter(fold_of(F.col("text")) == fold)) for fold in range(FOLDS)]
+    both = folds[0].unionByName(folds[1]).groupBy("gram").agg(F.sum("n").alias("n"))
     keys = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"))
     keys = keys.join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    if counts.isEmpty():
+    held = [not fold.isEmpty() for fold in folds]
+    if not any(held):
         nothing = F.lit(None).cast("double")
         return keys.select("row_id", "doc_id", "lang", "trusted", nothing.alias("perplexity"), nothing.alias("threshold"), F.lit(True).alias("kept"))
-    rows = materialize(keys.join(perplexities(docs, counts, id_col, text_col), "row_id"))
-    at = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * margin
-    known = rows.filter("trusted")
-    by_lang = known.groupBy(F.col("lang").alias("of")).agg(F.round(at, 6).alias("own"))
-    overall = known.agg(F.round(at, 6)).first()[0]
+    found = perplexities(docs, materialize(both), id_col, text_col, folds if all(held) else None)
+    rows = materialize(keys.join(found, "row_id"))
+    at = F.round(F.percentile_approx(F.coalesce("unseen", "perplexity"), F.lit(quantile), F.lit(10_000)), 6)
+    trusted = rows.filter("trusted")
+    by_lang = trusted.groupBy(F.col("lang").alias("of")).agg(at.alias("own"))
+    overall = trusted.agg(at).first()[0]
     judged = rows.join(by_lang, F.col("lang").eqNullSafe(F.col("of")), "left")
     threshold = F.coalesce("own", F.lit(overall))
     return judged.select(

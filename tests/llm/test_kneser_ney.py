@@ -83,3 +83,13 @@ def test_edges(spark, edge, empty):
     unknown = kn.quality(edge, ids.limit(0))
     assert unknown.count() == len(ROWS) and unknown.filter("not kept or perplexity is not null").count() == 0
     assert kn.quality(empty, ids).count() == 0
+
+
+def test_threshold_is_the_quantile_of_unseen_perplexities(spark):
+    texts = [*dict.fromkeys(TEXTS), *(f"the {a} ran on the {b}." for a in ("cat", "dog", "mat") for b in ("mat", "sand", "log"))]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").cache()
+    folds = {r.text: r.fold for r in docs.select("text", kn.fold_of(F.col("text")).alias("fold")).collect()}
+    slow = [Slow([t for t in texts if folds[t] == 1 - fold]) for fold in range(kn.FOLDS)]
+    unseen = sorted(slow[folds[t]].perplexity(t) for t in texts)
+    judged = kn.quality(docs, docs.select("doc_id"), quantile=0.5).collect()
+    assert [r.threshold for r in judged] == [pytest.approx(unseen[math.ceil(len(texts) / 2) - 1], rel=1e-5)] * len(texts)
