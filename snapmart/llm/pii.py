@@ -10,8 +10,8 @@ lengths and no text is searched twice. The patterns are possessive: no input mak
 texts without a digit, an at sign or a plus are not matched at all.
 
 Defined results: a null text counts as empty and has no spans; hashes of no spans are those of the empty string. A span
-found by context never touches another one and has the shape (letters, digits, signs) of a seed of its kind. Repeated
-rows get equal spans, null ids stay null, and an empty table gives an empty result.
+found by context never touches another one and is plausible for its kind; of discovered spans that overlap, the longest stays.
+Repeated rows get equal spans, null ids stay null, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +35,19 @@ PATTERNS = {
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 #: Tokens shaped like an identifier: six characters or more, three digits or more among them.
 IDENTIFIER = r"(?<![^\x20\x09-\x0D])(?=(?:[^\x20\x09-\x0D0-9]*+[0-9]){3})[^\x20\x09-\x0D]{6,}+"
-EDGE = r"^[(\[<{\"']+|[.,;:!?)\]>}\"']+$"
+#: Groups of digits with blanks between them, and e-mail addresses whose signs are written out.
+GROUP = r"\(?[0-9][0-9()./-]*+"
+HOST = r"[A-Za-z0-9-]{1,63}+"
+SPACED = (
+    r"(?<![^\x20\x09-\x0D\[<{\"':])(?:"
+    rf"{LOCAL}{{1,64}}+(?: ?[\[({{<] ?(?i:at|@) ?[\])}}>] ?| (?i:at) ){HOST}(?:(?:\.| ?[\[({{<] ?(?i:dot|\.) ?[\])}}>] ?| (?i:dot) ){HOST}){{1,8}}"
+    rf"|\+?{GROUP}(?:\x20{GROUP}){{1,7}}(?=[.,;:!?)\]>}}\"']*+(?:[\x20\x09-\x0D]|$)))"
+)
+#: Where SPACED or IDENTIFIER can match at all.
+CANDIDATE = r"(?i)[0-9]|[\[({<\x20](?:at|@)[\])}>\x20]"
+#: Signs around a token; a bracket that closes inside is part of it.
+HEAD = r"^(?:[\[<{\"']|\((?![0-9+]++\)))+"
+EDGE = HEAD + r"|[.,;:!?)\]>}\"']+$"
 
 ROUNDS = 3
 #: Score a pattern and an instance need, and the different seeds a pattern must stand beside.
@@ -109,23 +121,17 @@ def base_spans(text: Column, kind: str) -> Column:
 
 
 def identifiers(text: Column) -> Column:
-    """Identifier-shaped tokens without the punctuation around them."""
-    head = r"^[(\[<{\"']+"
-    trimmed = F.transform(
-        found(text, IDENTIFIER),
-        lambda span: F.struct(
-            (span["start"] + F.length(F.regexp_extract(span["value"], head, 0))).alias("start"),
-            (
-                span["start"]
-                + F.length(F.regexp_extract(span["value"], head, 0))
-                + F.length(F.regexp_replace(span["value"], EDGE, ""))
-            ).alias("end"),
-            F.regexp_replace(span["value"], EDGE, "").alias("value"),
-            span["before"].alias("before"),
-            span["after"].alias("after"),
-        ),
-    )
-    return F.when(text.rlike("[0-9]"), trimmed).otherwise(F.array().cast(f"array<{SPAN}>"))
+    """Identifier-shaped tokens and groups of them, without the punctuation around them."""
+    def trimmed(span: Column) -> Column:
+        start = span["start"] + F.length(F.regexp_extract(span["value"], HEAD, 0))
+        value = F.regexp_replace(span["value"], EDGE, "")
+        return F.struct(
+            start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"),
+            span["before"].alias("before"), span["after"].alias("after"),
+        )
+
+    both = F.concat(F.transform(found(text, IDENTIFIER), trimmed), F.transform(found(text, SPACED), trimmed))
+    return F.when(text.rlike(CANDIDATE), both).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def word(text: Column, pattern: str) -> Column:
@@ -142,10 +148,16 @@ def contexts(before: Column, after: Column) -> Column:
     return F.when(last != "", patterns).otherwise(F.array().cast("array<string>"))
 
 
-def shape(value: Column) -> Column:
-    """Runs of digits, lower and upper case as one sign each."""
-    runs = F.regexp_replace(F.regexp_replace(value, "[0-9]+", "0"), "[a-z]+", "a")
-    return F.regexp_replace(runs, "[A-Z]+", "A")
+def plausible(kind: Column, value: Column) -> Column:
+    """Whether a value that no pattern matches can be of the kind at all; its contexts say whether it is."""
+    n = F.length(digits(value))
+    numeric = ~value.rlike("[A-Za-z]") & (2 * n >= F.length(value))
+    email = value.rlike(r"(?i)(?:@|[\[({<\x20]at[\])}>\x20]).*[a-z]") & (F.length(value) <= 320)
+    ip = value.rlike(r"^[0-9]+(?:[^0-9A-Za-z]+[0-9]+){3}(?:[:/][0-9]+)?$|^[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}$")
+    return (
+        F.when(kind == "email", email).when(kind == "ip", ip)
+        .when(kind == "card", numeric & n.between(8, 24)).otherwise(numeric & n.between(3, 20))
+    )
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -207,8 +219,7 @@ def discovered(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         instances = materialize(seeds.unionByName(learned.join(seeds.select("value").distinct(), "value", "left_anti")))
     sure = instances.filter(~F.col("seed") & (F.col("score") >= MIN_SCORE))
     best = sure.groupBy("value").agg(F.max(F.struct("score", "kind")).alias("best")).select("value", "best.kind")
-    shapes = seeds.select("kind", shape(F.col("value")).alias("shape")).distinct()
-    return best.withColumn("shape", shape(F.col("value"))).join(shapes, ["kind", "shape"], "left_semi").select("value", "kind")
+    return best.filter(plausible(F.col("kind"), F.col("value")))
 
 
 def placed(kind: str, order: int) -> Column:
@@ -230,7 +241,10 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     extra = found_.filter("kind is null").drop("kind").join(new, "value")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     extra = extra.select("row_id", order.alias("o"), "kind", "start", "end").distinct()
-    extra = extra.groupBy("row_id").agg(F.collect_list(F.struct("o", "start", "end", "kind")).alias("extra"))
+    extra = extra.groupBy("row_id").agg(F.collect_list(F.struct("o", "start", "end", "kind")).alias("all"))
+    longest = F.filter("all", lambda s: ~F.exists("all", lambda other: (other["start"] < s["end"]) & (s["start"] < other["end"])
+        & (other["end"] - other["start"] > s["end"] - s["start"])))
+    extra = extra.select("row_id", longest.alias("extra"))
     base = F.flatten(F.array(*[placed(kind, o) for o, kind in enumerate(KINDS, 1)]))
     spans = scanned.select("row_id", "doc_id", base.alias("base")).join(extra, "row_id", "left")
     none = F.array().cast("array<struct<o:int,start:int,end:int,kind:string>>")

@@ -103,3 +103,17 @@ def test_overlapping_spans_are_redacted_once(spark, overlap):
     df = spark.createDataFrame([("0123456789", overlap)], "text string, s array<struct<kind:string,start:int,end:int>>")
     want = {"card": "<card>89", "ip": "01<ip>456789"}[overlap[0][0]]
     assert df.select(pii.redacted(F.col("text"), F.col("s"))).first()[0] == want
+
+
+def test_contexts_discover_other_writings(spark):
+    call, write = "please call hotline {} during office hours", "kindly write to {} about any matter"
+    rows = [(i, call.format(f"+1 (017) 555-{1000 + i}")) for i in range(20)]
+    rows += [(100 + i, write.format(f"clerk{i}@host.example")) for i in range(20)]
+    other = {200: (call, "555-123-4567"), 201: (call, "(555) 123-4567"), 202: (write, "name[at]host.tld"), 203: (write, "name (at) host (dot) tld")}
+    rows += [(i, text.format(value)) for i, (text, value) in other.items()]
+    rows += [(300, "10.0.0.1 555-987-6543 elsewhere"), (301, call.format("Z1234567"))]
+    found = {r.doc_id: (spans(r.base), spans(r.spans)) for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (text, value) in other.items():
+        start = text.index("{")
+        assert found[i] == ([], [("phone" if text == call else "email", start, start + len(value))])
+    assert all(base == all_ for i, (base, all_) in found.items() if i not in other)
