@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.store import ascii_lower, materialize, small_enough, without_rows
+from snapmart.llm.store import ascii_lower, fresh, materialize, numbered, small_enough, without_rows
 
 #: Documents of one digest above which it is salted.
 HOT_ROWS = 1000
@@ -48,8 +48,9 @@ def exact_duplicates(
 
     digest_of shortens the digest the groups are keyed by; a weak one costs time, never correctness.
     """
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
+    row = fresh(docs, "row")
+    texts = numbered(docs, row).select(
+        F.col(row).alias("row_id"),
         F.col(id_col).alias("doc_id"),
         normalized(F.col(text_col)).alias("text"),
     ).withColumn("sha", F.sha2("text", 256))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.store import materialize, small_enough
+from snapmart.llm.store import fresh, materialize, numbered, small_enough
 
 ORDER = 4
 QUANTILE = 0.99
@@ -74,8 +74,7 @@ def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents of a block as compressed Arrow streams."""
     for batch in batches:
-        for at in range(0, len(batch), 512):
-            part = batch.iloc[at : at + 512]
+        for part in (own for at in range(0, len(batch), 512) for _, own in batch.iloc[at : at + 512].groupby("block")):
             table = pa.Table.from_pandas(part.drop(columns="block"), preserve_index=False)
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
@@ -92,7 +91,10 @@ def scored(docs: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
     for data in docs["data"]:
         part = pa.ipc.open_stream(data).read_pandas()
         own, sizes = grams_of(part["text"].tolist())
-        at, starts = np.searchsorted(grams, own), np.cumsum(sizes) - sizes
+        at = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
+        if not np.array_equal(grams[at], own):
+            raise ValueError("a block has grams that it did not ask for")
+        starts = np.cumsum(sizes) - sizes
         sums = np.add.reduceat(logs[at], starts)
         other = np.choose(part["fold"].to_numpy(), [np.add.reduceat(one[at], starts) for one in unseen])
         out.append(pd.DataFrame({"row_id": part["row_id"], "log_p": sums, "unseen_p": other, "events": sizes}))
@@ -178,26 +180,40 @@ def perplexities(
 
     folds: counts of each fold; unseen is the perplexity by the counts of the other fold, null without folds.
     """
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
+    row = fresh(docs, "row")
+    rows = numbered(docs, row).select(
+        F.col(row).alias("row_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         fold_of(F.col(text_col)).alias("fold"),
-    ).withColumn("block", F.shiftright("row_id", 33))
+    )
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = None
+        block, last, starts = None, None, []
 
         def texts() -> Iterator[pd.DataFrame]:
-            nonlocal block
+            nonlocal block, last
             for batch in batches:
-                block = batch["block"].iloc[0] if len(batch) else block
+                if len(batch):
+                    ids = batch["row_id"].to_numpy()
+                    block = ids[0] if block is None else block
+                    starts.extend(ids[np.diff(ids, prepend=ids[0] - 2 if last is None else last) != 1])
+                    last = ids[-1]
                 yield batch
 
         for found in counted(texts()):
             if block is not None:
-                yield pd.DataFrame({"block": block, "gram": found["gram"]})
+                yield pd.DataFrame({"block": block, "gram": found["gram"], "first": False})
+                yield pd.DataFrame({"block": block, "gram": starts, "first": True})
+
+    # A block is what one task read here: runs of rows, told by their first ids. Later scans may be cut otherwise.
+    asked = materialize(rows.select("row_id", "text").mapInPandas(grams, "block long, gram long, first boolean"))
+    runs = asked.filter("first").select("gram", "block").toPandas().sort_values("gram")
+    firsts, blocks = runs["gram"].to_numpy(np.int64), runs["block"].to_numpy(np.int64)
+    asked = asked.filter("not first").select("block", "gram")
+
+    def in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return packed(b.assign(block=blocks[np.searchsorted(firsts, b["row_id"], "right") - 1]) for b in batches if len(b))
 
-    asked = materialize(rows.select("block", "text").mapInPandas(grams, "block long, gram long"))
     different = asked.select("gram").distinct()
     logs = log_probabilities(different, *model_tables(counts))
     for fold in range(FOLDS):
@@ -207,7 +223,7 @@ def perplexities(
             logs, unseen = logs.join(other.withColumnRenamed("log_p", "unseen"), "gram"), F.col("unseen")
         logs = logs.withColumn(f"unseen_{fold}", unseen).drop("unseen")
     parts = asked.join(logs, "gram")
-    texts = rows.mapInPandas(packed, "block long, data binary")
+    texts = rows.mapInPandas(in_blocks, "block long, data binary")
     met = texts.groupBy("block").cogroup(parts.groupBy("block"))
     out = met.applyInPandas(scored, "row_id long, log_p double, unseen_p double, events long")
     mean = lambda log_p: F.round(F.exp(-F.nanvl(log_p, F.lit(None)) / F.col("events")), 6)
@@ -229,7 +245,8 @@ def quality(
     known = slim.join(small_enough(ids, BROADCAST_IDS), "doc_id", "left_semi")
     folds = [train(known.filter(fold_of(F.col("text")) == fold)) for fold in range(FOLDS)]
     both = folds[0].unionByName(folds[1]).groupBy("gram").agg(F.sum("n").alias("n"))
-    keys = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"))
+    row = fresh(docs, "row")
+    keys = numbered(docs, row).select(F.col(row).alias("row_id"), F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"))
     keys = keys.join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
     held = [not fold.isEmpty() for fold in folds]
     if not any(held):

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.store import materialize, slices, small_enough, without_rows
+from snapmart.llm.store import fresh, materialize, numbered, slices, small_enough, without_rows
 
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -272,8 +272,9 @@ def predict(model: Model | None):
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: row_id, doc_id, lang_pred, score, segments."""
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
+    row = fresh(docs, "row")
+    texts = numbered(docs, row).select(
+        F.col(row).alias("row_id"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
     )
     kind = texts.schema["doc_id"].dataType.simpleString()
     segments = "array<struct<lang:string,first_word:int,n_words:int>>"

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.store import fresh, materialize, small_enough
+from snapmart.llm.store import fresh, materialize, numbered, small_enough
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -163,8 +163,9 @@ def plausible(kind: Column, value: Column) -> Column:
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per document: row_id, doc_id, the base spans of each kind and the identifier-shaped tokens."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
+    row = fresh(docs, "row")
+    return numbered(docs, row).select(
+        F.col(row).alias("row_id"),
         F.col(id_col).alias("doc_id"),
         *[base_spans(text, kind).alias(kind) for kind in KINDS],
         identifiers(text).alias("tokens"),
@@ -283,6 +284,6 @@ def redact_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     row, marked = fresh(docs, "row"), fresh(docs, "spans")
     spans = personal_data(docs, id_col, text_col).filter(F.size("spans") > 0)
     spans = small_enough(materialize(spans.select(F.col("row_id").alias(row), F.col("spans").alias(marked))), BROADCAST_ROWS)
-    joined = docs.withColumn(row, F.monotonically_increasing_id()).join(spans, row, "left")
+    joined = numbered(docs, row).join(spans, row, "left")
     text = F.when(F.col(marked).isNotNull(), redacted(F.col(text_col), F.col(marked))).otherwise(F.col(text_col))
     return joined.withColumn(text_col, text).select(*docs.columns)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm.components import components
-from snapmart.llm.store import materialize, slices, without_rows
+from snapmart.llm.store import fresh, materialize, numbered, slices, without_rows
 
 SHINGLE = 3
 RADIUS = 3
@@ -67,8 +67,9 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
             fp = pa.array(np.array(found, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([part["row_id"], part["doc_id"], fp], names=["row_id", "doc_id", "fp"])
 
-    slim = docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
+    row = fresh(docs, "row")
+    slim = numbered(docs, row).select(
+        F.col(row).alias("row_id"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
     )
     kind = slim.schema["doc_id"].dataType.simpleString()
     return slim.mapInArrow(run, f"row_id long, doc_id {kind}, fp long")

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch whose texts are Python objects at a time.
 SLICE_ROWS = 128
+#: Paths of files broadcast at most.
+FILES = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -53,6 +56,28 @@ def small_enough(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def numbered(docs: DataFrame, name: str = "row_id") -> DataFrame:
+    """The table with a number for each row that is the same in every scan, however the files are cut.
+
+    Rows of Parquet files are numbered by file, in the order of paths, and place in the file. Other tables must have fixed
+    partitions; a plan over files must be stored first.
+    """
+    path, place, base = fresh(docs, "file"), fresh(docs, "place"), fresh(docs, "base")
+    leaf = docs._jdf.queryExecution().analyzed().children().isEmpty()
+    try:
+        meta = docs.metadataColumn("_metadata")
+        named = docs.select("*", meta["file_path"].alias(path), meta["row_index"].alias(place)) if leaf else None
+    except AnalysisException:
+        named = None
+    if named is None:
+        return docs.withColumn(name, F.monotonically_increasing_id())
+    files = sorted(row[0] for row in named.select(path).distinct().collect())
+    firsts = docs.sparkSession.createDataFrame([(file, at << 33) for at, file in enumerate(files)], f"{path} string, {base} long")
+    firsts = F.broadcast(firsts) if len(files) <= FILES else firsts
+    rows = named.join(firsts, path).withColumn(name, F.col(base) + F.col(place))
+    return rows.drop(path, place, base)
+
+
 def without_rows(docs: DataFrame, dropped: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
     """The documents but for those of the given row ids (their only column); docs must be a stored table.
 
@@ -60,4 +85,4 @@ def without_rows(docs: DataFrame, dropped: DataFrame, broadcast_rows: int = 1_00
     """
     row = fresh(docs, "row")
     ids = small_enough(materialize(dropped.toDF(row)), broadcast_rows)
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(ids, row, "left_anti").drop(row)
+    return numbered(docs, row).join(ids, row, "left_anti").drop(row)

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm.store import checkpoint_dir, materialize
+from snapmart.llm.store import checkpoint_dir, fresh, materialize, numbered
 
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
@@ -79,7 +79,8 @@ def first_of_equals(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, path: str, smallest_revisited: int = 0) -> None:
     """Write page_id, url, html as gzipped WARC files below a new path. Payloads of fewer bytes are never revisits."""
     payload = F.coalesce("html", F.lit(""))
-    rows = pages.select(F.monotonically_increasing_id().alias("row_id"), "page_id", "url", payload.alias("payload"))
+    row = fresh(pages, "row")
+    rows = numbered(pages, row).select(F.col(row).alias("row_id"), "page_id", "url", payload.alias("payload"))
     revisits = first_of_equals(rows.filter(F.octet_length("payload") >= smallest_revisited))
     rows = rows.join(revisits, "row_id", "left")
     # Any control character would end a header line.
