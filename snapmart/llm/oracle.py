@@ -84,4 +84,23 @@ SQL = {
         )
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256 from grouped
     """,
+    "op11_de_bruijn_compaction": r"""
+        with worded as (
+          select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+        ), places as (
+          select doc_id, words, unnest(range(1, len(words) - 48)) as i from worded
+        ), firsts as (
+          select doc_id, i, min(doc_id) over (partition by array_to_string(words[i:i + 49], ' ')) as first_doc from places
+        ), gone as (
+          select distinct doc_id, unnest(range(i, i + 50)) as place from firsts where first_doc < doc_id
+        ), word as (
+          select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as place from worded
+        ), kept as (
+          select doc_id, count(*) as n, string_agg(word, ' ' order by place) as t
+          from word anti join gone using (doc_id, place) group by doc_id
+        )
+        select doc_id, cast(len(words) as bigint) as n_words, cast(len(words) - coalesce(n, 0) as bigint) as n_removed,
+          sha256(coalesce(t, '')) as kept_sha256
+        from worded left join kept using (doc_id)
+    """,
 }

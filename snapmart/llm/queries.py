@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import (
     bpe,
+    de_bruijn,
     exact_dedup,
     kneser_ney,
     language_crf,
@@ -96,3 +97,8 @@ def op10_language_crf(spark, sf):
     docs = table(spark, sf, "documents")
     found = language_crf.identify(docs, language_crf.learn(docs))
     return found.select("doc_id", language_crf.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_de_bruijn_compaction(spark, sf):
+    return de_bruijn.remove_repeats(table(spark, sf, "documents")).drop("row_id")
