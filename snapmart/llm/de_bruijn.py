@@ -1,17 +1,18 @@
-"""Substring dedup by De Bruijn compaction: word k-mers are edges, and nonbranching paths of repeated edges are one row.
+"""Substring dedup by De Bruijn compaction: word k-mers are edges, and repeated paths that do not branch are one row.
 
-An edge is a window of SPAN words, its nodes are the windows of one word less. Three steps keep the graph small:
+An edge is a window of SPAN words, its nodes are the windows of one word less. The graph is made compact before it is
+made large:
 
 - Within a document, consecutive edges under the same anchor (the least hash of ANCHOR words in the window) form a run.
   Equal windows have equal anchors, so a run whose anchor no other document has holds no repeated edge, and is dropped.
-- A run that reads the same at all occurrences of its anchor is a nonbranching path, and stays one row. The others are
-  taken apart into single edges, of which those of several documents stay.
-- Paths and edges that always follow each other (each has one predecessor and one successor, everywhere) compact into
-  one span: joins with the neighbours of either side say where, and a running number per document says which.
+- Runs that read the same are one path, joined by anchor and digest. Where all runs of an anchor do, the path does not
+  branch. The others are taken apart into single edges, once for each different run, and a join by edge finds those that
+  several documents have.
+- Every path knows its source, the first place in the first document that holds it. Neighbouring paths whose sources are
+  neighbours too compact into one span.
 
-A span knows all its occurrences, so the first document that holds it is the least id of them. Edges are told by 64-bit
-hashes; at last the source coordinates of all occurrences of a span are read again and their words compared by SHA-256. If
-any differ, everything is done again with another seed, so that the result is exact.
+Paths and edges are told by 64-bit hashes. So at last the words of each span and those at its source coordinates are read
+and compared by SHA-256. If any differ, everything is done again with another seed, so that the result is exact.
 
 Nothing is broadcast but row ids of counted number; a hot passage is only aggregated with map-side combining or joined from
 its large side, which adaptive execution splits.
@@ -151,36 +152,56 @@ def with_texts(docs: DataFrame, by_row: DataFrame) -> DataFrame:
     return texts.join(by_row, "row_id")
 
 
-def shared(rows: DataFrame) -> DataFrame:
-    """key, first: the keys that several documents have, with the least rank. rows: key, rank."""
-    both = rows.groupBy("key").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
-    return both.filter("first < last").drop("last")
-
-
-def single_edges(docs: DataFrame, branching: DataFrame, seed: int, span: int) -> DataFrame:
-    """row_id, rank, start, size (1), key: the edges of the runs. branching: row_id, rank, start, size."""
+def single_edges(docs: DataFrame, runs: DataFrame, seed: int, span: int) -> DataFrame:
+    """row_id, run, low, high, place, keys: the edges of the runs, from place on. runs: row_id, start, size, low, high."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            for row, rank, text, runs in zip(part["row_id"], part["rank"], part["text"], part["runs"]):
-                words = words_of(text.as_py())
-                for one in runs.as_py():
-                    edges = edges_of(words[one["start"] : one["start"] + one["size"] + span - 1], seed, span)
-                    places = np.arange(one["start"], one["start"] + one["size"], dtype=np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.repeat(row, len(edges)), pa.repeat(rank, len(edges)),
-                            pa.array(places), pa.array(np.ones(len(edges), np.int32)), pa.array(edges.view(np.int64)),
-                        ],
-                        names=["row_id", "rank", "start", "size", "key"],
-                    )
-
-    by_row = branching.groupBy("row_id", "rank").agg(F.collect_list(F.struct("start", "size")).alias("runs"))
-    return with_texts(docs, by_row).mapInArrow(run, "row_id long, rank long, start int, size int, key long")
+            out: list[dict] = []
+            for row, text, own in zip(part["row_id"].to_pylist(), part["text"], part["runs"].to_pylist()):
+                words, done = words_of(text.as_py()), 0
+                for one in sorted(own, key=lambda x: x["start"]):
+                    if one["start"] + one["size"] > done:  # neighbours are hashed together
+                        begin, end = one["start"], one["start"] + max(one["size"], CHUNK)
+                        done = min(len(words) - span + 1, end)
+                        edges = edges_of(words[begin : done + span - 1], seed, span).view(np.int64)
+                    at = one["start"] - begin
+                    out.append({**one, "row_id": row, "keys": edges[at : at + one["size"]]})
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([one["row_id"] for one in out], pa.int64()), pa.array([one["start"] for one in out], pa.int32()),
+                    pa.array([one["low"] for one in out], pa.int64()), pa.array([one["high"] for one in out], pa.int64()),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.cumsum([0, *(len(one["keys"]) for one in out)]).astype(np.int32)),
+                        pa.array(np.concatenate([one["keys"] for one in out]) if out else np.array([], np.int64)),
+                    ),
+                ],
+                names=["row_id", "run", "low", "high", "keys"],
+            )
+
+    by_row = runs.groupBy("row_id").agg(F.collect_list(F.struct("start", "size", "low", "high")).alias("runs"))
+    return with_texts(docs, by_row).mapInArrow(run, "row_id long, run int, low long, high long, keys array<long>")
+
+
+def compacted(pieces: DataFrame, by: list[str]) -> DataFrame:
+    """Neighbouring pieces whose sources are neighbours too, as one. pieces: by, start, size, first, from_row, from_start."""
+    order = Window.partitionBy(*by).orderBy("start")
+    before = lambda name: F.lag(name).over(order)
+    goes_on = (
+        (before("from_row") == F.col("from_row"))
+        & (before("start") + before("size") == F.col("start"))
+        & (before("from_start") + before("size") == F.col("from_start"))
+    )
+    numbers = pieces.withColumn("begins", F.when(goes_on, 0).otherwise(1))
+    numbers = numbers.withColumn("path", F.sum("begins").over(order))
+    head = F.min(F.struct("start", "first", "from_row", "from_start")).alias("head")
+    paths = numbers.groupBy(*by, "path").agg(head, F.sum("size").cast("int").alias("size"))
+    return paths.select(*by, "head.start", "size", "head.first", "head.from_row", "head.from_start")
 
 
 def repeated_paths(docs: DataFrame, runs: DataFrame, seed: int, span: int) -> DataFrame:
-    """row_id, rank, start, size, key, first: nonbranching runs and single edges that several documents have."""
+    """row_id, rank, start, size, first, from_row, from_start: paths of windows that several documents have, with the place
+    of the first occurrence and the rank of its document."""
     rows = runs.select("row_id", "rank", "digests", "starts", "sizes", F.posexplode("keys").alias("at", "key"))
     at = lambda name: F.element_at(name, F.col("at") + 1)
     rows = rows.select(
@@ -189,86 +210,100 @@ def repeated_paths(docs: DataFrame, runs: DataFrame, seed: int, span: int) -> Da
     anchors = rows.groupBy("key").agg(
         F.min("rank").alias("first"), F.max("rank").alias("last"), F.min("digest").alias("low"), F.max("digest").alias("high")
     )
-    anchors = anchors.filter("first < last").select("key", "first", (F.col("low") < F.col("high")).alias("branches"))
-    found = materialize(rows.drop("digest").join(anchors, "key"))
-    edges = materialize(single_edges(docs, found.filter("branches").select("row_id", "rank", "start", "size"), seed, span))
-    edges = edges.join(shared(edges), "key")
-    columns = ["row_id", "rank", "start", "size", "key", "first"]
-    # A run and an edge never share a key but by chance; the sign of the size would not tell them apart in a join.
-    return found.filter("not branches").select(columns).unionByName(edges.select(columns))
-
-
-def compacted(paths: DataFrame) -> DataFrame:
-    """row_id, rank, start, size, key, first: paths that always follow each other as one, under the key of the first."""
-    order = Window.partitionBy("row_id").orderBy("start")
-    ends = F.col("start") + F.col("size")
-    before = F.when(F.lag(ends).over(order) == F.col("start"), F.lag("key").over(order))
-    after = F.when(F.lead("start").over(order) == ends, F.lead("key").over(order))
-    rows = materialize(paths.withColumn("before", before).withColumn("after", after))
-
-    def only(side: str):
-        same = (F.count(side) == F.count(F.lit(1))) & (F.min(side) == F.max(side))
-        return same.alias(f"one_{side}")
-
-    degrees = materialize(rows.groupBy("key").agg(only("before"), only("after")))
-    ins = degrees.filter("one_before").select("key", F.lit(True).alias("one_before"))
-    outs = degrees.filter("one_after").select(F.col("key").alias("before"), F.lit(True).alias("one_after"))
-    rows = rows.join(ins, "key", "left").join(outs, "before", "left")
-    begins = F.when(F.col("one_before") & F.col("one_after"), 0).otherwise(1)
-    numbers = rows.withColumn("span", F.sum(begins).over(order))
-    first = F.min(F.struct("start", "key", "first")).alias("head")
-    spans = numbers.groupBy("row_id", "rank", "span").agg(first, F.sum("size").cast("int").alias("size"))
-    return spans.select("row_id", "rank", F.col("head.start").alias("start"), "size", "head.key", "head.first")
-
+    anchors = anchors.filter("first < last").select("key", (F.col("low") < F.col("high")).alias("branches"))
+    found = materialize(rows.join(anchors, "key"))
+    source = F.min(F.struct("rank", "row_id", "start")).alias("source")
+    # Runs that read the same are one path, whose edges are those of its first occurrence.
+    same = found.groupBy("key", "digest", "branches").agg(source, F.max("rank").alias("high"), F.min("size").alias("size"))
+    same = materialize(
+        same.select(
+            "key", "digest", "branches", F.col("source.rank").alias("first"), "high", "size",
+            F.col("source.row_id").alias("from_row"), F.col("source.start").alias("from_start"),
+        )
+    )
+    solid = found.filter("not branches").drop("size").join(same.drop("branches", "high"), ["key", "digest"])
 
-READ = "row_id long, n_removed long, sha string, spans array<struct<key:long,size:int,high:long,low:long>>"
+    branching = same.filter("branches")
+    asked = branching.select(
+        F.col("from_row").alias("row_id"), F.col("from_start").alias("start"), "size", F.col("first").alias("low"), "high"
+    )
+    edges = materialize(single_edges(docs, asked, seed, span))
+    edges = edges.select("row_id", "run", "low", "high", F.posexplode("keys").alias("at", "key"))
+    edges = edges.withColumn("start", F.col("run") + F.col("at")).drop("at")
+    first = edges.groupBy("key").agg(F.min(F.struct("low", "row_id", "start")).alias("source"), F.max("high").alias("last"))
+    first = first.filter("source.low < last").select(
+        "key",
+        F.col("source.low").alias("first"),
+        F.col("source.row_id").alias("from_row"),
+        F.col("source.start").alias("from_start"),
+    )
+    parts = edges.drop("low", "high").join(first, "key").withColumn("size", F.lit(1))
+    parts = compacted(parts, ["row_id", "run"])
+    place = ["size", "first", "from_row", "from_start"]
+    parts = parts.groupBy("row_id", "run").agg(F.collect_list(F.struct("start", *place)).alias("parts"))
+    parts = branching.select("key", "digest", "from_row", "from_start").join(
+        parts, (F.col("from_row") == F.col("row_id")) & (F.col("from_start") == F.col("run"))
+    )
+    rest = found.filter("branches").select("row_id", "rank", "start", "key", "digest")
+    rest = rest.join(parts.select("key", "digest", "run", "parts"), ["key", "digest"])
+    rest = rest.select("row_id", "rank", F.col("start").alias("run_start"), "run", F.explode("parts").alias("part"))
+    start = (F.col("run_start") + F.col("part.start") - F.col("run")).alias("start")
+    rest = rest.select("row_id", "rank", start, *[f"part.{name}" for name in place])
+    return compacted(solid.select(rest.columns).unionByName(rest), ["row_id", "rank"])
 
 
 def read_again(docs: DataFrame, spans: DataFrame, span: int) -> DataFrame:
-    """row_id, n_removed, sha of the words kept, and 128 bits of the digest of every span's words at its coordinates."""
+    """row_id, n_removed, sha of the words kept, and for every span and source of a span (start, size) 128 bits of the
+    SHA-256 of the words there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             out = []
-            for row, rank, text, own in zip(part["row_id"], part["rank"], part["text"], part["spans"]):
+            for row, text, own in zip(part["row_id"].to_pylist(), part["text"], part["places"].to_pylist()):
                 words, read = words_of(text.as_py()), []
                 gone = np.zeros(len(words) + 1, np.int32)
-                for one in own.as_py():
+                for one in own:
                     start, end = one["start"], one["start"] + one["size"] + span - 1
                     digest = hashlib.sha256(b" ".join(words[start:end])).digest()
                     high, low = np.frombuffer(digest[:16], np.int64).tolist()
-                    read.append({"key": one["key"], "size": one["size"], "high": high, "low": low})
-                    if rank.as_py() > one["first"]:
+                    read.append({"start": start, "size": one["size"], "high": high, "low": low})
+                    if one["goes"]:
                         gone[start] += 1
                         gone[end] -= 1
                 covered = np.cumsum(gone[:-1]) > 0
                 kept = [word for word, out_ in zip(words, covered) if not out_]
                 sha = hashlib.sha256(b" ".join(kept)).hexdigest()
-                out.append({"row_id": row.as_py(), "n_removed": int(covered.sum()), "sha": sha, "spans": read})
+                out.append({"row_id": row, "n_removed": int(covered.sum()), "sha": sha, "read": read})
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    schema = pa.schema(
-        [
-            ("row_id", pa.int64()), ("n_removed", pa.int64()), ("sha", pa.string()),
-            ("spans", pa.list_(pa.struct([("key", pa.int64()), ("size", pa.int32()), ("high", pa.int64()), ("low", pa.int64())]))),
-        ]
-    )
-    by_row = spans.groupBy("row_id", "rank").agg(F.collect_list(F.struct("start", "size", "key", "first")).alias("spans"))
-    return with_texts(docs, by_row).mapInArrow(run, READ)
+    place = [("start", pa.int32()), ("size", pa.int32()), ("high", pa.int64()), ("low", pa.int64())]
+    read_type = pa.list_(pa.struct(place))
+    schema = pa.schema([("row_id", pa.int64()), ("n_removed", pa.int64()), ("sha", pa.string()), ("read", read_type)])
+    own = spans.select("row_id", "start", "size", (F.col("first") < F.col("rank")).alias("goes"))
+    sources = spans.select(
+        F.col("from_row").alias("row_id"), F.col("from_start").alias("start"), "size", F.lit(False).alias("goes")
+    )
+    places = own.unionByName(sources).groupBy("row_id", "start", "size").agg(F.max("goes").alias("goes"))
+    by_row = places.groupBy("row_id").agg(F.collect_list(F.struct("start", "size", "goes")).alias("places"))
+    return with_texts(docs, by_row).mapInArrow(
+        run, "row_id long, n_removed long, sha string, read array<struct<start:int,size:int,high:long,low:long>>"
+    )
 
 
-def differ(read: DataFrame) -> bool:
-    """Whether occurrences of a span differ in length or words."""
-    rows = read.select(F.explode("spans").alias("s")).select("s.*")
-    ends = rows.groupBy("key").agg(*[f(name).alias(f"{name}_{f.__name__}") for name in ("size", "high", "low") for f in (F.min, F.max)])
-    return not ends.filter("size_min < size_max or high_min < high_max or low_min < low_max").isEmpty()
+def differ(spans: DataFrame, read: DataFrame) -> bool:
+    """Whether the words of a span differ from those at its source."""
+    words = read.select("row_id", F.explode("read").alias("at")).select("row_id", "at.*")
+    source = words.toDF("from_row", "from_start", "size", "from_high", "from_low")
+    both = spans.join(words, ["row_id", "start", "size"]).join(source, ["from_row", "from_start", "size"])
+    return not both.filter("high <> from_high or low <> from_low").isEmpty()
 
 
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, span: int = SPAN, anchor: int = ANCHOR
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Three tables: the documents (row_id, doc_id, n_words, sha), the spans that several hold (row_id, rank, start, size
-    in windows, key, first), and the verified documents that hold them (row_id, n_removed, sha). docs must be stored."""
+    """Three tables: the documents (row_id, doc_id, n_words, sha); the spans found elsewhere before (row_id, rank, start,
+    size in windows, first, from_row, from_start), verified; what they leave of theirs and of their sources' documents
+    (row_id, n_removed, sha). docs must be stored."""
     row = fresh(docs, "row")
     slim = numbered(docs, row).select(
         F.col(row).alias("row_id"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
@@ -276,10 +311,11 @@ def repeated_spans(
     anchor = min(anchor, span)
     for seed in range(SEEDS):
         runs = materialize(documents_runs(slim, seed, span, anchor))
-        spans = materialize(compacted(repeated_paths(slim, runs, seed, span)))
+        spans = repeated_paths(slim, runs, seed, span)
+        spans = materialize(spans.filter("from_row <> row_id or from_start <> start"))
         read = materialize(read_again(slim, spans, span))
-        if not differ(read):
-            return runs.select("row_id", "doc_id", "n_words", "sha"), spans, read.drop("spans")
+        if not differ(spans, read):
+            return runs.select("row_id", "doc_id", "n_words", "sha"), spans, read.drop("read")
     raise RuntimeError(f"hashes of different windows met with each of {SEEDS} seeds")
 
 

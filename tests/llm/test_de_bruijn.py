@@ -82,7 +82,8 @@ def test_a_shared_passage_is_one_span(spark, tmp_path):
     passage = [f"w{at}" for at in range(200)]
     rows = [(i, " ".join([*(f"{rng.random()}" for _ in range(30)), *passage, *(f"{rng.random()}" for _ in range(30))])) for i in range(9)]
     _, spans, _ = repeated_spans(stored(spark, spark.createDataFrame(rows, "doc_id long, text string"), tmp_path))
-    assert sorted((row["rank"], row["start"], row["size"]) for row in spans.collect()) == [(i, 30, 151) for i in range(9)]
+    found = sorted((row["rank"], row["start"], row["size"], row["first"], row["from_start"]) for row in spans.collect())
+    assert found == [(i, 30, 151, 0, 30) for i in range(1, 9)]
 
 
 def test_colliding_hashes_are_found_and_mended(spark, tmp_path, monkeypatch):
