@@ -103,4 +103,88 @@ SQL = {
           sha256(coalesce(t, '')) as kept_sha256
         from worded left join kept using (doc_id)
     """,
+    "op12_sorted_list_variants": f"""
+        with recursive crc as (
+          select list_transform(range(256), lambda b: list_reduce(range(8), lambda c, x:
+            case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b)) as step
+        ), run as (
+          select coalesce(cast(doc_id as varchar), '') as id, unnest(regexp_extract_all({FOLDED}, '[a-zÀ-ÿ]+')) as run from documents
+        ), counted as (
+          select id, run, count(*) as n from run group by id, run
+        ), coded as (
+          select run, n, hex(encode(id || ':' || run)) as hex from counted
+        ), hashed as (
+          select run, n, xor(list_reduce(
+            list_transform(range(cast(length(hex) // 2 as bigint)), lambda i: cast(concat('0x', substr(hex, cast(2 * i + 1 as bigint), 2)) as bigint)),
+            lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) as h
+          from coded, crc
+        ), lost as (
+          select n, case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word
+          from hashed
+        ), words as (
+          select word, cast(sum(n) as bigint) as n from lost where length(word) >= 5 group by word having sum(n) >= 3
+        ), places as (
+          select word, n, unnest(range(1, length(word) + 1)) as i from words
+        ), masked as (
+          select word, n, i, substr(word, 1, i - 1) as head, substr(word, i + 1) as tail from places
+        ), replaced as (
+          select a.word, b.word as near, b.n as m from masked a join masked b using (head, tail, i) where a.word <> b.word
+        ), shortened as (
+          select distinct w.word, s.word as near, w.n, s.n as m
+          from masked w join words s on s.word = w.head || w.tail
+        ), near as (
+          select word, near, m from replaced
+          union all select word, near, m from shortened
+          union all select near, word, n from shortened
+        ), judged as (
+          select word, count(*) as n_near, max(m) as most, arg_min(near, {{'m': -m, 'near': near}}) as best from near group by word
+        ), formed as (
+          select word, n, coalesce(n_near, 0) as n_near, case when most >= 2 * n then best end as form,
+            case when most >= 2 * n then most end as form_n
+          from words left join judged using (word)
+        ), led as (
+          select word, word as stop, form as onward from formed
+          union all select led.word, led.onward, formed.form from led join formed on formed.word = led.onward
+        )
+        select formed.word, form, stop as root, n, n_near, form_n
+        from formed join led on led.word = formed.word and led.onward is null
+    """,
+    "op13_setm_collocations": rf"""
+        with piece as (
+          select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({FOLDED}, '[.,;:!?\x0A-\x0D]')) as p from documents
+        ), worded as (
+          select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from piece
+        ), total as (
+          select lang, cast(sum(len(w)) as bigint) as n from worded group by lang
+        ), place as (
+          select lang, w, unnest(range(1, len(w) + 1)) as i from worded
+        ), grown as (
+          select lang, w[i:i + k - 1] as words, k
+          from place, (select unnest([1, 2, 3, 4, 5]) as k) where i + k - 1 <= len(w)
+        ), phrase as (
+          select lang, k, words, count(*) as f from grown group by lang, k, words having count(*) >= 100
+        ), cut as (
+          select p.lang, p.words, p.k, p.f as a, h.f as l, t.f as r, h.k as head_words,
+            cast((1000::hugeint * p.f * n) // (h.f::hugeint * t.f) as bigint) as score, n
+          from phrase p join total using (lang)
+            join phrase h on h.lang = p.lang and h.k < p.k and h.words = p.words[1:h.k]
+            join phrase t on t.lang = p.lang and t.k = p.k - h.k and t.words = p.words[h.k + 1:p.k]
+          where p.k > 1
+        ), best as (
+          select *, row_number() over (partition by lang, words order by score, head_words) as place from cut
+        ), inner_part as (
+          select p.lang, p.words[s.i:s.i + s.k - 1] as words, max(p.f) as longer
+          from phrase p join (select * from (select unnest([1, 2, 3, 4]) as i), (select unnest([2, 3, 4]) as k)) s
+            on s.k < p.k and s.i + s.k - 1 <= p.k
+          group by all
+        ), left_over as (
+          select b.* from best b left join inner_part using (lang, words)
+          where place = 1 and (longer is null or longer < a)
+        ), ranked as (
+          select *, array_to_string(words, ' ') as text from left_over
+        ), numbered as (
+          select *, row_number() over (partition by lang order by score desc, a desc, text) as rank from ranked
+        )
+        select lang, rank, text as phrase, a, l, r, n, score from numbered where rank <= 2000
+    """,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from snapmart.llm import (
     bpe,
+    collocations,
     de_bruijn,
     exact_dedup,
     kneser_ney,
@@ -18,6 +19,7 @@ from snapmart.llm import (
     pii,
     simhash,
     url_filter,
+    variants,
     warc,
 )
 
@@ -102,3 +104,13 @@ def op10_language_crf(spark, sf):
 @query
 def op11_de_bruijn_compaction(spark, sf):
     return de_bruijn.remove_repeats(table(spark, sf, "documents")).drop("row_id")
+
+
+@query
+def op12_sorted_list_variants(spark, sf):
+    return variants.spelling_variants(table(spark, sf, "documents"))
+
+
+@query
+def op13_setm_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
