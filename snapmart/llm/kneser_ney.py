@@ -6,12 +6,13 @@ Lower orders count different left neighbours. Discounts follow from the counts o
 sharded by gram, and probabilities are joins of counts with the totals of their context and the probability of their
 suffix. To score, the different grams of each block of documents are joined with the tables once, which gives each block
 the part of the model it needs; that part and the block's documents, which travel as compressed Arrow batches, meet in
-one task. Nothing is broadcast, and no document's grams are shuffled one by one.
+one task. A block is so much text, whatever the number of files. But for trusted ids up to a counted number, nothing is
+broadcast, and no document's grams are shuffled one by one.
 
 A document is kept if its perplexity is at most the QUANTILE quantile of the trusted documents of its language; languages
 without trusted documents take that of all trusted documents. A model knows the documents it counted better than others,
 so the quantile is of perplexities by a model that did not count them: trusted documents fall in two folds by the hash of
-their text, which keeps copies together, and each fold is scored by the counts of the other.
+their text, which keeps copies together, and each fold is scored by the counts of the other; only trusted documents are.
 
 Defined results: a null text counts as empty, and an empty text has the perplexity of the end mark. Null languages are a
 language of their own. Repeated rows are scored one by one; a trusted id that repeats is trusted in every row. Without
@@ -36,6 +37,9 @@ QUANTILE = 0.99
 FOLDS = 2
 #: Trusted ids broadcast at most: 8 bytes each.
 BROADCAST_IDS = 2_000_000
+#: Characters of a block, and of what a task reads at least.
+BLOCK = 32 << 20
+TASK = 4 << 20
 BEGIN, STOP, BEYOND = 0x02, 0x03, 0xFFFD
 BITS = 16
 
@@ -83,10 +87,9 @@ def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def scored(docs: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-    """Log probability of each document of a block, by the model and by that which did not count its fold."""
+    """Log probability of each document of a block."""
     model = model.sort_values("gram")
     grams, logs = model["gram"].to_numpy(), model["log_p"].to_numpy()
-    unseen = [model[f"unseen_{fold}"].to_numpy() for fold in range(FOLDS)]
     out = []
     for data in docs["data"]:
         part = pa.ipc.open_stream(data).read_pandas()
@@ -94,11 +97,9 @@ def scored(docs: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         at = np.minimum(np.searchsorted(grams, own), len(grams) - 1)
         if not np.array_equal(grams[at], own):
             raise ValueError("a block has grams that it did not ask for")
-        starts = np.cumsum(sizes) - sizes
-        sums = np.add.reduceat(logs[at], starts)
-        other = np.choose(part["fold"].to_numpy(), [np.add.reduceat(one[at], starts) for one in unseen])
-        out.append(pd.DataFrame({"row_id": part["row_id"], "log_p": sums, "unseen_p": other, "events": sizes}))
-    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"row_id": [], "log_p": [], "unseen_p": [], "events": []})
+        sums = np.add.reduceat(logs[at], np.cumsum(sizes) - sizes)
+        out.append(pd.DataFrame({"row_id": part["row_id"], "log_p": sums, "events": sizes}))
+    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"row_id": [], "log_p": [], "events": []})
 
 
 def suffix(gram: Column, order: int) -> Column:
@@ -173,61 +174,62 @@ def fold_of(text: Column) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(FOLDS)).cast("int")
 
 
+def sized(docs: DataFrame, text_col: str = "text") -> tuple[int, int, int]:
+    """Rows of a block of about BLOCK characters, the files it spans, and the tasks that read TASK characters at least."""
+    row = fresh(docs, "row")
+    files = F.count_distinct(F.shiftright(row, 33))
+    rows, chars, files = numbered(docs, row).agg(F.count(F.lit(1)), F.sum(F.length(text_col)), files).first()
+    chars, block_rows = max(chars or 0, 1), BLOCK * rows // max(chars or 0, 1)
+    return max(block_rows, 1), max(block_rows * files // max(rows, 1), 1), chars // TASK + 1
+
+
 def perplexities(
-    docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: list[DataFrame] | None = None
+    docs: DataFrame,
+    counts: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    sizes: tuple[int, int, int] | None = None,
+    only: DataFrame | None = None,
+    fold: int | None = None,
 ) -> DataFrame:
-    """row_id, perplexity, unseen, events of every document under the model of the counts.
+    """row_id, perplexity, events of the documents under the model of the counts.
 
-    folds: counts of each fold; unseen is the perplexity by the counts of the other fold, null without folds.
+    sizes: what sized() says of the table, if known. only: the ids (doc_id) and fold: the fold of the documents to score.
     """
     row = fresh(docs, "row")
+    block_rows, block_files, tasks = sizes or sized(docs, text_col)
     rows = numbered(docs, row).select(
-        F.col(row).alias("row_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        fold_of(F.col(text_col)).alias("fold"),
+        F.col(row).alias("row_id"), F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
+    if only is not None:
+        rows = rows.filter(fold_of(F.col("text")) == fold).join(only, "doc_id", "left_semi")
+    # Rows are numbered by file and place, so that a block is the same rows in every scan, and of any cut of the files.
+    file, place = F.shiftright("row_id", 33), F.col("row_id").bitwiseAND(F.lit((1 << 33) - 1))
+    block = F.shiftleft(F.floor(file / block_files), 33) + F.floor(place / block_rows)
+    rows = rows.select("row_id", "text", block.alias("block"))
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, last, starts = None, None, []
-
-        def texts() -> Iterator[pd.DataFrame]:
-            nonlocal block, last
-            for batch in batches:
-                if len(batch):
-                    ids = batch["row_id"].to_numpy()
-                    block = ids[0] if block is None else block
-                    starts.extend(ids[np.diff(ids, prepend=ids[0] - 2 if last is None else last) != 1])
-                    last = ids[-1]
-                yield batch
-
-        for found in counted(texts()):
-            if block is not None:
-                yield pd.DataFrame({"block": block, "gram": found["gram"], "first": False})
-                yield pd.DataFrame({"block": block, "gram": starts, "first": True})
-
-    # A block is what one task read here: runs of rows, told by their first ids. Later scans may be cut otherwise.
-    asked = materialize(rows.select("row_id", "text").mapInPandas(grams, "block long, gram long, first boolean"))
-    runs = asked.filter("first").select("gram", "block").toPandas().sort_values("gram")
-    firsts, blocks = runs["gram"].to_numpy(np.int64), runs["block"].to_numpy(np.int64)
-    asked = asked.filter("not first").select("block", "gram")
-
-    def in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return packed(b.assign(block=blocks[np.searchsorted(firsts, b["row_id"], "right") - 1]) for b in batches if len(b))
-
-    different = asked.select("gram").distinct()
-    logs = log_probabilities(different, *model_tables(counts))
-    for fold in range(FOLDS):
-        unseen = F.lit(None).cast("double")
-        if folds:
-            other = log_probabilities(different, *model_tables(folds[1 - fold]))
-            logs, unseen = logs.join(other.withColumnRenamed("log_p", "unseen"), "gram"), F.col("unseen")
-        logs = logs.withColumn(f"unseen_{fold}", unseen).drop("unseen")
+        block, found = None, None
+        for batch in batches:
+            for at, part in batch.groupby("block", sort=False):
+                if at != block and found is not None:
+                    yield pd.DataFrame({"block": block, "gram": found})
+                    found = None
+                fresh_grams = next(counted(iter([part])))["gram"].to_numpy()
+                found = fresh_grams if found is None else np.union1d(found, fresh_grams)
+                block = at
+        if found is not None:
+            yield pd.DataFrame({"block": block, "gram": found})
+
+    # Few tasks, however many files, ask for the grams of a block.
+    asked = rows.select("block", "text").coalesce(tasks).mapInPandas(grams, "block long, gram long")
+    asked = materialize(asked.distinct())
+    logs = log_probabilities(asked.select("gram").distinct(), *model_tables(counts))
     parts = asked.join(logs, "gram")
-    texts = rows.mapInPandas(in_blocks, "block long, data binary")
+    texts = rows.coalesce(tasks).mapInPandas(packed, "block long, data binary")
     met = texts.groupBy("block").cogroup(parts.groupBy("block"))
-    out = met.applyInPandas(scored, "row_id long, log_p double, unseen_p double, events long")
-    mean = lambda log_p: F.round(F.exp(-F.nanvl(log_p, F.lit(None)) / F.col("events")), 6)
-    return out.select("row_id", mean(F.col("log_p")).alias("perplexity"), mean(F.col("unseen_p")).alias("unseen"), "events")
+    out = met.applyInPandas(scored, "row_id long, log_p double, events long")
+    return out.select("row_id", F.round(F.exp(-F.col("log_p") / F.col("events")), 6).alias("perplexity"), "events")
 
 
 def quality(
@@ -252,8 +254,15 @@ def quality(
     if not any(held):
         nothing = F.lit(None).cast("double")
         return keys.select("row_id", "doc_id", "lang", "trusted", nothing.alias("perplexity"), nothing.alias("threshold"), F.lit(True).alias("kept"))
-    found = perplexities(docs, materialize(both), id_col, text_col, folds if all(held) else None)
-    rows = materialize(keys.join(found, "row_id"))
+    sizes = sized(docs, text_col)
+    rows = keys.join(perplexities(docs, materialize(both), id_col, text_col, sizes).drop("events"), "row_id")
+    if all(held):
+        only = small_enough(ids, BROADCAST_IDS)
+        other = [perplexities(docs, folds[1 - fold], id_col, text_col, sizes, only, fold) for fold in range(FOLDS)]
+        unseen = other[0].unionByName(other[1]).select("row_id", F.col("perplexity").alias("unseen"))
+        rows = materialize(rows.join(unseen, "row_id", "left"))
+    else:
+        rows = materialize(rows.withColumn("unseen", F.lit(None).cast("double")))
     at = F.round(F.percentile_approx(F.coalesce("unseen", "perplexity"), F.lit(quantile), F.lit(10_000)), 6)
     trusted = rows.filter("trusted")
     by_lang = trusted.groupBy(F.col("lang").alias("of")).agg(at.alias("own"))

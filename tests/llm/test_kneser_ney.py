@@ -93,3 +93,25 @@ def test_threshold_is_the_quantile_of_unseen_perplexities(spark):
     unseen = sorted(slow[folds[t]].perplexity(t) for t in texts)
     judged = kn.quality(docs, docs.select("doc_id"), quantile=0.5).collect()
     assert [r.threshold for r in judged] == [pytest.approx(unseen[math.ceil(len(texts) / 2) - 1], rel=1e-5)] * len(texts)
+
+
+def test_grams_asked_for_do_not_grow_with_the_files(spark, tmp_path, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    counts, asked = kn.train(docs.limit(50)), []
+    monkeypatch.setattr(kn, "TASK", 1 << 18)
+
+    def kept(df, whole=kn.materialize):
+        df = whole(df)
+        asked.extend([df.count()] * (df.columns == ["block", "gram"]))
+        return df
+
+    monkeypatch.setattr(kn, "materialize", kept)
+    found = []
+    for files in (4, 60):
+        path = str(tmp_path / str(files))
+        docs.repartition(files).write.parquet(path)
+        spark.conf.set("spark.sql.files.openCostInBytes", "64m")
+        scored = kn.perplexities(spark.read.parquet(path), counts)
+        found.append(sorted(row.perplexity for row in scored.collect()))
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found[0] == found[1] and asked[1] < 2 * asked[0]
