@@ -40,6 +40,8 @@ BROADCAST_IDS = 2_000_000
 #: Characters of a block, and of what a task reads at least.
 BLOCK = 32 << 20
 TASK = 4 << 20
+#: Grams that a task of the model holds at least.
+TASK_GRAMS = 1 << 19
 BEGIN, STOP, BEYOND = 0x02, 0x03, 0xFFFD
 BITS = 16
 
@@ -123,17 +125,20 @@ def discounts(counts: DataFrame) -> list[float]:
 def model_tables(counts: DataFrame) -> tuple[list[DataFrame], list[DataFrame], float]:
     """By order from 1: probabilities (gram, p) and back-off weights (context, back); and that of an unseen character.
 
-    counts: gram, n of the highest order.
+    counts: gram, n of the highest order, materialized. The tables of the other orders are no larger, and get as few tasks.
     """
+    tasks = counts.count() // TASK_GRAMS + 1
     levels = [counts]
     for order in range(ORDER - 1, 0, -1):
-        levels.insert(0, materialize(levels[0].groupBy(suffix(F.col("gram"), order).alias("gram")).agg(F.count(F.lit(1)).alias("n"))))
+        shorter = levels[0].groupBy(suffix(F.col("gram"), order).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        levels.insert(0, materialize(shorter.coalesce(tasks)))
     probabilities, backs, unseen = [], [], 0.0
     for order, level in enumerate(levels, 1):
         cut = discounts(level)
         taken = F.when(F.col("n") == 1, cut[0]).when(F.col("n") == 2, cut[1]).otherwise(cut[2])
         rows = level.select("gram", "n", context(F.col("gram")).alias("context"), taken.alias("cut"))
-        totals = materialize(rows.groupBy("context").agg(F.sum("n").alias("total"), F.round(F.sum("cut"), 9).alias("taken")))
+        totals = rows.groupBy("context").agg(F.sum("n").alias("total"), F.round(F.sum("cut"), 9).alias("taken"))
+        totals = materialize(totals.coalesce(tasks))
         totals = totals.select("context", "total", (F.col("taken") / F.col("total")).alias("back"))
         own = rows.join(totals, "context").select("gram", ((F.col("n") - F.col("cut")) / F.col("total")).alias("own"), "back")
         if order == 1:
@@ -144,13 +149,16 @@ def model_tables(counts: DataFrame) -> tuple[list[DataFrame], list[DataFrame], f
             lower = probabilities[-1].select(F.col("gram").alias("lower"), F.col("p").alias("rest"))
             joined = own.join(lower, suffix(F.col("gram"), order - 1) == F.col("lower"))
             p = joined.select("gram", (F.col("own") + F.col("back") * F.col("rest")).alias("p"))
-        probabilities.append(materialize(p))
+        probabilities.append(materialize(p.coalesce(tasks)))
         backs.append(totals.select("context", "back"))
     return probabilities, backs, unseen
 
 
 def log_probabilities(asked: DataFrame, probabilities: list[DataFrame], backs: list[DataFrame], unseen: float) -> DataFrame:
-    """gram, log_p of the asked grams, seen or not: the longest seen suffix, times the back-off weights above it."""
+    """gram, log_p of the asked grams, seen or not: the longest seen suffix, times the back-off weights above it.
+
+    asked: gram, materialized."""
+    tasks = asked.count() // TASK_GRAMS + 1
     rows = asked.select("gram", F.lit(None).cast("double").alias("p"), F.lit(1.0).alias("weight"))
     for order in range(ORDER, 0, -1):
         own, above = suffix(F.col("gram"), order) if order < ORDER else F.col("gram"), probabilities[order - 1]
@@ -160,6 +168,7 @@ def log_probabilities(asked: DataFrame, probabilities: list[DataFrame], backs: l
         if order > 1:
             rows = rows.join(backs[order - 1], context(own) == F.col("context"), "left")
             rows = rows.withColumn("weight", F.col("weight") * F.coalesce("back", F.lit(1.0))).drop("context", "back")
+        rows = rows.coalesce(tasks)
     return rows.select("gram", F.log(F.coalesce("p", F.col("weight") * unseen)).alias("log_p"))
 
 
@@ -169,6 +178,14 @@ def train(trusted: DataFrame, text_col: str = "text") -> DataFrame:
     return materialize(texts.mapInPandas(counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
 
 
+def merged(parts: list[DataFrame]) -> DataFrame:
+    """Counts of all parts together. parts: gram, n, materialized."""
+    tasks, both = sum(part.count() for part in parts) // TASK_GRAMS + 1, parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part)
+    return materialize(both.groupBy("gram").agg(F.sum("n").alias("n")).coalesce(tasks))
+
+
 def fold_of(text: Column) -> Column:
     """The fold of a text; copies have the same."""
     return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(FOLDS)).cast("int")
@@ -223,8 +240,8 @@ def perplexities(
 
     # Few tasks, however many files, ask for the grams of a block.
     asked = rows.select("block", "text").coalesce(tasks).mapInPandas(grams, "block long, gram long")
-    asked = materialize(asked.distinct())
-    logs = log_probabilities(asked.select("gram").distinct(), *model_tables(counts))
+    asked = materialize(asked.distinct().coalesce(tasks))
+    logs = log_probabilities(materialize(asked.select("gram").distinct()), *model_tables(counts))
     parts = asked.join(logs, "gram")
     texts = rows.coalesce(tasks).mapInPandas(packed, "block long, data binary")
     met = texts.groupBy("block").cogroup(parts.groupBy("block"))
@@ -246,7 +263,6 @@ def quality(
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = slim.join(small_enough(ids, BROADCAST_IDS), "doc_id", "left_semi")
     folds = [train(known.filter(fold_of(F.col("text")) == fold)) for fold in range(FOLDS)]
-    both = folds[0].unionByName(folds[1]).groupBy("gram").agg(F.sum("n").alias("n"))
     row = fresh(docs, "row")
     keys = numbered(docs, row).select(F.col(row).alias("row_id"), F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"))
     keys = keys.join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
@@ -255,7 +271,7 @@ def quality(
         nothing = F.lit(None).cast("double")
         return keys.select("row_id", "doc_id", "lang", "trusted", nothing.alias("perplexity"), nothing.alias("threshold"), F.lit(True).alias("kept"))
     sizes = sized(docs, text_col)
-    rows = keys.join(perplexities(docs, materialize(both), id_col, text_col, sizes).drop("events"), "row_id")
+    rows = keys.join(perplexities(docs, merged(folds), id_col, text_col, sizes).drop("events"), "row_id")
     if all(held):
         only = small_enough(ids, BROADCAST_IDS)
         other = [perplexities(docs, folds[1 - fold], id_col, text_col, sizes, only, fold) for fold in range(FOLDS)]
