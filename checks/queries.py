@@ -28,7 +28,6 @@ from snapmart.schemas import (
     ONE_HOT_COLUMNS,
     PROFILE_FENCED_COLUMNS,
     SNAPSHOT,
-    STATIC_BOUNDS,
 )
 from snapmart.sources.snapshots import read_snapshots
 
@@ -190,15 +189,7 @@ def rejected_values(spark, sf):
 
 @query
 def static_bounds(spark, sf):
-    exported = silver.silver_financials(
-        financials_raw(spark, sf),
-        fence_scope="global",
-        fence_columns=PROFILE_FENCED_COLUMNS,
-        exact_fences=True,
-        bounds=STATIC_BOUNDS,
-        blank_loans_to_null=False,
-    )
-    return plain(exported)
+    return plain(silver.reviewed_export(financials_raw(spark, sf)))
 
 
 @query
@@ -212,12 +203,12 @@ def fill_numeric_nulls(spark, sf):
 
 @query
 def tukey_fences(spark, sf):
-    return plain(outliers.upper_fences(clean_financials(spark, sf), FENCED_COLUMNS, exact=True))
+    return plain(outliers.upper_fences(clean_financials(spark, sf), FENCED_COLUMNS))
 
 
 @query
 def fence_filter(spark, sf):
-    kept = outliers.below_fences(clean_financials(spark, sf), FENCED_COLUMNS, exact=True)
+    kept = outliers.below_fences(clean_financials(spark, sf), FENCED_COLUMNS)
     return plain(kept.select("Customer_ID", SNAPSHOT, *FENCED_COLUMNS))
 
 
@@ -231,7 +222,7 @@ def fence_filter_global(spark, sf):
 def order_price_fences(spark, sf):
     month = F.trunc(F.col("o_orderdate").cast("date"), "month").alias(SNAPSHOT)
     orders = table(spark, sf, "orders").select(month, "o_totalprice")
-    return plain(outliers.upper_fences(orders, ["o_totalprice"], exact=True))
+    return plain(outliers.upper_fences(orders, ["o_totalprice"]))
 
 
 # Silver
@@ -506,7 +497,7 @@ def dpd_histogram(spark, sf):
 
 @query
 def integer_histogram(spark, sf):
-    return distributions.integer_histogram(clean_financials(spark, sf), "Delay_from_due_date")
+    return distributions.integer_histogram(clean_financials(spark, sf), "Delay_from_due_date", dense=True)
 
 
 @query

@@ -50,8 +50,8 @@ def token_value_counts(df: DataFrame, column: str = TOKEN_COLUMN) -> DataFrame:
     return tokens.groupBy("token").count().orderBy(F.desc("count"), "token")
 
 
-def vocabulary_values(df: DataFrame) -> DataFrame:
-    """`kind`, `value`: distinct categories and tokens of the customer table, from one scan."""
+def vocabulary_values(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """`by`, `kind`, `value`: distinct categories and tokens of the customer table, from one scan."""
     categories = [F.array(F.col(column)) for column in ONE_HOT_COLUMNS.values()]
     tokens = F.array_remove(list_tokens(F.col(TOKEN_COLUMN)), "")
     kinds = [*ONE_HOT_COLUMNS, TOKEN_KIND]
@@ -60,20 +60,25 @@ def vocabulary_values(df: DataFrame) -> DataFrame:
         for kind, values in zip(kinds, [*categories, tokens])
     ]
     return (
-        df.select(F.inline(F.array(*entries)))
-        .select("kind", F.explode("found").alias("value"))
+        df.select(*by, F.inline(F.array(*entries)))
+        .select(*by, "kind", F.explode("found").alias("value"))
         .where("value is not null")
         .distinct()
     )
 
 
 def vocabulary_table(df: DataFrame) -> DataFrame:
-    """`kind`, `value`, `position` in value order: one row per feature column of the customer table.
+    """`kind`, `value`, `position` in value order: one row per feature column of the customer table."""
+    return positions(vocabulary_values(df))
+
+
+def positions(values: DataFrame) -> DataFrame:
+    """`kind`, `value`, `position` of distinct `kind`, `value`.
 
     The window of a kind sees its distinct values, which are as many as the columns made of them.
     """
     place = F.row_number().over(Window.partitionBy("kind").orderBy("value")) - 1
-    return vocabulary_values(df).withColumn("position", place)
+    return values.withColumn("position", place)
 
 
 def build_vocabulary(df: DataFrame) -> Vocabulary:

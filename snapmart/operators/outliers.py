@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.operators.distributions import number
 from snapmart.operators.quantiles import exact_quantiles, stack_quantiles
 from snapmart.operators.rows import all_of
+from snapmart.operators.sketches import pooled_quantiles
 from snapmart.schemas import SNAPSHOT
 from snapmart.session import join_statistics, materialize
 
@@ -18,13 +20,13 @@ FENCE_ACCURACY = 1000
 
 
 def _quartiles(df: DataFrame, columns: Sequence[str], by: Sequence[str], exact: bool) -> DataFrame:
-    """One row per group with the quartiles of each column: values of the column, not interpolated."""
+    """One row per group with the quartiles of each column: values of the column, not interpolated, NaN skipped."""
     if exact:
         return exact_quantiles(df, columns, [0.25, 0.75], by, interpolate=False)
     # One mergeable sketch per group and column, all in one pass.
     return df.groupBy(*by).agg(
         *[
-            F.percentile_approx(F.col(name).cast("double"), [0.25, 0.75], FENCE_ACCURACY).alias(name)
+            F.percentile_approx(number(name), [0.25, 0.75], FENCE_ACCURACY).alias(name)
             for name in columns
         ]
     )
@@ -52,6 +54,18 @@ def upper_fences(
     )
 
 
+def pooled_fences(state: DataFrame, by: Sequence[str] = (), k: float = FENCE_FACTOR) -> DataFrame:
+    """`upper_fences` of several months together, from their stored quantile states and not from their rows."""
+    quartiles = pooled_quantiles(state, [0.25, 0.75], by)
+    return quartiles.select(
+        *by,
+        "column",
+        F.col("quantiles")[0].alias("q1"),
+        F.col("quantiles")[1].alias("q3"),
+        _fence("quantiles", k).alias("upper_fence"),
+    )
+
+
 def fence_row(
     df: DataFrame,
     columns: Sequence[str],

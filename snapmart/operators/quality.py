@@ -58,3 +58,21 @@ def rejected_values(raw: DataFrame, cleaned: Mapping[str, Column]) -> DataFrame:
         for name, value in cleaned.items()
     ]
     return raw.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
+
+
+def refused_values(raw: DataFrame, cleaned: Mapping[str, Column], keys: Sequence[str] = ()) -> DataFrame:
+    """`keys`, `column`, `value`, `rule`: every text that lenient cleaning turns into null, with the type it should have.
+
+    One row per refused value, from one scan; per column they are as many as `rejected_values` counts.
+    """
+    types = dict(raw.select(*[value.alias(name) for name, value in cleaned.items()]).dtypes)
+    cells = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.when(value.isNull(), F.col(name).cast("string")).alias("value"),
+            F.lit(f"no {types[name]}").alias("rule"),
+        )
+        for name, value in cleaned.items()
+    ]
+    refused = F.filter(F.array(*cells), lambda cell: cell["value"].isNotNull())
+    return raw.select(*keys, F.inline(refused))

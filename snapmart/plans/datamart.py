@@ -7,26 +7,32 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from snapmart.functions.dates import month_starts
-from snapmart.operators.features import Vocabulary, build_vocabulary, engineer_features, read_vocabulary
+from snapmart.operators.features import Vocabulary, engineer_features, positions, read_vocabulary, vocabulary_values
 from snapmart.operators.loans import label_store
-from snapmart.operators.quality import null_profile, step_audit
+from snapmart.operators.outliers import pooled_fences
+from snapmart.operators.quality import null_profile, refused_values, step_audit
 from snapmart.plans.bronze import build_bronze, rejected_rows
 from snapmart.plans.gold import gold_clickstream, gold_customer
 from snapmart.plans.profiling import PROFILES
 from snapmart.plans.silver import (
     build_silver,
+    cleaning_columns,
     cleaning_steps,
     financial_fences,
+    financial_state,
     reviewed_export,
     silver_financials,
 )
 from snapmart.schemas import DATASETS, DEFAULT_DPD, DEFAULT_MOB, SNAPSHOT, silver_schema
-from snapmart.sources.delimited import read_delimited, write_delimited
+from snapmart.sources.delimited import read_delimited, refused_lines, write_delimited
 from snapmart.sources.snapshots import path_exists, read_snapshots, table_path, write_snapshots
 
 LAYERS = ("bronze", "silver", "gold")
+#: What tells the row of a refused value.
+KEYS = ("loan_id", "Customer_ID", SNAPSHOT)
 
 RowCounts = dict[str, dict[date, int]]
 
@@ -59,6 +65,9 @@ def run_bronze(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[
     for name, source in config.sources.items():
         spec = DATASETS[name]
         raw = read_delimited(spark, source, spec.column_names, strict=config.strict)
+        if not config.strict:
+            refused = refused_lines(spark, source, spec.column_names)
+            refused.write.mode("overwrite").parquet(config.path("rejects", f"{name}_lines"))
         rejected_rows(raw, spec).write.mode("overwrite").parquet(config.path("rejects", name))
         bronze = build_bronze(raw, spec, snapshots, config.strict)
         path = config.path("bronze", name)
@@ -83,9 +92,17 @@ def run_silver(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[
             continue
         bronze = read_snapshots(spark, config.path("bronze", name), snapshots, spec.bronze_schema)
         report(spark, config, f"cleaning_{name}", step_audit(bronze, cleaning_steps(name), [SNAPSHOT]), snapshots)
+        if not config.strict:
+            keys = [key for key in KEYS if key in bronze.columns]
+            report(spark, config, f"refused_{name}", refused_values(bronze, cleaning_columns(name), keys), snapshots)
         if name == "financials":
             fences = report(spark, config, "fences", financial_fences(bronze, config.strict), snapshots)
             silver = silver_financials(bronze, config.strict, fences=fences)
+            state = financial_state(bronze, config.strict)
+            report(spark, config, "fence_state", state, snapshots)
+            every = read_snapshots(spark, config.path("reports", "fence_state"), None, state.schema)
+            pooled = config.path("reports", "pooled_fences")
+            pooled_fences(every).coalesce(1).write.mode("overwrite").parquet(pooled)
         else:
             silver = build_silver(name, bronze, config.strict)
         path = config.path("silver", name)
@@ -121,7 +138,7 @@ def run_gold(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[da
     # The vocabulary covers every month of the customer table, so a new value changes the columns of all of
     # them, also of those outside the configured range. It is saved last: should the run break off, the next one finds the old vocabulary and redoes them all.
     customer_schema = customer.schema
-    vocabulary = build_vocabulary(read_snapshots(spark, customer_path, None, customer_schema))
+    vocabulary = merged_vocabulary(spark, config, customer_path, customer_schema, snapshots)
     changed = vocabulary != saved_vocabulary(spark, config)
     every = read_snapshots(spark, customer_path, None, customer_schema).select(SNAPSHOT).distinct()
     redone = sorted({*[row[0] for row in every.collect()], *snapshots}) if changed else snapshots
@@ -135,6 +152,21 @@ def run_gold(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[da
     return rows
 
 
+def merged_vocabulary(
+    spark: SparkSession, config: DatamartConfig, customer_path: str, schema: StructType, snapshots: Sequence[date]
+) -> Vocabulary:
+    """The vocabulary of all months, from the values kept per month: of the customers, only the given months are read."""
+    path = config.path("gold", "vocabulary_values")
+    months = snapshots if path_exists(spark, path) else None
+    values = vocabulary_values(read_snapshots(spark, customer_path, months, schema), [SNAPSHOT])
+    if months is None:
+        values.repartition(SNAPSHOT).write.partitionBy(SNAPSHOT).parquet(path)
+    else:
+        write_snapshots(values, path, months, rebalance=False)
+    every = read_snapshots(spark, path, None, values.schema)
+    return read_vocabulary(positions(every.select("kind", "value").distinct()))
+
+
 def saved_vocabulary(spark: SparkSession, config: DatamartConfig) -> Vocabulary | None:
     path = config.path("gold", "vocabulary")
     return read_vocabulary(spark.read.parquet(path)) if path_exists(spark, path) else None
@@ -150,7 +182,8 @@ def run_datamart(
 
     Returns the rows written per table and snapshot. The number of jobs does not depend on the number
     of snapshots. Tables whose sources were never read are left out. Under `{root}/reports` are, per snapshot,
-    the rows left after each cleaning step, the fences, and the nulls after the customer join.
+    the rows left after each cleaning step, the fences with the state that they pool from, and the nulls after the
+    customer join. The pooled fences are those of all months ever built; no rows of other months are read for them.
     """
     unknown = set(layers) - set(LAYERS)
     if unknown:

@@ -60,14 +60,14 @@ def profile_table(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def _facts(name: str, is_number: bool) -> list[Column]:
-    value = F.col(name) if is_number else F.lit(None).cast("double")
+    value = distributions.number(name) if is_number else F.lit(None).cast("double")
     return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(name).isNull()).alias("nulls"),
         F.mean(value).alias("mean"),
         F.stddev_samp(value).alias("stddev"),
-        F.min(value.cast("double")).alias("min"),
-        F.max(value.cast("double")).alias("max"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     ]
 
 
@@ -165,9 +165,11 @@ def profile_financials(bronze: DataFrame) -> Reports:
         "fences": outliers.upper_fences(cleaned, PROFILE_FENCED_COLUMNS, by=()),
         "no_loan_list": counts.counts_by(cleaned.where(F.col("Type_of_Loan").isNull()), "Num_of_Loan"),
     }
+    histograms, densities = distributions.curves(cleaned, DENSITY_COLUMNS, BINS)
     for name in DENSITY_COLUMNS:
-        reports[f"histogram_{name}"] = distributions.histogram(cleaned, name, BINS)
-        reports[f"density_{name}"] = distributions.kernel_density(cleaned, name, bins=BINS)
+        own = F.col("column") == name
+        reports[f"histogram_{name}"] = histograms.where(own).drop("column").orderBy("bin")
+        reports[f"density_{name}"] = densities.where(own).drop("column").orderBy("point")
     return reports
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from snapmart.functions.cleaning import blank_to_null, clean_age, clean_number, typed
 from snapmart.operators.loans import with_days_past_due, with_missed_installments
 from snapmart.operators.outliers import below_fences, fence_row
-from snapmart.operators.rows import enforce_schema, within_bounds, without_sentinels
+from snapmart.operators.rows import enforce_schema, typed_columns, within_bounds, without_sentinels
+from snapmart.operators.sketches import quantile_state
 from snapmart.schemas import (
     AGE_RANGE,
     ATTRIBUTE_SENTINELS,
@@ -116,13 +117,20 @@ def financial_fences(bronze: DataFrame, strict: bool = False) -> DataFrame:
     return fence_row(clean_financials(bronze, strict), FENCED_COLUMNS)
 
 
+def financial_state(bronze: DataFrame, strict: bool = False) -> DataFrame:
+    """The quantile state of every snapshot and fenced column, from which fences of any months together follow."""
+    columns = list(dict.fromkeys([*FENCED_COLUMNS, *PROFILE_FENCED_COLUMNS]))
+    return quantile_state(clean_financials(bronze, strict), columns, [SNAPSHOT])
+
+
 def reviewed_export(bronze: DataFrame, strict: bool = False) -> DataFrame:
-    """Financials below pooled fences and inside the reviewed ranges, blank loan lists left as they are."""
+    """Financials below exact pooled fences and inside the reviewed ranges, blank loan lists left as they are."""
     return silver_financials(
         bronze,
         strict,
         fence_scope="global",
         fence_columns=PROFILE_FENCED_COLUMNS,
+        exact_fences=True,
         bounds=STATIC_BOUNDS,
         blank_loans_to_null=False,
     )
@@ -139,6 +147,13 @@ def cleaning_steps(name: str) -> dict[str, Column]:
     return {}
 
 
+def cleaning_columns(name: str) -> dict[str, Column]:
+    """The lenient cleaning of each column of a dataset that can refuse a text."""
+    if name == "attributes":
+        return {"Age": clean_age(F.col("Age"))}
+    return financial_columns() if name == "financials" else typed_columns(dataset(name).typed_schema)
+
+
 def silver_lms(bronze: DataFrame, strict: bool = False) -> DataFrame:
     """Typed installments with months on book, missed installments and days past due."""
     typed_rows = enforce_schema(bronze, LMS.typed_schema, strict)

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmart.operators.features import read_vocabulary
-from snapmart.plans import profiling
+from snapmart.operators import quality
+from snapmart.plans import profiling, silver
 from snapmart.plans.bronze import build_bronze, rejected_rows
-from snapmart.plans.datamart import DatamartConfig, run_datamart, run_export, run_profiles
+from snapmart.plans.datamart import DatamartConfig, run_datamart, run_export, run_profiles, saved_vocabulary
 from snapmart.plans.silver import build_silver, reviewed_export, silver_financials
 from snapmart.schemas import DATASETS, PROFILE_FENCED_COLUMNS, SNAPSHOT, dataset, silver_schema
 from snapmart.sources.delimited import read_delimited
@@ -248,3 +249,49 @@ def test_profiles_of_every_dataset(spark, mart):
     customers = profiling.profile_customer(gold(spark, mart[0], "feature_store_customer"))
     assert {r["column"] for r in customers["nulls"].collect()} == {"Type_of_Loan"}
     assert customers["no_loan_list"].count() > 0
+
+
+def test_refused_values_are_kept_with_their_rule(spark, mart):
+    config = mart[0]
+    for name in ("clickstream", "attributes", "financials", "lms"):
+        bronze = read_snapshots(spark, config.path("bronze", name), schema=DATASETS[name].bronze_schema)
+        keys = [key for key in ("loan_id", "Customer_ID", SNAPSHOT) if key in bronze.columns]
+        schema = quality.refused_values(bronze, silver.cleaning_columns(name), keys).schema
+        refused = read_snapshots(spark, config.path("reports", f"refused_{name}"), schema=schema)
+        counted = {r["column"]: r.rejected for r in quality.rejected_values(bronze, silver.cleaning_columns(name)).collect() if r.rejected}
+        assert {r["column"]: r["count"] for r in refused.groupBy("column").count().collect()} == counted
+    financials = spark.read.parquet(config.path("reports", "refused_financials"))
+    assert ("Changed_Credit_Limit", "_", "no float") in {(r["column"], r.value, r.rule) for r in financials.collect()}
+
+
+def test_pooled_fences_come_from_the_states_of_all_months(spark, mart):
+    config = mart[0]
+    state = spark.read.parquet(config.path("reports", "fence_state"))
+    assert {r[SNAPSHOT] for r in state.select(SNAPSHOT).distinct().collect()} == set(raw.MONTHS)
+    cleaned = silver.clean_financials(read_snapshots(spark, config.path("bronze", "financials")))
+    pooled = {r["column"]: r for r in spark.read.parquet(config.path("reports", "pooled_fences")).collect()}
+    for name, row in pooled.items():
+        n = cleaned.where(F.col(name).isNotNull()).count()
+        for share, value in ((0.25, row.q1), (0.75, row.q3)):
+            below, upto = cleaned.where(F.col(name) < value).count(), cleaned.where(F.col(name) <= value).count()
+            assert below / n - 0.001 - 3 / n <= share <= upto / n + 0.001 + 3 / n
+
+
+def test_a_month_reads_its_own_customers_for_the_vocabulary(spark, mart, tmp_path, monkeypatch):
+    from snapmart.plans import datamart
+
+    config = DatamartConfig(str(tmp_path), mart[0].sources, JAN, MAR)
+    run_datamart(spark, config)
+    read = []
+
+    def noted(spark, path, snapshots=None, schema=None, whole=datamart.read_snapshots):
+        read.append((path, snapshots))
+        return whole(spark, path, snapshots, schema)
+
+    monkeypatch.setattr(datamart, "read_snapshots", noted)
+    before = saved_vocabulary(spark, config)
+    run_datamart(spark, config, [FEB], layers=["gold"])
+    customers = [months for path, months in read if path == config.path("gold", "feature_store_customer")]
+    assert [FEB] in customers and saved_vocabulary(spark, config) == before
+    values = spark.read.parquet(config.path("gold", "vocabulary_values"))
+    assert {r[SNAPSHOT] for r in values.select(SNAPSHOT).distinct().collect()} == {JAN, FEB, MAR}

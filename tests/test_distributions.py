@@ -85,10 +85,13 @@ def test_histogram_threshold(data):
 
 def test_integer_histogram_fills_gaps(data, spark):
     pdf, df = data
-    found = dict(rows(distributions.integer_histogram(df, "k")))
+    found = dict(rows(distributions.integer_histogram(df, "k", dense=True)))
+    assert dict(rows(distributions.integer_histogram(df, "k"))) == {value: n for value, n in found.items() if n}
+    far = spark.createDataFrame([(1,), (2_000_000_000,), (1,)], "k int")
+    assert rows(distributions.integer_histogram(far, "k")) == [(1, 2), (2_000_000_000, 1)]
     assert found == {k: int((pdf.k == k).sum()) for k in range(pdf.k.min(), pdf.k.max() + 1)}
     assert found[20] == 0
-    assert rows(distributions.integer_histogram(df.where("false"), "k")) == []
+    assert rows(distributions.integer_histogram(df.where("false"), "k", dense=True)) == []
 
 
 def test_kernel_density(data):
@@ -116,3 +119,44 @@ def test_nan_is_missing(spark):
         lambda df: distributions.iqr_report(df, ["x"]),
     ):
         assert make(with_nan).collect() == make(without).collect()
+
+
+def test_curves_of_many_columns(spark):
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=3000), rng.lognormal(0, 2, 3000)
+    table = [(float(a), float(b), 4.0, None, float(i) if i < 1 else None) for i, (a, b) in enumerate(zip(x, y))] + [(float("nan"),) * 2 + (None,) * 3]
+    df = spark.createDataFrame(table, "x double, y double, flat double, empty double, one double")
+    histograms, densities = distributions.curves(df, df.columns, bins=20)
+    for name in df.columns:
+        own = histograms.where(F.col("column") == name).drop("column").orderBy("bin")
+        assert rows(own) == rows(distributions.histogram(df, name, 20))
+    for name, values in (("x", x), ("y", y)):
+        h = values.std(ddof=1) * len(values) ** (-1 / 5)
+        grid = np.linspace(values.min(), values.max(), 200)
+        exact = np.exp(-(((grid[:, None] - values) / h) ** 2) / 2).sum(axis=1) / (len(values) * h * np.sqrt(2 * np.pi))
+        found = densities.where(F.col("column") == name).orderBy("point").collect()
+        assert [r.x for r in found] == pytest.approx(list(grid))
+        assert max(abs(r.density - want) for r, want in zip(found, exact)) < 1e-9 / (h * np.sqrt(2 * np.pi))
+    assert {r.column for r in densities.collect()} == {"x", "y"}
+
+
+def test_reads_of_curves_do_not_grow_with_the_columns(spark):
+    many = spark.range(200).select(*[(F.col("id") * k % 17).cast("double").alias(f"c{k}") for k in range(1, 7)])
+
+    def jobs(columns):
+        group = f"curves-{len(columns)}"
+        spark.sparkContext.setJobGroup(group, group)
+        histograms, densities = distributions.curves(many, columns)
+        histograms.count(), densities.count()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(many.columns[:1]) == jobs(many.columns)
+
+
+def test_profile_skips_nan(spark):
+    from snapmart.plans.profiling import profile_table
+
+    nan = float("nan")
+    with_nan = spark.createDataFrame([(1.0,), (nan,), (2.0,), (4.0,)], "x double")
+    found = {r.metric: r.value for r in profile_table(with_nan).collect()}
+    assert (found["min"], found["max"], found["p50"]) == (1.0, 4.0, 2.0) and found["mean"] == pytest.approx(7 / 3)

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmart.operators import outliers
-from snapmart.operators.outliers import below_fences, upper_fences
+from snapmart.operators.outliers import below_fences, pooled_fences, upper_fences
+from snapmart.operators.sketches import quantile_state
 from snapmart.plans.silver import silver_financials
 from snapmart.schemas import SNAPSHOT
 from tests.conftest import rows
@@ -83,3 +84,42 @@ def test_empty_and_all_null(spark, exact, by):
 def test_unknown_scope(spark):
     with pytest.raises(ValueError, match="fence scope"):
         silver_financials(spark.createDataFrame([], "a string"), fence_scope="weekly")
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_nan_is_skipped(spark, exact):
+    nan = float("nan")
+    df = spark.createDataFrame([(JAN, float(v)) for v in range(1, 7)] + [(JAN, nan)] * 4, f"{SNAPSHOT} date, x double")
+    found = upper_fences(df, ["x"], exact=exact).first()
+    assert [found.q1, found.q3] == df.approxQuantile("x", [0.25, 0.75], 0.0) == [2.0, 5.0]
+    assert found.upper_fence == 9.5
+    assert sorted(r.x for r in below_fences(df, ["x"], exact=exact).collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_financials_with_nan_texts_get_the_fences_of_their_numbers(spark):
+    from snapmart.plans.silver import clean_financials, financial_fences
+    from snapmart.schemas import FENCED_COLUMNS, FINANCIALS
+    from tests.raw import financial_row
+
+    named = [financial_row(i, JAN) | {FENCED_COLUMNS[0]: "NaN" if i % 4 == 0 else str(i)} for i in range(1, 41)]
+    schema = FINANCIALS.bronze_schema
+    bronze = spark.createDataFrame([tuple(row[field.name] for field in schema) for row in named], schema)
+    q1, q3 = clean_financials(bronze).approxQuantile(FENCED_COLUMNS[0], [0.25, 0.75], 0.0)
+    assert financial_fences(bronze).first()[f"{FENCED_COLUMNS[0]}_fence"] == q3 + 1.5 * (q3 - q1)
+
+
+def test_fences_pooled_from_states(spark):
+    rng = np.random.default_rng(2)
+    by_month = {JAN: rng.lognormal(3, 1, 30_000), FEB: rng.lognormal(4, 1, 5_000), date(2023, 3, 1): [7.0] * 3}
+    values = [(day, float(v)) for day, own in by_month.items() for v in own]
+    values += [(JAN, float("nan"))] * 10_000 + [(FEB, None)] * 100
+    df = spark.createDataFrame(values, f"{SNAPSHOT} date, x double").repartition(4)
+    state = quantile_state(df, ["x"], [SNAPSHOT])
+    assert state.count() == 3 and state.agg(F.max(F.size("points"))).first()[0] == 1001
+    found = pooled_fences(state).first()
+    pool = np.sort(np.concatenate([np.asarray(own) for own in by_month.values()]))
+    for share, value in ((0.25, found.q1), (0.75, found.q3)):
+        assert abs(np.searchsorted(pool, value, "right") / len(pool) - share) < 0.0015
+    per_month = {r[SNAPSHOT]: r for r in pooled_fences(state, [SNAPSHOT]).collect()}
+    assert per_month[date(2023, 3, 1)].upper_fence == 7.0
+    assert pooled_fences(state.where("false")).count() == 0

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from snapmart.plans.bronze import build_bronze
 from snapmart.schemas import ATTRIBUTES, SNAPSHOT
-from snapmart.sources.delimited import read_delimited, write_delimited
+from snapmart.sources.delimited import read_delimited, refused_lines, write_delimited
 from snapmart.sources.snapshots import read_snapshots, write_snapshots
 from tests import raw
 from tests.conftest import rows
@@ -117,3 +117,16 @@ def test_a_large_snapshot_is_split_over_files(spark, tmp_path):
     files = len(list((Path(path) / f"{SNAPSHOT}=2023-02-01").glob("*.parquet")))
     assert files > 4
     assert read_snapshots(spark, path).count() == 200_000
+
+
+def test_lines_that_do_not_fit_are_refused_and_kept(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('a,b,refused\n1,2,3\n4,5\n6,7,8,9\n"x\n'.replace('"x', '"x, y",,z'))
+    (tmp_path / "two.csv").write_text("a,b,refused\n,,\nonly\n")
+    path = str(tmp_path / "*.csv")
+    kept = sorted((tuple(r) for r in read_delimited(spark, path, ["b", "a", "refused"]).collect()), key=str)
+    assert kept == sorted([("2", "1", "3"), (None, "x, y", "z"), (None, None, None)], key=str)
+    refused = refused_lines(spark, path, ["a"])
+    assert sorted((r.file.rsplit("/", 1)[1], r.line) for r in refused.collect()) == [("one.csv", "4,5"), ("one.csv", "6,7,8,9"), ("two.csv", "only")]
+    assert read_delimited(spark, path, ["a"]).count() + refused.count() == 6
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        read_delimited(spark, path, ["a", "b"], strict=True).collect()
