@@ -10,7 +10,8 @@ lengths and no text is searched twice. The patterns are possessive: no input mak
 texts without a digit, an at sign or a plus are not matched at all.
 
 Defined results: a null text counts as empty and has no spans; hashes of no spans are those of the empty string. A span
-found by context never touches another one and is plausible for its kind; of discovered spans that overlap, the longest stays.
+found by context never touches another one and is plausible for its kind; of discovered spans that overlap, the
+longest stays, or of equally long ones the first.
 Repeated rows get equal spans, null ids stay null, and an empty table gives an empty result.
 """
 
@@ -67,13 +68,12 @@ SPAN = "struct<start:int,end:int,value:string,before:string,after:string>"
 def found(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches with their positions and the text beside them."""
     pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
+    # Zipped once: named in the lambda, the text would be split again for every match.
+    n = F.size(values)
+    zipped = F.arrays_zip(values.alias("value"), F.slice(pieces, 1, n).alias("before"), F.slice(pieces, 2, n).alias("after"))
     one = F.transform(
-        values,
-        lambda value, i: F.struct(
-            value.alias("value"),
-            F.get(pieces, i).alias("before"),
-            F.substring(F.get(pieces, i + 1), 1, REACH).alias("after"),
-        ),
+        zipped,
+        lambda x: F.struct(x["value"].alias("value"), x["before"].alias("before"), F.substring(x["after"], 1, REACH).alias("after")),
     )
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
 
@@ -173,7 +173,9 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def mentions(scanned: DataFrame) -> DataFrame:
-    """Seeds with their kind, and identifier-shaped tokens that touch no seed, with a null kind."""
+    """Seeds with their kind, and identifier-shaped tokens that touch no seed, with a null kind.
+
+    A row for each pattern around them, or one with a null pattern: a value discovered elsewhere counts there too."""
     named = lambda kind: F.transform(F.col(kind), lambda span: F.struct(F.lit(kind).alias("kind"), span.alias("span")))
     base = F.flatten(F.array(*map(named, KINDS)))
     free = F.filter(
@@ -189,7 +191,7 @@ def mentions(scanned: DataFrame) -> DataFrame:
         F.col("m.span.start").alias("start"),
         F.col("m.span.end").alias("end"),
         F.col("m.span.value").alias("value"),
-        F.explode(contexts(F.col("m.span.before"), F.col("m.span.after"))).alias("pattern"),
+        F.explode_outer(contexts(F.col("m.span.before"), F.col("m.span.after"))).alias("pattern"),
     )
 
 
@@ -237,14 +239,16 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per document: row_id, doc_id, base and all spans as arrays of (kind, start, end) by kind, then start."""
     scanned = materialize(scan(docs, id_col, text_col))
     found_ = materialize(mentions(scanned))
-    graph = found_.select("kind", "value", "pattern").distinct()
+    graph = found_.filter("pattern is not null").select("kind", "value", "pattern").distinct()
     new = discovered(graph, rounds)
     extra = found_.filter("kind is null").drop("kind").join(new, "value")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     extra = extra.select("row_id", order.alias("o"), "kind", "start", "end").distinct()
     extra = extra.groupBy("row_id").agg(F.collect_list(F.struct("o", "start", "end", "kind")).alias("all"))
+    size = lambda s: s["end"] - s["start"]
+    above = lambda other, s: (size(other) > size(s)) | (size(other) == size(s)) & (other["start"] < s["start"])
     longest = F.filter("all", lambda s: ~F.exists("all", lambda other: (other["start"] < s["end"]) & (s["start"] < other["end"])
-        & (other["end"] - other["start"] > s["end"] - s["start"])))
+        & above(other, s)))
     extra = extra.select("row_id", longest.alias("extra"))
     base = F.flatten(F.array(*[placed(kind, o) for o, kind in enumerate(KINDS, 1)]))
     spans = scanned.select("row_id", "doc_id", base.alias("base")).join(extra, "row_id", "left")

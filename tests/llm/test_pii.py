@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from edges import ROWS, edge_docs, stored
@@ -117,3 +118,18 @@ def test_contexts_discover_other_writings(spark):
         start = text.index("{")
         assert found[i] == ([], [("phone" if text == call else "email", start, start + len(value))])
     assert all(base == all_ for i, (base, all_) in found.items() if i not in other)
+
+
+def test_discovered_values_count_wherever_they_stand(spark, tmp_path):
+    seeds = [f"please call hotline +1 202 555 {i:04d} today" for i in range(1000, 1040)]  # nine digits and more
+    texts = [*seeds, "please call hotline 555-123-4567 today", "555-123-4567 is closed", "12 555-123-4567"]
+    docs = stored(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tmp_path)
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.personal_data(docs).filter("doc_id >= 40").collect()}
+    assert found == {40: [("phone", 20, 32)], 41: [("phone", 0, 12)], 42: [("phone", 3, 15)]}
+
+
+def test_many_matches_in_one_text(spark):
+    text = " ".join(f"10.{i // 250 % 250}.{i % 250}.7" for i in range(10_000))
+    begun = time.time()
+    spans = spark.createDataFrame([(text,)], "text string").select(F.size(pii.base_spans(F.col("text"), "ip"))).first()[0]
+    assert spans == 10_000 and time.time() - begun < 60
