@@ -67,14 +67,22 @@ SPAN = "struct<start:int,end:int,value:string,before:string,after:string>"
 
 def found(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches with their positions and the text beside them."""
-    pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    # Zipped once: named in the lambda, the text would be split again for every match.
-    n = F.size(values)
-    zipped = F.arrays_zip(values.alias("value"), F.slice(pieces, 1, n).alias("before"), F.slice(pieces, 2, n).alias("after"))
-    one = F.transform(
-        zipped,
-        lambda x: F.struct(x["value"].alias("value"), x["before"].alias("before"), F.substring(x["after"], 1, REACH).alias("after")),
+    parts = F.struct(
+        F.split(text, pattern, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("values")
     )
+
+    def beside(own: Column) -> Column:
+        return F.transform(
+            own["values"],
+            lambda value, i: F.struct(
+                value.alias("value"),
+                F.get(own["pieces"], i).alias("before"),
+                F.substring(F.get(own["pieces"], i + 1), 1, REACH).alias("after"),
+            ),
+        )
+
+    # An array of one row, whose parts are computed once; named in the lambda itself, they would be for every match.
+    one = F.get(F.transform(F.array(parts), beside), F.lit(0))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
 
     def step(state: Column, x: Column) -> Column:
