@@ -6,12 +6,14 @@ labels of neighbours are learned. Forward-backward gives each word's posterior,
 language is the one with the largest sum of posteriors, its score that sum's share.
 
 The model is fitted on a bounded sample: SAMPLE_DOCS different texts of each language, SAMPLE_CHARS characters of each
-from a hashed place, cut into segments that are shuffled into code-switched chains. Copies of a text count once. The
-sample is drawn in Spark; everything else (counts of languages, prediction) covers whole texts of all documents.
+from a hashed place, cut into segments that are shuffled into code-switched chains. Copies of a text count once. With many
+languages each gets fewer texts, SAMPLE_ALL in all, and beyond LANGUAGES those with the most different texts are learned.
+The sample is drawn in Spark; everything else (counts of languages, prediction) covers whole texts of all documents.
 
 Prediction strings the documents of a batch into one chain whose label is forgotten where a document starts. Blocks of
 the chain are multiplied side by side, a scan over blocks carries the state, and the blocks are then filled side by side,
-so a text of any length costs the same per word.
+so a text of any length costs the same per word. Where those matrices would be large (many labels, a very long text), the
+words go one by one instead, with the same result.
 
 Defined results: a text that is null or has no letters is `und` with score 0; so is every text if nothing can be learned.
 Rows without a language teach nothing; a null id counts as not held out. Repeated rows get equal results. Ties go to the
@@ -30,7 +32,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.store import fresh, materialize, numbered, slices, small_enough, without_rows
+from snapmart.llm.store import fresh, materialize, numbered, slices, without_rows
 
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -38,13 +40,18 @@ SIZES = (2, 3, 4)
 BUCKETS = 1 << 15
 BLOCK = 64
 #: Characters of text labelled at a time.
-BATCH_CHARS = 500_000
+BATCH_CHARS = 200_000
 
 SAMPLE_DOCS = 120
 SAMPLE_CHARS = 2500
 LEXICON_MIN = 3
-#: Languages whose counts are broadcast at most, so that the texts are sampled where they are read.
-BROADCAST_LANGUAGES = 10_000
+#: Texts of all languages, and languages learned, at most; beyond these, those with the most different texts.
+SAMPLE_ALL = 2400
+LANGUAGES = 200
+#: Labels and numbers up to which blocks of a chain are multiplied side by side, and numbers a fitting step holds.
+BLOCK_LABELS = 16
+STATES = 1 << 22
+NUMBERS = 1 << 22
 EPOCHS = 25
 RATE = 0.1
 RIDGE = 1e-5
@@ -77,30 +84,78 @@ class Model:
     languages: list[str]
     grams: np.ndarray  # BUCKETS + 1 by languages; the last row is zero
     known: np.ndarray  # lexicons by languages
-    lexicon: dict[str, int]  # word: bits of the languages that know it
+    lexicon: dict[str, int]  # word: its row of knows
+    knows: np.ndarray  # words by languages, which of them know the word; the last row is of words that none knows
     moves: np.ndarray
     start: np.ndarray
 
     def emissions(self, words: list[str]) -> np.ndarray:
         buckets, starts = hashed(words)
         total = sum(np.add.reduceat(self.grams[row], starts, axis=0) for row in buckets)
-        return total + lexicon_bits(words, self.lexicon, len(self.languages)) @ self.known
+        return total + in_lexicons(words, self.lexicon, self.knows) @ self.known
 
 
-def lexicon_bits(words: list[str], lexicon: dict[str, int], n: int) -> np.ndarray:
-    bits = np.fromiter((lexicon.get(word, 0) for word in words), np.int64, len(words))
-    return (bits[:, None] >> np.arange(n) & 1).astype(np.float64)
+def in_lexicons(words: list[str], lexicon: dict[str, int], knows: np.ndarray) -> np.ndarray:
+    rows = np.fromiter((lexicon.get(word, -1) for word in words), np.int64, len(words))
+    return knows[rows].astype(np.float64)
 
 
-def chain(emissions: np.ndarray, first: np.ndarray, moves: np.ndarray, start: np.ndarray):
-    """Forward and backward vectors (each of sum 1) and the matrices of a chain; first marks where a text starts."""
+@dataclass
+class Chain:
+    """What a chain gives: factors of its words, the step between neighbours, forward and backward vectors of sum 1."""
+
+    factor: np.ndarray
+    step: np.ndarray
+    forward: np.ndarray
+    backward: np.ndarray
+
+    def beliefs(self) -> np.ndarray:
+        both = self.forward * self.backward
+        return both / both.sum(axis=1, keepdims=True)
+
+    def moved(self, first: np.ndarray) -> np.ndarray:
+        """How often each label is expected to follow each other one."""
+        after = np.flatnonzero(~first)
+        before, here = self.forward[after - 1], (self.factor * self.backward)[after]
+        weight = np.einsum("ti,ti->t", before @ self.step, here)
+        return self.step * ((before / weight[:, None]).T @ here)
+
+
+def chain(emissions: np.ndarray, first: np.ndarray, moves: np.ndarray, start: np.ndarray) -> Chain:
+    """Forward-backward over words strung together; first marks where a text starts.
+
+    Blocks side by side need a matrix of all labels for every word; beyond STATES numbers of them the words go one by one.
+    """
     n, k = emissions.shape
     factor = np.exp(emissions - emissions.max(axis=1, keepdims=True))
     step = np.exp(moves - moves.max())
     begin = np.exp(start - start.max())
+    sweep = by_blocks if n * k * k <= STATES and k <= BLOCK_LABELS else by_words
+    return Chain(factor, step, *sweep(factor, first, step, begin))
+
+
+def by_words(factor: np.ndarray, first: np.ndarray, step: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n, k = factor.shape
+    forward, backward = np.empty((n, k)), np.empty((n, k))
+    even = state = np.full(k, 1 / k)
+    for t in range(n):
+        state = (begin if first[t] else state @ step) * factor[t]
+        state = state / state.sum()
+        forward[t] = state
+    state = even
+    for t in range(n - 1, -1, -1):
+        backward[t] = state
+        state = even if first[t] else step @ (factor[t] * state)
+        state = state / state.sum()
+    return forward, backward
+
+
+def by_blocks(factor: np.ndarray, first: np.ndarray, step: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n, k = factor.shape
     blocks = -(-n // BLOCK)
     matrices = np.broadcast_to(np.eye(k), (blocks * BLOCK, k, k)).copy()
-    matrices[:n] = np.where(first[:, None, None], np.broadcast_to(begin, (k, k)), step) * factor[:, None, :]
+    matrices[:n] = np.where(first[:, None, None], np.broadcast_to(begin, (k, k)), step)
+    matrices[:n] *= factor[:, None, :]
     matrices = matrices.reshape(blocks, BLOCK, k, k)
     whole = matrices[:, 0]
     for at in range(1, BLOCK):
@@ -128,14 +183,11 @@ def chain(emissions: np.ndarray, first: np.ndarray, moves: np.ndarray, start: np
         backward[:, at] = state
         state = np.einsum("bij,bj->bi", matrices[:, at], state)
         state = state / state.sum(axis=1, keepdims=True)
-    flat = lambda x: x.reshape(blocks * BLOCK, *x.shape[2:])[:n]
-    return flat(forward), flat(backward), flat(matrices)
+    return forward.reshape(-1, k)[:n], backward.reshape(-1, k)[:n]
 
 
 def posteriors(emissions: np.ndarray, first: np.ndarray, moves: np.ndarray, start: np.ndarray) -> np.ndarray:
-    forward, backward, _ = chain(emissions, first, moves, start)
-    both = forward * backward
-    return both / both.sum(axis=1, keepdims=True)
+    return chain(emissions, first, moves, start).beliefs()
 
 
 def indexed(words: list[str]) -> tuple[list[str], np.ndarray]:
@@ -166,61 +218,84 @@ def fit(sample: list[tuple[str, str]], epochs: int = EPOCHS) -> Model | None:
     first[lengths[::10]] = True  # ten segments make a chain
     different, place = indexed(words)
     k = len(languages)
-    seen = np.zeros((len(different), k))
+    seen = np.zeros((len(different), k), np.int32)
     np.add.at(seen, (place, labels), 1)
-    lexicon = {different[i]: sum(1 << int(l) for l in np.flatnonzero(seen[i] >= LEXICON_MIN)) for i in np.flatnonzero((seen >= LEXICON_MIN).any(axis=1))}
-    buckets, starts = hashed(different)
-    bits = lexicon_bits(different, lexicon, k)
-    owner = np.repeat(np.arange(len(different)), np.diff(np.append(starts, buckets.shape[1])))
+    common = np.flatnonzero((seen >= LEXICON_MIN).any(axis=1))
+    lexicon = {different[i]: row for row, i in enumerate(common)}
+    knows = np.append(seen[common] >= LEXICON_MIN, np.zeros((1, k), bool), axis=0)
+    taught = Taught(different, place, labels, first, in_lexicons(different, lexicon, knows))
     parts = [np.zeros((BUCKETS + 1, k)), np.zeros((k, k)), np.zeros((k, k)), np.zeros(k)]
     squares = [np.zeros_like(part) for part in parts]
-    truth = np.eye(k)[labels]
-    after = np.flatnonzero(~first)
-    pairs = np.zeros((k, k))
-    np.add.at(pairs, (labels[after - 1], labels[after]), 1)
     for _ in range(epochs):
-        grams, known, moves, start = parts
-        scores = sum(np.add.reduceat(grams[row], starts, axis=0) for row in buckets) + bits @ known
-        forward, backward, matrices = chain(scores[place], first, moves, start)
-        both = forward * backward
-        belief = both / both.sum(axis=1, keepdims=True)
-        joint = forward[after - 1][:, :, None] * matrices[after] * backward[after][:, None, :]
-        joint /= joint.sum(axis=(1, 2), keepdims=True)
-        wrong = np.zeros_like(scores)
-        for label in range(k):
-            wrong[:, label] = np.bincount(place, belief[:, label] - truth[:, label], len(different))
-        slope = np.zeros_like(grams)
-        for row in buckets:
-            for label in range(k):
-                slope[:, label] += np.bincount(row, wrong[owner, label], BUCKETS + 1)
-        slope[BUCKETS] = 0
-        slopes = [slope, bits.T @ wrong, joint.sum(axis=0) - pairs, (belief - truth)[first].sum(axis=0)]
-        for part, square, slope in zip(parts, squares, slopes):
+        for part, square, slope in zip(parts, squares, taught.slopes(*parts)):
             slope = slope / len(words) + RIDGE * part
             square += slope**2
             part -= RATE * slope / np.sqrt(square + 1e-16)
     parts[0][BUCKETS] = 0
     grams, known, moves, start = (np.round(part, 5) for part in parts)
-    return Model(languages, grams.astype(np.float32), known, lexicon, moves, start)
+    return Model(languages, grams.astype(np.float32), known, lexicon, knows, moves, start)
+
+
+class Taught:
+    """Words whose labels are known, strung into chains; place is that of each word among the different ones."""
+
+    def __init__(self, different: list[str], place: np.ndarray, labels: np.ndarray, first: np.ndarray, bits: np.ndarray):
+        self.place, self.labels, self.first, self.bits = place, labels, first, bits
+        self.buckets, self.starts = hashed(different)
+        self.owner = np.repeat(np.arange(len(different)), np.diff(np.append(self.starts, self.buckets.shape[1])))
+        # Whole chains at a time, so that what a step holds does not grow with words by labels.
+        begins, room = np.flatnonzero(first), max(NUMBERS // bits.shape[1], 1)
+        cuts = begins[np.append(True, np.diff(begins // room) > 0)]
+        self.groups = list(zip(cuts, np.append(cuts[1:], len(place))))
+
+    def slopes(self, grams: np.ndarray, known: np.ndarray, moves: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
+        """Gradient of minus the log likelihood of the labels."""
+        k = len(start)
+        scores = sum(np.add.reduceat(grams[row], self.starts, axis=0) for row in self.buckets) + self.bits @ known
+        wrong, of_moves, of_start = np.zeros_like(scores), np.zeros((k, k)), np.zeros(k)
+        for a, b in self.groups:
+            place, labels, first = self.place[a:b], self.labels[a:b], self.first[a:b]
+            found = chain(scores[place], first, moves, start)
+            error = found.beliefs()
+            error[np.arange(b - a), labels] -= 1
+            of_moves += found.moved(first)
+            after = np.flatnonzero(~first)
+            np.subtract.at(of_moves, (labels[after - 1], labels[after]), 1)
+            of_start += error[first].sum(axis=0)
+            for label in range(k):
+                wrong[:, label] += np.bincount(place, error[:, label], len(wrong))
+        slope = np.zeros_like(grams)
+        for row in self.buckets:
+            for label in range(k):
+                slope[:, label] += np.bincount(row, wrong[self.owner, label], BUCKETS + 1)
+        slope[BUCKETS] = 0
+        return [slope, self.bits.T @ wrong, of_moves, of_start]
 
 
 def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string")) % 3 == 1, F.lit(False))
 
 
-def training_sample(docs: DataFrame, docs_per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """(language, text) of a bounded number of different texts per language. docs: text, lang."""
+def training_sample(
+    docs: DataFrame, docs_per_language: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS, docs_in_all: int = SAMPLE_ALL
+) -> list[tuple[str, str]]:
+    """(language, text) of a bounded number of different texts per language and in all. docs: text, lang."""
     labelled = docs.filter("lang is not null and text is not null").withColumn("key", F.xxhash64("text"))
     counts = materialize(labelled.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")))
+    languages = counts.count()
+    if languages > LANGUAGES:
+        counts, languages = materialize(counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES)), LANGUAGES
+    each = min(docs_per_language, docs_in_all // max(languages, 1))
     # Twice the wanted number are expected, so that chance leaves enough; one row per language and text.
-    share = F.least(F.lit(1.0), 2.0 * docs_per_language / F.col("n"))
-    drawn = labelled.join(small_enough(counts, BROADCAST_LANGUAGES), "lang").filter(F.pmod(F.xxhash64(F.col("key")), F.lit(1 << 24)) < share * (1 << 24))
+    wanted = 2.0 * each if each >= docs_per_language else 2.0 * each + 20
+    share = F.least(F.lit(1.0), wanted / F.col("n"))
+    drawn = labelled.join(F.broadcast(counts), "lang").filter(F.pmod(F.xxhash64(F.col("key")), F.lit(1 << 24)) < share * (1 << 24))
     place = F.pmod(F.col("key"), F.greatest(F.length("text") - chars, F.lit(1)).cast("long")).cast("int") + 1
     drawn = drawn.groupBy("lang", "key").agg(F.max(F.substring("text", place, F.lit(chars))).alias("text"))
     taken: dict[str, list[str]] = {}
     for row in drawn.orderBy("lang", "key").collect():
         taken.setdefault(row["lang"], []).append(row["text"])
-    return [(lang, text) for lang, texts in taken.items() for text in texts[:docs_per_language]]
+    return [(lang, text) for lang, texts in taken.items() for text in texts[:each]]
 
 
 def label_texts(model: Model, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, int, int]]]]:

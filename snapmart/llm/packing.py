@@ -1,16 +1,14 @@
-"""Best-fit packing of tokenized documents into sequences, in bulk-synchronous rounds.
+"""Best-fit decreasing packing of tokenized documents into sequences, by classes of equal size.
 
-Documents are encoded where they are read and cut into pieces; only the numbers of a piece go on. Pieces and gaps have
-whole sizes up to the sequence length, so the pieces, range-sorted by size, form at most that many classes, and so do
-the gaps. A round takes the largest class left and sweeps over its successors, the gaps from its size upwards: as many
-pieces as there is room for go to each gap, conflicts being settled by rank (the n-th piece of the class takes the n-th
-place), the gaps shrink, and the next round begins. Pieces that find no gap open sequences. That is best-fit decreasing
-for all pieces of a class at once.
+The dealt method, bulk-synchronous rounds over range-sorted tables of documents and gaps, is replaced. Its rounds depend on
+one another, and each would be a Spark job over tables that hold at most a class for each size up to the sequence length.
+Here the counts of the classes, at most `length` rows whatever the corpus, are taken to the driver, and best-fit decreasing
+runs over them: the largest class left goes to the smallest gaps that hold it, as many pieces as there is room for; the
+gaps shrink; pieces that find none open sequences. The result is that of best-fit decreasing, one piece at a time.
 
-The rounds see class counts only, at most `length` rows whatever the corpus, and so run as plain arithmetic; what grows
-with the corpus stays in Spark: encoding, counting, the rank of each piece in its class (a count per reading partition,
-a running sum over partitions, a row number inside each, so that no class meets in one task), and the join of each
-piece's class and rank with the places of the rounds.
+What grows with the corpus stays in Spark: encoding where the documents are read, counting, the rank of each piece in its
+class (a count per reading partition, a running sum over partitions, a row number inside each, so that no class meets in
+one task), and the join of each piece's class and rank with the places of its class.
 
 Defined results: a null or empty text is one piece holding the end token only. Repeated rows and ids are packed one by
 one. An empty table gives an empty result.
@@ -27,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.llm.store import materialize, slices
+from snapmart.llm.store import materialize, materialize_texts, slices, small_enough
 from snapmart.llm.tokens import default_path, load
 
 LENGTH = 1024
 END = 2
+#: Places broadcast at most, six numbers each.
+BROADCAST_PLACES = 100_000
 
 
 def piece_starts(n: int, length: int) -> list[int]:
@@ -140,12 +140,12 @@ def pack(
     end: int = END,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    cut = materialize(pieces(docs, id_col, text_col, path or default_path(), length, end))
+    cut = materialize_texts(pieces(docs, id_col, text_col, path or default_path(), length, end))
     ranks, totals = ranked(cut)
     spark = docs.sparkSession
     schema = "length long, first long, last long, sequence long, at long, per long"
-    # Broadcast: the rounds make some places per class of size, and there are at most `length` classes.
-    places = F.broadcast(spark.createDataFrame(best_fit(totals, length), schema))
+    # Some places for each class of size; counted all the same.
+    places = small_enough(spark.createDataFrame(best_fit(totals, length), schema), BROADCAST_PLACES)
     own = (ranks["length"] == places["length"]) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))
     placed = ranks.join(places, own).withColumn("n", F.col("rank") - F.col("first"))
     return placed.select(

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmart.llm.components import components
-from snapmart.llm.store import fresh, materialize, numbered, slices, without_rows
+from snapmart.llm.store import fresh, materialize, materialize_texts, numbered, slices, without_rows
 
 SHINGLE = 3
 RADIUS = 3
@@ -170,7 +170,7 @@ def near_duplicates(
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """One row per document: row_id, doc_id, fingerprint (hex), component_id (the smallest id reachable)."""
-    keys = materialize(fingerprints(docs, id_col, text_col, shingle))
+    keys = materialize_texts(fingerprints(docs, id_col, text_col, shingle))
     points = materialize(keys.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(near_links(points.select("fp"), radius, shard_rows))
     rooted = points.join(roots, points["fp"] == roots["node"], "left")

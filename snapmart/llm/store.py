@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch whose texts are Python objects at a time.
 SLICE_ROWS = 128
+#: Bytes of rows that travel to a Python worker at a time, where texts do.
+BATCH_BYTES = 8 << 20
 #: Paths of files broadcast at most.
 FILES = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -31,6 +35,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_texts(df: DataFrame) -> DataFrame:
+    """materialize() for a table made from texts in Python workers: they get BATCH_BYTES at a time while it runs."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(name, None)
+    conf.set(name, BATCH_BYTES)
+    try:
+        return materialize(df)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that the table does not have, whatever its letter case."""
     taken = {name.lower() for name in df.columns}
@@ -49,6 +64,16 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+    give_back()
+
+
+def give_back() -> None:
+    """Return what is free in this Python worker to the system: workers outlive tasks and share the executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def small_enough(df: DataFrame, rows: int) -> DataFrame:
@@ -84,5 +109,5 @@ def without_rows(docs: DataFrame, dropped: DataFrame, broadcast_rows: int = 1_00
     Up to so many ids, 8 bytes each, are broadcast, so that the texts stay where they are; beyond that they are joined.
     """
     row = fresh(docs, "row")
-    ids = small_enough(materialize(dropped.toDF(row)), broadcast_rows)
+    ids = small_enough(materialize_texts(dropped.toDF(row)), broadcast_rows)
     return numbered(docs, row).join(ids, row, "left_anti").drop(row)

@@ -11,6 +11,7 @@ import json
 import re
 import sys
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -28,12 +29,19 @@ def default_path() -> str:
 
 @dataclass
 class Loaded:
-    """A tokenizer of one file; fast is None if its ids do not follow the order of its merges."""
+    """A tokenizer of one file; fast is None if its ids do not follow the order of its merges.
 
-    whole: tokenizers.Tokenizer
+    The file's own library is loaded when a text needs it: each worker holds its vocabulary once, not twice.
+    """
+
+    path: str
     fast: tiktoken.Encoding | None
     special: re.Pattern | None
 
+    @cached_property
+    def whole(self) -> tokenizers.Tokenizer:
+        return tokenizers.Tokenizer.from_file(self.path)
+
     def encode(self, text: str) -> np.ndarray:
         if self.fast is None or OTHER_SCRIPTS.search(text) or self.special and self.special.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -64,7 +72,6 @@ def load(path: str) -> Loaded:
     if path not in kept:
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
-        whole = tokenizers.Tokenizer.from_file(path)
         vocab, added = told["model"]["vocab"], [token["content"] for token in told["added_tokens"]]
         merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in told["model"]["merges"]]
         ordered = all(vocab[merge] == 256 + i for i, merge in enumerate(merges)) and told["normalizer"] is None
@@ -74,5 +81,5 @@ def load(path: str) -> Loaded:
             ranks = {bytes(alphabet[c] for c in token): i for token, i in vocab.items() if token not in added}
             fast = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         special = re.compile("|".join(map(re.escape, added))) if added else None
-        kept[path] = Loaded(whole, fast, special)
+        kept[path] = Loaded(path, fast, special)
     return kept[path]

@@ -90,3 +90,74 @@ def test_edges(spark, edge, empty, model):
     kept = crf.known_languages(edge, model)
     assert kept.columns == edge.columns
     assert {r.doc_id for r in kept.collect()} == {1, 2, 7, 8, 9, None} and kept.filter("text is null").count() == 0
+
+
+def test_word_by_word_equals_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
+    n, k = 300, 5
+    scores, moves, start = 5 * rng.normal(size=(n, k)), rng.normal(size=(k, k)), rng.normal(size=k)
+    first = rng.random(n) < 0.05
+    first[0] = True
+    blocks = crf.chain(scores, first, moves, start)
+    monkeypatch.setattr(crf, "STATES", 0)
+    words = crf.chain(scores, first, moves, start)
+    assert np.allclose(blocks.beliefs(), words.beliefs(), atol=1e-12)
+    assert np.allclose(blocks.moved(first), words.moved(first), atol=1e-9)
+
+
+@pytest.mark.parametrize("numbers", [1 << 22, 4])
+def test_gradient_against_all_paths(numbers, monkeypatch):
+    monkeypatch.setattr(crf, "NUMBERS", numbers)
+    rng = np.random.default_rng(6)
+    different, k = ["ab", "cde", "abé"], 2
+    place, labels = np.array([0, 1, 2, 0, 1]), np.array([0, 1, 1, 0, 1])
+    first = np.array([True, False, False, True, False])
+    bits = rng.integers(0, 2, (3, k)).astype(float)
+    taught = crf.Taught(different, place, labels, first, bits)
+    assert len(taught.groups) == (1 if numbers > 4 else 2)
+    parts = [rng.normal(size=shape) for shape in ((crf.BUCKETS + 1, k), (k, k), (k, k), k)]
+    parts[0][crf.BUCKETS] = 0
+    buckets, starts = crf.hashed(different)
+    owner = np.repeat(np.arange(3), np.diff([*starts, buckets.shape[1]]))
+
+    def loss(grams, known, moves, start):
+        word = np.array([sum(grams[row[owner == w]].sum(axis=0) for row in buckets) for w in range(3)]) + bits @ known
+        total = 0.0
+        for a, b in ((0, 3), (3, 5)):
+            def score(path, a=a):
+                own = start[path[0]] + sum(word[place[a + t], label] for t, label in enumerate(path))
+                return own + sum(moves[x, y] for x, y in itertools.pairwise(path))
+            total += np.logaddexp.reduce([score(p) for p in itertools.product(range(k), repeat=b - a)]) - score(labels[a:b])
+        return total
+
+    slopes = taught.slopes(*parts)
+    used = np.unique(buckets[buckets < crf.BUCKETS])
+    for i, at in [(0, (used[0], 0)), (0, (used[-1], 1)), *((p, c) for p in (1, 2) for c in np.ndindex(k, k)), (3, (0,)), (3, (1,))]:
+        up, down = [part.copy() for part in parts], [part.copy() for part in parts]
+        up[i][at] += 1e-5
+        down[i][at] -= 1e-5
+        assert abs((loss(*up) - loss(*down)) / 2e-5 - slopes[i][at]) < 1e-6
+
+
+def test_seventy_languages(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rng = np.random.default_rng(7)
+    rows = []
+    for n in range(70):
+        words = ["".join(rng.choice(list(letters), 5)) for _ in range(6)]
+        rows += [(n * 30 + i, " ".join(rng.choice(words, 15)), f"l{n:02d}") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = crf.learn(docs)
+    assert len(model.languages) == 70
+    found = crf.identify(docs, model).collect()
+    truth = {doc_id: lang for doc_id, _, lang in rows}
+    assert sum(truth[r.doc_id] == r.lang_pred for r in found) >= 0.95 * len(rows)
+
+
+def test_sample_is_bounded_in_all(spark, monkeypatch):
+    rows = [(f"text {lang} {i}", f"l{lang}") for lang in range(6) for i in range(40 - lang)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    sample = crf.training_sample(docs, docs_in_all=30)
+    assert len(sample) == 30 and len({lang for lang, _ in sample}) == 6
+    monkeypatch.setattr(crf, "LANGUAGES", 2)
+    assert len({lang for lang, _ in crf.training_sample(docs)}) == 2

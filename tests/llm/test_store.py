@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from snapmart.llm import kneser_ney as kn
-from snapmart.llm.store import numbered, without_rows
+from snapmart.llm.store import BATCH_BYTES, materialize_texts, numbered, without_rows
 
 CUT = "spark.sql.files.maxPartitionBytes"
 
@@ -24,3 +24,17 @@ def test_rows_keep_their_numbers_when_files_are_cut_otherwise(spark, tmp_path):
         assert {r.row_id for r in scored.collect()} == set(before.values())
     finally:
         spark.conf.unset(CUT)
+
+
+def test_size_of_batches_is_set_only_while_a_table_is_made(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    wide = spark.range(2000, numPartitions=1).select(F.repeat(F.lit("x"), 50_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.select([0]).from_pydict({"n": [batch.num_rows]})
+
+    rows = [r.n for r in materialize_texts(wide.mapInArrow(sizes, "n long")).collect()]
+    assert sum(rows) == 2000 and max(rows) <= BATCH_BYTES // 50_000 + 1
+    assert spark.conf.get(name, None) == before
