@@ -17,7 +17,9 @@ Repeated rows get equal spans, null ids stay null, and an empty table gives an e
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmart.llm.store import fresh, materialize, numbered, small_enough
@@ -65,36 +67,59 @@ BROADCAST_ROWS = 100_000
 SPAN = "struct<start:int,end:int,value:string,before:string,after:string>"
 
 
+def once(value: Column, made: Callable[[Column], Column]) -> Column:
+    """What is made of a value that is computed once; named in a lambda itself, it would be for every element."""
+    return F.get(F.transform(F.array(value), made), F.lit(0))
+
+
+def blocks(items: Column) -> Column:
+    """The items in order, in blocks of about the root of their number; one empty block if there are none."""
+    width = F.greatest(F.ceil(F.sqrt(F.size(items))), F.lit(1)).cast("int")
+    firsts = F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1)), width)
+    return F.transform(firsts, lambda first: F.slice(items, first, width))
+
+
+def running(numbers: Column, add: Callable[[Column, Column], Column], start: int = 0) -> Column:
+    """The running total (greatest, least) of integers. Arrays are copied when they grow: so first over the blocks, then
+    within each."""
+    def within(block: Column, before: Column) -> Column:
+        state = F.struct(before.alias("at"), F.array().cast("array<int>").alias("all"))
+
+        def step(state: Column, number: Column) -> Column:
+            at = add(state["at"], number)
+            return F.struct(at.alias("at"), F.array_append(state["all"], at).alias("all"))
+
+        return F.aggregate(block, state, step, lambda state: state["all"])
+
+    def whole(cut: Column) -> Column:
+        totals = F.transform(cut, lambda block: F.aggregate(block, F.lit(start), lambda at, number: add(at, number)))
+        carried = lambda ends, i: F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(start))
+        return once(
+            within(totals, F.lit(start)),
+            lambda ends: F.flatten(F.transform(cut, lambda block, i: within(block, carried(ends, i)))),
+        )
+
+    return once(blocks(numbers), whole)
+
+
 def found(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches with their positions and the text beside them."""
     parts = F.struct(
         F.split(text, pattern, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("values")
     )
 
-    def beside(own: Column) -> Column:
-        return F.transform(
-            own["values"],
-            lambda value, i: F.struct(
-                value.alias("value"),
-                F.get(own["pieces"], i).alias("before"),
-                F.substring(F.get(own["pieces"], i + 1), 1, REACH).alias("after"),
-            ),
-        )
-
-    # An array of one row, whose parts are computed once; named in the lambda itself, they would be for every match.
-    one = F.get(F.transform(F.array(parts), beside), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.length(x["before"])
-        end = begin + F.length(x["value"])
-        span = F.struct(
-            begin.alias("start"), end.alias("end"), x["value"].alias("value"),
-            F.right(x["before"], F.lit(REACH)).alias("before"), x["after"].alias("after"),
-        )
-        return F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans"))
+    def spans(own: Column) -> Column:
+        before = lambda i: F.get(own["pieces"], i)
+        lengths = F.transform(own["values"], lambda value, i: F.length(before(i)) + F.length(value))
+        return once(running(lengths, lambda at, n: at + n), lambda ends: F.transform(own["values"], lambda value, i: F.struct(
+            (F.get(ends, i) - F.length(value)).alias("start"),
+            F.get(ends, i).alias("end"),
+            value.alias("value"),
+            F.right(before(i), F.lit(REACH)).alias("before"),
+            F.substring(before(i + 1), 1, REACH).alias("after"),
+        )))
 
-    return F.aggregate(one, start, step, lambda state: state["spans"])
+    return once(parts, spans)
 
 
 def digits(value: Column) -> Column:
@@ -180,19 +205,34 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def untouched(marked: Column) -> Column:
+    """Spans that have a kind, and of those without one, the ones that touch none of the others.
+
+    In the order of starts, such a span must begin after all ends before it and end before the next start."""
+    ordered = F.array_sort(F.transform(marked, lambda m: F.struct(
+        m["span"]["start"].alias("at"), m["kind"].isNull().alias("free"), m["kind"].alias("kind"), m["span"].alias("span"),
+    )))
+
+    def free(rows: Column) -> Column:
+        ends = running(F.transform(rows, lambda m: F.when(m["free"], 0).otherwise(m["span"]["end"])), F.greatest)
+        none = 2**31 - 1
+        starts = F.transform(F.reverse(rows), lambda m: F.when(m["free"], none).otherwise(m["at"]))
+        around = F.struct(ends.alias("ends"), F.reverse(running(starts, F.least, none)).alias("starts"))
+        clear = lambda own, m, i: (F.get(own["ends"], i) <= m["at"]) & (F.get(own["starts"], i) >= m["span"]["end"])
+        return once(around, lambda own: F.filter(rows, lambda m, i: ~m["free"] | clear(own, m, i)))
+
+    return once(ordered, free)
+
+
 def mentions(scanned: DataFrame) -> DataFrame:
     """Seeds with their kind, and identifier-shaped tokens that touch no seed, with a null kind.
 
     A row for each pattern around them, or one with a null pattern: a value discovered elsewhere counts there too."""
     named = lambda kind: F.transform(F.col(kind), lambda span: F.struct(F.lit(kind).alias("kind"), span.alias("span")))
     base = F.flatten(F.array(*map(named, KINDS)))
-    free = F.filter(
-        F.col("tokens"),
-        lambda token: (token["end"] > token["start"])
-        & ~F.exists(base, lambda b: (b["span"]["start"] < token["end"]) & (token["start"] < b["span"]["end"])),
-    )
-    unseen = F.transform(free, lambda token: F.struct(F.lit(None).cast("string").alias("kind"), token.alias("span")))
-    rows = scanned.select("row_id", F.explode(F.concat(base, unseen)).alias("m"))
+    tokens = F.filter("tokens", lambda token: token["end"] > token["start"])
+    unseen = F.transform(tokens, lambda token: F.struct(F.lit(None).cast("string").alias("kind"), token.alias("span")))
+    rows = scanned.select("row_id", F.explode(untouched(F.concat(base, unseen))).alias("m"))
     return rows.select(
         "row_id",
         F.col("m.kind").alias("kind"),
@@ -251,13 +291,18 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     new = discovered(graph, rounds)
     extra = found_.filter("kind is null").drop("kind").join(new, "value")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
-    extra = extra.select("row_id", order.alias("o"), "kind", "start", "end").distinct()
-    extra = extra.groupBy("row_id").agg(F.collect_list(F.struct("o", "start", "end", "kind")).alias("all"))
+    extra = extra.select("row_id", order.alias("o"), "kind", "start", "end").repartition("row_id").distinct()
+    # Only spans of one run of overlapping ones are compared with each other.
+    text = Window.partitionBy("row_id").orderBy("start", "end")
+    begins = F.col("start") >= F.max("end").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    extra = extra.withColumn("begins", F.coalesce(begins, F.lit(True)).cast("int"))
+    extra = extra.withColumn("cluster", F.sum("begins").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    extra = extra.groupBy("row_id", "cluster").agg(F.collect_list(F.struct("o", "start", "end", "kind")).alias("all"))
     size = lambda s: s["end"] - s["start"]
     above = lambda other, s: (size(other) > size(s)) | (size(other) == size(s)) & (other["start"] < s["start"])
     longest = F.filter("all", lambda s: ~F.exists("all", lambda other: (other["start"] < s["end"]) & (s["start"] < other["end"])
         & above(other, s)))
-    extra = extra.select("row_id", longest.alias("extra"))
+    extra = extra.groupBy("row_id").agg(F.flatten(F.collect_list(longest)).alias("extra"))
     base = F.flatten(F.array(*[placed(kind, o) for o, kind in enumerate(KINDS, 1)]))
     spans = scanned.select("row_id", "doc_id", base.alias("base")).join(extra, "row_id", "left")
     none = F.array().cast("array<struct<o:int,start:int,end:int,kind:string>>")
@@ -275,19 +320,30 @@ def written(spans: Column) -> Column:
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in angle brackets; of spans that overlap, the first is widened."""
     sorted_ = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        mark = F.when(s["start"] >= state["at"], F.concat(F.lit("<"), s["kind"], F.lit(">"))).otherwise("")
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"), F.array_append(state["parts"], F.concat(gap, mark)).alias("parts")
+    def block(own: Column) -> Column:
+        # Its spans are looked up in its part of the text, not in all of it.
+        first = F.get(own, F.lit(0))["at"]
+        gap = lambda part, s: F.substring(part, s["at"] - first + 1, F.greatest(s["start"] - s["at"], F.lit(0)))
+        mark = lambda s: F.when(s["start"] >= s["at"], F.concat(F.lit("<"), s["kind"], F.lit(">"))).otherwise("")
+        return once(
+            F.substring(text, first + 1, F.element_at(own, -1)["end"] - first),
+            lambda part: F.array_join(F.transform(own, lambda s: F.concat(gap(part, s), mark(s))), ""),
         )
 
-    whole = F.aggregate(
-        sorted_, start, step,
-        lambda state: F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text))),
-    )
+    def written_out(own: Column) -> Column:
+        at = lambda i: F.when(i > 0, F.get(own["ends"], i - 1)).otherwise(0)
+        placed = F.transform(own["spans"], lambda s, i: F.struct(
+            at(i).alias("at"), s["start"].alias("start"), F.get(own["ends"], i).alias("end"), s["kind"].alias("kind"),
+        ))
+        rest = F.substring(text, F.element_at(own["ends"], -1) + 1, F.length(text))
+        return F.concat(once(blocks(placed), lambda cut: F.array_join(F.transform(cut, block), "")), rest)
+
+    def ended(own: Column) -> Column:
+        ends = running(F.transform(own, lambda s: s["end"]), F.greatest)
+        return once(F.struct(own.alias("spans"), ends.alias("ends")), written_out)
+
+    whole = once(sorted_, ended)
     return F.when(F.size(spans) > 0, whole).otherwise(text)
 
 
