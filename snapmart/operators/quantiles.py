@@ -20,6 +20,9 @@ from snapmart.session import join_on, join_statistics, materialize
 BRACKET_WIDTHS = (0.002, 0.02, 1.0)
 SKETCH_ACCURACY = 2_000
 BINS_PER_BRACKET = 1024
+# Ranges that the values of one bin are dealt into, each with about as many different values.
+CHUNKS = 256
+CHUNK_ACCURACY = 4096
 
 
 def exact_quantiles(
@@ -65,15 +68,23 @@ def _bracketed_quantiles(
     """`by`, `column`, `n`, `quantiles`, materialized."""
     keys = [*by, "column"]
     for width in BRACKET_WIDTHS:
-        brackets = materialize(_brackets(numbers, columns, probabilities, by, width))
+        brackets = _settled(_brackets(numbers, columns, probabilities, by, width), by)
         counts = materialize(_bracket_counts(numbers, brackets, columns, by, len(probabilities)))
-        found = materialize(_quantiles_at(counts, keys, probabilities, interpolate))
+        found = _settled(_quantiles_at(counts, keys, probabilities, interpolate), by)
         # A rank that fell between the brackets has no value.
         if found.where(F.exists("quantiles", F.isnull)).isEmpty():
             break
     return found
 
 
+def _settled(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A table with a row per column, or per group and column, computed once.
+
+    Without groups these are a few numbers per column, which the plan can hold; groups have no bound and are
+    checkpointed."""
+    return materialize(df) if by else df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
 def _brackets(
     numbers: DataFrame,
     columns: Sequence[str],
@@ -169,20 +180,28 @@ def _target_cells(
     )
 
 
+def _dealt(counts: DataFrame, targets: DataFrame, cell: Sequence[str]) -> DataFrame:
+    """The values of the wanted cells with the range, `chunk`, of each: one of CHUNKS, equal in different values."""
+    rows = join_on(counts, targets, cell)
+    steps = [i / CHUNKS for i in range(1, CHUNKS)]
+    cuts = rows.groupBy(*cell).agg(F.percentile_approx("value", steps, CHUNK_ACCURACY).alias("cuts"))
+    before = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    return join_on(rows, cuts, cell).withColumn("chunk", before).drop("cuts")
+
+
 def _quantiles_at(
     counts: DataFrame, keys: Sequence[str], probabilities: Sequence[float], interpolate: bool
 ) -> DataFrame:
     """Order statistics at the wanted ranks, found among the values of their cells.
 
     A cell may hold most values of a heavy-tailed column, so its values are dealt out by range first: the ranks are
-    looked up among the row counts of the ranges, and then among the values of the ranges that hold one.
+    looked up among the row counts of the ranges, and then among the values of the ranges that hold one. A sketch of the
+    cell's values fixes the ranges, so that both steps see the same ones without storing the values.
     """
     cell = [*keys, "segment", "bin"]
     targets = _target_cells(counts, keys, probabilities, interpolate)
     chunk = [*cell, "chunk"]
-    dealt = join_on(counts, targets, cell).repartitionByRange(*cell, "value")
-    # Materialized, so that both steps see the same ranges.
-    dealt = materialize(dealt.withColumn("chunk", F.spark_partition_id()))
+    dealt = _dealt(counts, targets, cell)
     sums = dealt.groupBy(*chunk, "n", "before", "ranks").agg(F.sum("rows").alias("held"))
     start = F.col("before") + F.sum("held").over(Window.partitionBy(*cell).orderBy("chunk")) - F.col("held")
     sums = sums.withColumn("start", start).withColumn(
