@@ -30,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from snapmart.llm.store import materialize, slices, small_enough
+from snapmart.llm.store import give_back, materialize, slices, small_enough
 
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
 #: Bytes of text in a block.
-BLOCK = 32 << 20
+BLOCK = 16 << 20
+#: Occurrences looked up at a time.
+SPAN = 1 << 20
 #: Parts of a language whose best are found before those of the language.
 SALTS = 64
 #: Rows broadcast at most: frequent groups, some tens of bytes each, and languages.
@@ -66,11 +68,12 @@ def pieces_of(text: str | None, size: int) -> Iterator[bytes]:
 
 
 def blocks(docs: DataFrame, size: int) -> DataFrame:
-    """block, langs and words (different words by language), counts, data: places and words of all occurrences. docs: lang, text."""
+    """block, langs, words (different ones by language) with their tags (which language) and counts, data: places and words
+    of all occurrences. docs: lang, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ids, langs, words = 0, [], [], []
-        known: dict[str, dict[bytes, int]] = {}
+        held, ids, tags, words = 0, [], [], []
+        known: dict[str, tuple[int, dict[bytes, int]]] = {}
 
         def made() -> pa.RecordBatch:
             whole = np.concatenate(ids)
@@ -78,35 +81,36 @@ def blocks(docs: DataFrame, size: int) -> DataFrame:
             counts = np.bincount(whole[places], minlength=len(words))
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([langs], pa.list_(pa.string())),
+                    pa.array([list(known)], pa.list_(pa.string())),
+                    pa.array([tags], pa.list_(pa.int32())),
                     pa.array([words], pa.list_(pa.string())),
-                    pa.array([counts], pa.list_(pa.int64())),
+                    pa.array([counts], pa.list_(pa.int32())),
                     pa.array([shrunk(places, whole[places])], pa.binary()),
                 ],
-                names=["langs", "words", "counts", "data"],
+                names=["langs", "tags", "words", "counts", "data"],
             )
 
         for part in slices(batches):
             for lang, text in zip(part["lang"].to_pylist(), part["text"]):
-                own = known.setdefault(lang, {MARK: -1})
+                tag, own = known.setdefault(lang, (len(known), {MARK: -1}))
                 for data in pieces_of(text.as_py(), size):
                     tokens = tokens_of(data)
                     for word in dict.fromkeys(tokens):
                         if word not in own:
                             own[word] = len(words)
                             words.append(word.decode("utf-8"))
-                            langs.append(lang)
+                            tags.append(tag)
                     ids.append(np.fromiter(map(own.__getitem__, tokens), np.int32, len(tokens)))
                     held += len(data)
                     if held >= size:
                         yield made()
-                        held, ids, langs, words = 0, [], [], []
+                        held, ids, tags, words = 0, [], [], []
                         known.clear()
-                        own = known.setdefault(lang, {MARK: -1})
+                        tag, own = known.setdefault(lang, (0, {MARK: -1}))
         if words:
             yield made()
 
-    made = docs.mapInArrow(run, "langs array<string>, words array<string>, counts array<long>, data binary")
+    made = docs.mapInArrow(run, "langs array<string>, tags array<int>, words array<string>, counts array<int>, data binary")
     return materialize(made.withColumn("block", F.monotonically_increasing_id()))
 
 
@@ -120,8 +124,7 @@ def shrunk(*arrays: np.ndarray) -> bytes:
 
 
 def grown(data: bytes) -> list[np.ndarray]:
-    table = pa.ipc.open_stream(data).read_all()
-    return [column.to_numpy() for column in table.columns]
+    return [column.to_numpy() for column in pa.ipc.open_stream(data).read_next_batch().columns]
 
 
 def frequent(counted: DataFrame, by: list[str], least: int) -> tuple[DataFrame, DataFrame]:
@@ -137,14 +140,13 @@ def relation(blocks: DataFrame, held: DataFrame, extend) -> DataFrame:
 
     def kept(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for data in own["data"]:
-            places, which = extend(*grown(data))
-            at, groups = answers["at"].to_numpy(), answers["group"].to_numpy()
-            new = np.full(int(which.max(initial=-1)) + 1, -1, np.int32)
-            new[at] = np.arange(len(at), dtype=np.int32)
-            which = new[which]
+        answers = answers.sort_values("at")
+        for block, data in zip(own["block"], own["data"]):
+            places, which = extend(*grown(data), answers["at"].to_numpy())
             good = which >= 0
-            rows.append((own["block"].iloc[0], groups, shrunk(places[good], which[good])))
+            rows.append((block, answers["group"].to_numpy(), shrunk(places[good], which[good])))
+        del own, answers, data, places, which, good
+        give_back()
         return pd.DataFrame(rows, columns=["block", "groups", "data"])
 
     answers = held.select(F.col("block").alias("of"), "at", "group")
@@ -152,16 +154,33 @@ def relation(blocks: DataFrame, held: DataFrame, extend) -> DataFrame:
     return materialize(both.applyInPandas(kept, "block long, groups array<long>, data binary"))
 
 
-def followed(places: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences of one word more: places, and the number of each different pair of groups in the block."""
+def themselves(places: np.ndarray, which: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The occurrences as they are, and which of the wanted numbers they have, -1 for none."""
+    new = np.full(max(which.max(initial=-1), wanted.max(initial=-1)) + 1, -1, np.int32)
+    new[wanted] = np.arange(len(wanted), dtype=np.int32)
+    return places, new[which]
+
+
+def followed(places: np.ndarray, which: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences of one word more: places, and which of the wanted pairs, which are numbered in their order, -1 for none."""
     places, codes = pairs(places, which)
-    return places, np.unique(codes, return_inverse=True)[1]
+    found = np.full(len(codes), -1, np.int32)
+    if len(wanted):
+        some = np.unique(codes)[wanted]
+        for at in range(0, len(codes), SPAN):
+            own = codes[at : at + SPAN]
+            near = np.minimum(np.searchsorted(some, own), len(some) - 1)
+            found[at : at + SPAN] = np.where(some[near] == own, near, -1)
+    return places, found
 
 
 def pairs(places: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The merge-join of an ascending relation with itself at adjacent places."""
-    at = np.flatnonzero(places[1:] == places[:-1] + 1)
-    return places[at], (which[at].astype(np.int64) << 32) | which[at + 1]
+    adjacent = np.diff(places) == 1
+    codes = which[:-1][adjacent].astype(np.int64)
+    codes <<= 32
+    codes |= which[1:][adjacent]
+    return places[:-1][adjacent], codes
 
 
 def counted_pairs(rows: DataFrame) -> DataFrame:
@@ -170,7 +189,10 @@ def counted_pairs(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, groups, data in zip(batch["block"], batch["groups"], batch["data"]):
-                codes, n = np.unique(pairs(*grown(data.as_py()))[1], return_counts=True)
+                codes = pairs(*grown(data.as_py()))[1]
+                codes.sort()
+                firsts = np.flatnonzero(np.diff(codes, prepend=-1))
+                codes, n = codes[firsts], np.diff(firsts, append=len(codes))
                 own = groups.values.to_numpy()
                 for at in range(0, len(codes), 1 << 16):
                     some = codes[at : at + (1 << 16)]
@@ -179,6 +201,8 @@ def counted_pairs(rows: DataFrame) -> DataFrame:
                         own[some >> 32], own[some & 0xFFFFFFFF], n[at : at + len(some)],
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["block", "at", "left", "right", "n"])
+                del codes, firsts, n
+            give_back()
 
     return rows.mapInArrow(run, "block long, at int, left long, right long, n long")
 
@@ -189,11 +213,11 @@ def frequent_phrases(
     """lang, phrase, words, f of every frequent phrase; and lang, n: all word occurrences."""
     slim = docs.select(F.coalesce(F.col(lang_col), F.lit(NO_LANG)).alias("lang"), F.col(text_col).alias("text"))
     whole = blocks(slim, block)
-    words = whole.select("block", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("at", "own"))
-    words = words.select("block", "at", F.col("own.langs").alias("lang"), F.col("own.words").alias("phrase"), F.col("own.counts").alias("n"))
+    words = whole.select("block", "langs", F.posexplode(F.arrays_zip("tags", "words", "counts")).alias("at", "own"))
+    words = words.select("block", "at", F.get("langs", F.col("own.tags")).alias("lang"), F.col("own.words").alias("phrase"), F.col("own.counts").cast("long").alias("n"))
     totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("n")))
     groups, held = frequent(words, ["lang", "phrase"], least)
-    rows = relation(whole, held, lambda places, which: (places, which))
+    rows = relation(whole, held, themselves)
     level = groups.select("lang", "phrase", F.lit(1).alias("words"), "f", "group")
     levels = [level]
     for length in range(2, most_words + 1):
