@@ -30,6 +30,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--mob", type=int, default=DatamartConfig.mob)
     parser.add_argument("--strict", action="store_true", help="fail on the first malformed value")
     parser.add_argument("--bronze-csv", action="store_true", help="write the bronze tables as CSV too")
+    parser.add_argument("--customer-buckets", type=int, default=0, metavar="N",
+                        help="bucket the silver tables of customers, so that their join needs no exchange")
     parser.add_argument("--profile", action="append", choices=PROFILES, help="save only this profile; may be repeated")
     parser.add_argument("--out", help="folder of the export")
     parser.add_argument("--master")
@@ -42,7 +44,8 @@ def main(arguments: list[str] | None = None) -> None:
     if options.command == "export" and not options.out:
         parser.error("export needs --out")
     config = DatamartConfig(
-        options.root, sources, options.start, options.end, options.dpd, options.mob, options.strict, options.bronze_csv
+        options.root, sources, options.start, options.end, options.dpd, options.mob, options.strict, options.bronze_csv,
+        options.customer_buckets,
     )
     spark = build_session(master=options.master)
     try:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from snapmart.functions.dates import month_starts
@@ -26,11 +27,15 @@ from snapmart.plans.silver import (
     reviewed_export,
     silver_financials,
 )
-from snapmart.schemas import DATASETS, DEFAULT_DPD, DEFAULT_MOB, SNAPSHOT, silver_schema
+from snapmart.schemas import CUSTOMER_KEYS, DATASETS, DEFAULT_DPD, DEFAULT_MOB, SNAPSHOT, silver_schema
+from snapmart.session import setting
+from snapmart.sources.buckets import Buckets, evenly_bucketed, read_buckets, write_buckets
 from snapmart.sources.delimited import read_delimited, refused_lines, write_delimited
 from snapmart.sources.snapshots import path_exists, read_snapshots, table_path, write_snapshots
 
 LAYERS = ("bronze", "silver", "gold")
+#: The silver tables that become the customers, in this order.
+JOINED = ("attributes", "financials")
 #: What tells the row of a refused value.
 KEYS = ("loan_id", "Customer_ID", SNAPSHOT)
 
@@ -51,6 +56,8 @@ class DatamartConfig:
     strict: bool = False
     #: Write the bronze tables as CSV too, under `{root}/bronze_csv`.
     bronze_csv: bool = False
+    #: Buckets by customer of the two silver tables that are joined, so that the join needs no exchange; 0: plain files.
+    customer_buckets: int = 0
 
     def path(self, layer: str, name: str) -> str:
         return table_path(self.root, layer, name)
@@ -106,10 +113,45 @@ def run_silver(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[
         else:
             silver = build_silver(name, bronze, config.strict)
         path = config.path("silver", name)
-        rows[f"silver/{name}"] = write_snapshots(silver, path, snapshots, rebalance=False)
+        if name not in JOINED:
+            rows[f"silver/{name}"] = write_snapshots(silver, path, snapshots, rebalance=False)
+            continue
+        buckets = Buckets(CUSTOMER_KEYS[0], config.customer_buckets)
+        bucketed = (lambda df, to: write_buckets(df, to, buckets)) if buckets.number else None
+        # Whatever becomes of the write, no month is taken for bucketed that is not.
+        report(spark, config, f"layout_{name}", layout(spark, snapshots, 0), snapshots)
+        rows[f"silver/{name}"] = write_snapshots(silver, path, snapshots, rebalance=False, write=bucketed)
+        report(spark, config, f"layout_{name}", layout(spark, snapshots, buckets.number), snapshots)
     return rows
 
 
+def layout(spark: SparkSession, snapshots: Sequence[date], buckets: int) -> DataFrame:
+    """`buckets`, `snapshot_date`: the layout of each month of a table; 0 for plain files."""
+    return spark.createDataFrame([(buckets, day) for day in snapshots], f"buckets int, {SNAPSHOT} date").coalesce(1)
+
+
+def customers(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[date]) -> DataFrame:
+    """`gold_customer` of the silver tables; read by buckets if every month of both was written so, and none is crowded."""
+    buckets = Buckets(CUSTOMER_KEYS[0], config.customer_buckets)
+
+    def bucketed(name: str) -> bool:
+        path = config.path("reports", f"layout_{name}")
+        if not buckets.number or not path_exists(spark, path):
+            return False
+        months = read_snapshots(spark, path, snapshots, layout(spark, [], 0).schema)
+        same = months.where(F.col("buckets") == buckets.number).select(SNAPSHOT).distinct().count() == len(set(snapshots))
+        return same and evenly_bucketed(spark, config.path("silver", name), silver_schema(name), buckets, snapshots)
+
+    def silver(name: str, by_bucket: bool) -> DataFrame:
+        path, schema = config.path("silver", name), silver_schema(name)
+        if by_bucket:
+            return read_buckets(spark, path, schema, buckets, snapshots)
+        return read_snapshots(spark, path, snapshots, schema)
+
+    by_bucket = all(map(bucketed, JOINED))
+    return gold_customer(*[silver(name, by_bucket) for name in JOINED])
+
+
 def run_gold(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[date]) -> RowCounts:
     def has(*names: str) -> bool:
         return all(path_exists(spark, config.path("silver", name)) for name in names)
@@ -130,8 +172,10 @@ def run_gold(spark: SparkSession, config: DatamartConfig, snapshots: Sequence[da
         return rows
 
     customer_path = config.path("gold", "feature_store_customer")
-    customer = gold_customer(silver("attributes"), silver("financials"))
-    rows["gold/feature_store_customer"] = write_snapshots(customer, customer_path, snapshots)
+    customer = customers(spark, config, snapshots)
+    # The buckets are by customer only; rows that agree on customer and month are in one bucket all the same.
+    with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false" if config.customer_buckets else "true"):
+        rows["gold/feature_store_customer"] = write_snapshots(customer, customer_path, snapshots)
     joined = read_snapshots(spark, customer_path, snapshots, customer.schema)
     report(spark, config, "customer_nulls", null_profile(joined, [SNAPSHOT]), snapshots)
 

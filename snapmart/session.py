@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,17 @@ def build_session(app_name: str = "snapmart", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session while plans are made and run, as it was afterwards."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the session names; where it names none, one in the warehouse, which is shared too."""
     context = spark.sparkContext

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,25 +34,30 @@ def write_snapshots(
     path: str,
     snapshots: Sequence[date] | None = None,
     rebalance: bool = True,
+    write: Callable[[DataFrame, str], None] | None = None,
 ) -> dict[date, int]:
     """Replace the snapshots found in the rows; with `snapshots`, only those, and return their row counts.
 
     Other snapshots stay as they are. Those asked for but without rows end up empty, as a fresh run would
     leave them. `rebalance` gathers the rows of a snapshot into files of the advised size and splits a
-    large snapshot over many tasks; leave it off if the input is already laid out by snapshot.
+    large snapshot over many tasks; leave it off if the input is already laid out by snapshot. `write` lays
+    the rows out in another way; it must replace the snapshots found in them.
     """
     spark = df.sparkSession
     days = list(snapshots or [])
     before = {day: _any_file(spark, _directory(path, day)) for day in days}
     if snapshots is not None:
         df = at_snapshots(df, days)
-    laid_out = df.hint("rebalance", SNAPSHOT) if rebalance else df
-    (
-        laid_out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SNAPSHOT)
-        .parquet(path)
-    )
+    if write is None:
+        laid_out = df.hint("rebalance", SNAPSHOT) if rebalance else df
+        (
+            laid_out.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(SNAPSHOT)
+            .parquet(path)
+        )
+    else:
+        write(df, path)
     for day, file in before.items():
         # The write replaces all files of a snapshot that has rows, so this one had none.
         if file is not None and path_exists(spark, file):
@@ -74,6 +79,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, whatever the working directory."""
+    location, files = _on_file_system(spark, path)
+    return files.makeQualified(location).toString()
+
+
 def _any_file(spark: SparkSession, directory: str) -> str | None:
     location, files = _on_file_system(spark, directory)
     if not files.exists(location):

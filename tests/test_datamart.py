@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -7,9 +8,19 @@ from snapmart.operators.features import read_vocabulary
 from snapmart.operators import quality
 from snapmart.plans import profiling, silver
 from snapmart.plans.bronze import build_bronze, rejected_rows
-from snapmart.plans.datamart import DatamartConfig, run_datamart, run_export, run_profiles, saved_vocabulary
+from snapmart.plans.datamart import (
+    JOINED,
+    DatamartConfig,
+    customers,
+    run_datamart,
+    run_export,
+    run_profiles,
+    saved_vocabulary,
+)
 from snapmart.plans.silver import build_silver, reviewed_export, silver_financials
 from snapmart.schemas import DATASETS, PROFILE_FENCED_COLUMNS, SNAPSHOT, dataset, silver_schema
+from snapmart.session import setting
+from snapmart.sources.buckets import Buckets, evenly_bucketed
 from snapmart.sources.delimited import read_delimited
 from snapmart.sources.snapshots import read_snapshots
 from tests import raw
@@ -106,6 +117,28 @@ def test_months_built_one_by_one_equal_one_run(spark, mart, tmp_path):
     assert everything(spark, single) == everything(spark, config)
 
 
+def test_bucketed_silver_tables_give_the_same_mart(spark, mart, tmp_path):
+    config, _ = mart
+    bucketed = replace(config, root=str(tmp_path / "tables"), customer_buckets=4)
+    run_datamart(spark, bucketed)
+    schemas = {name: silver_schema(name) for name in JOINED}
+    by_four = Buckets("Customer_ID", 4)
+    for name, schema in schemas.items():
+        assert evenly_bucketed(spark, bucketed.path("silver", name), schema, by_four, raw.MONTHS)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        assert "Exchange" not in plan_of(customers(spark, bucketed, raw.MONTHS))
+        assert everything(spark, bucketed) == everything(spark, config)
+        # One month again with another number: it is told, and the join shuffles until all months agree.
+        other = replace(bucketed, customer_buckets=8)
+        run_datamart(spark, other, [FEB], layers=["silver", "gold"])
+        assert "Exchange" in plan_of(customers(spark, other, raw.MONTHS)) and "Exchange" not in plan_of(customers(spark, other, [FEB]))
+        assert everything(spark, other) == everything(spark, config)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_new_category_rebuilds_months_outside_the_configured_range(spark, tmp_path):
     sources = raw.write_sources(tmp_path)
     run_datamart(spark, DatamartConfig(str(tmp_path / "tables"), sources, JAN, MAR))
