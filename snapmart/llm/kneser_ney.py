@@ -40,6 +40,8 @@ BROADCAST_IDS = 2_000_000
 #: Characters of a block, and of what a task reads at least.
 BLOCK = 32 << 20
 TASK = 4 << 20
+#: Zstandard level of the texts that travel to their grams: they are the larger part of what is shuffled.
+LEVEL = 6
 #: Grams that a task of the model holds at least.
 TASK_GRAMS = 1 << 19
 BEGIN, STOP, BEYOND = 0x02, 0x03, 0xFFFD
@@ -83,7 +85,7 @@ def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in (own for at in range(0, len(batch), 512) for _, own in batch.iloc[at : at + 512].groupby("block")):
             table = pa.Table.from_pandas(part.drop(columns="block"), preserve_index=False)
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as writer:
                 writer.write_table(table)
             yield pd.DataFrame({"block": part["block"].iloc[:1].to_numpy(), "data": [sink.getvalue().to_pybytes()]})
 

@@ -1,6 +1,9 @@
 import math
+import random
 from collections import Counter, defaultdict
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from edges import ROWS
 from pyspark.sql import functions as F
@@ -115,3 +118,26 @@ def test_grams_asked_for_do_not_grow_with_the_files(spark, tmp_path, monkeypatch
         found.append(sorted(row.perplexity for row in scored.collect()))
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert found[0] == found[1] and asked[1] < 2 * asked[0]
+
+
+def test_texts_travel_well_compressed():
+    rng = random.Random(1)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(3000)]
+    weights = [1 / at for at in range(1, 3001)]
+    phrases = [" ".join(rng.choices(words, weights, k=rng.randint(2, 6))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(phrases, weights, k=80)) for _ in range(700)]
+    docs = pd.DataFrame({"row_id": range(700), "text": texts, "block": [at // 400 for at in range(700)]})
+    parts = list(kn.packed(iter([docs])))
+    data = [stream for part in parts for stream in part["data"]]
+    assert [at for part in parts for at in part["block"]] == [0, 1, 1]
+    assert pd.concat([pa.ipc.open_stream(one).read_pandas() for one in data])["text"].tolist() == texts
+
+    def plain(part):
+        sink = pa.BufferOutputStream()
+        table = pa.Table.from_pandas(part, preserve_index=False)
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_table(table)
+        return sink.getvalue().size
+
+    cuts = [(0, 400), (400, 512), (512, 700)]
+    assert sum(map(len, data)) < 0.9 * sum(plain(docs.iloc[a:b].drop(columns="block")) for a, b in cuts)
