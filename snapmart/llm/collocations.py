@@ -6,12 +6,12 @@ between pieces, so that piece and position are one ascending number. A round
 
 - merge-joins the relation with itself where a place follows another, which gives the phrases of one word more,
 - counts them by group: every block sums its own, a shuffle by group sums those,
-- semi-joins the frequent groups: each block gets back the groups that it holds, and keeps their occurrences as the next
-  relation. Only they are extended.
+- semi-joins the frequent groups: each block keeps the occurrences of those that it holds as the next relation. Only they
+  are extended.
 
-Occurrences never leave their block: what is shuffled is a row per block and different phrase, and the blocks themselves,
-compressed, to meet their frequent groups. Groups are per language from the words on. Frequent groups are broadcast to the
-semi-join up to a counted number, and joined beyond it.
+Occurrences never leave their block: what is shuffled to be counted is a row per block and different phrase. Groups are per
+language from the words on. Up to a counted number the frequent groups are broadcast as one row, and every block looks them
+up where it lies. Beyond it they are joined with the counted rows, and the blocks, compressed, travel to meet what they hold.
 
 Parts of a frequent phrase are frequent, so that the counts of all cuts are at hand. Products are decimals of 38 digits.
 
@@ -26,11 +26,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from snapmart.llm.store import give_back, materialize, slices, small_enough
+from snapmart.llm.store import give_back, materialize, materialize_texts, slices
 
 MIN_COUNT = 100
 MAX_WORDS = 5
@@ -114,73 +115,120 @@ def blocks(docs: DataFrame, size: int) -> DataFrame:
     return materialize(made.withColumn("block", F.monotonically_increasing_id()))
 
 
-def shrunk(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed Arrow stream."""
-    batch = pa.RecordBatch.from_arrays([pa.array(array) for array in arrays], names=[str(i) for i in range(len(arrays))])
+def shrunk(places: np.ndarray, which: np.ndarray) -> bytes:
+    """Ascending places, as steps from one to the next, and what is there as one compressed Arrow stream."""
+    steps = np.diff(places, prepend=places.dtype.type(0))
+    batch = pa.RecordBatch.from_arrays([pa.array(steps), pa.array(which)], names=["steps", "which"])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
         writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def grown(data: bytes) -> list[np.ndarray]:
-    return [column.to_numpy() for column in pa.ipc.open_stream(data).read_next_batch().columns]
+def grown(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, which = (column.to_numpy() for column in pa.ipc.open_stream(data).read_next_batch().columns)
+    return np.cumsum(steps, dtype=steps.dtype), which
 
 
-def frequent(counted: DataFrame, by: list[str], least: int) -> tuple[DataFrame, DataFrame]:
-    """The frequent groups (by, f, group), and what every block holds of them (block, at, group). counted: block, at, n, by."""
+def frequent(counted: DataFrame, by: list[str], least: int) -> DataFrame:
+    """The frequent groups: by, f, group. counted: block, at, n, by."""
     sums = counted.groupBy(*by).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    groups = materialize(sums.withColumn("group", F.monotonically_increasing_id()))
-    keys = small_enough(groups.select(*by, "group"), BROADCAST_GROUPS)
-    return groups, counted.select("block", "at", *by).join(keys, by).select("block", "at", "group")
+    return materialize(sums.withColumn("group", F.monotonically_increasing_id()))
 
 
-def relation(blocks: DataFrame, held: DataFrame, extend) -> DataFrame:
-    """block, groups, data (places and, for each, which of the groups): the occurrences of the frequent groups, sorted."""
+def kept(places: np.ndarray, codes: np.ndarray, some: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """Groups and data of a relation: the occurrences whose code is one of some, which ascend and have these groups."""
+    found = np.full(len(codes), -1, np.int32)
+    if len(some):
+        some = some.astype(codes.dtype)
+        for at in range(0, len(codes), SPAN):
+            own = codes[at : at + SPAN]
+            near = np.minimum(np.searchsorted(some, own), len(some) - 1)
+            found[at : at + SPAN] = np.where(some[near] == own, near, -1)
+    good = found >= 0
+    found = found[good]
+    held = np.bincount(found, minlength=len(some)) > 0
+    new = np.cumsum(held, dtype=np.int32) - np.int32(1)
+    return groups[held], shrunk(places[good], new[found])
 
-    def kept(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        answers = answers.sort_values("at")
-        for block, data in zip(own["block"], own["data"]):
-            places, which = extend(*grown(data), answers["at"].to_numpy())
-            good = which >= 0
-            rows.append((block, answers["group"].to_numpy(), shrunk(places[good], which[good])))
-        del own, answers, data, places, which, good
-        give_back()
-        return pd.DataFrame(rows, columns=["block", "groups", "data"])
 
-    answers = held.select(F.col("block").alias("of"), "at", "group")
-    both = blocks.select("block", "data").groupBy("block").cogroup(answers.groupBy("of"))
-    return materialize(both.applyInPandas(kept, "block long, groups array<long>, data binary"))
+def relation(rows: DataFrame, counted: DataFrame, groups: DataFrame, by: list[str], codes, look_up) -> DataFrame:
+    """block, groups, data (places and, for each, which of the groups): the occurrences of the frequent groups, sorted.
 
+    codes: places and codes of the occurrences in the data of a row. look_up: codes, ascending, and groups of the frequent
+    groups that a row can hold.
+    """
+    if groups.count() <= BROADCAST_GROUPS:
+        return materialize_texts(looked_up(rows, groups, by, codes, look_up))
+    return materialize(joined(rows, counted, groups, by, codes))
 
-def themselves(places: np.ndarray, which: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The occurrences as they are, and which of the wanted numbers they have, -1 for none."""
-    new = np.full(max(which.max(initial=-1), wanted.max(initial=-1)) + 1, -1, np.int32)
-    new[wanted] = np.arange(len(wanted), dtype=np.int32)
-    return places, new[which]
 
+def looked_up(rows: DataFrame, groups: DataFrame, by: list[str], codes, look_up) -> DataFrame:
+    """relation() where the rows lie: all frequent groups come to them as one row."""
 
-def followed(places: np.ndarray, which: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences of one word more: places, and which of the wanted pairs, which are numbered in their order, -1 for none."""
-    places, codes = pairs(places, which)
-    found = np.full(len(codes), -1, np.int32)
-    if len(wanted):
-        some = np.unique(codes)[wanted]
-        for at in range(0, len(codes), SPAN):
-            own = codes[at : at + SPAN]
-            near = np.minimum(np.searchsorted(some, own), len(some) - 1)
-            found[at : at + SPAN] = np.where(some[near] == own, near, -1)
-    return places, found
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                own, data = kept(*codes(row["data"][0].as_py()), *look_up(row, row["frequent"].flatten()))
+                columns = [row["block"], pa.array([own], pa.list_(pa.int64())), pa.array([data], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "groups", "data"])
+                del row, own, data, columns
+            del batch
+            give_back()
 
+    listed = groups.agg(F.collect_list(F.struct(*by, "group")).alias("frequent"))
+    return rows.crossJoin(F.broadcast(listed)).mapInArrow(run, "block long, groups array<long>, data binary")
 
-def pairs(places: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The merge-join of an ascending relation with itself at adjacent places."""
-    adjacent = np.diff(places) == 1
-    codes = which[:-1][adjacent].astype(np.int64)
+
+def joined(rows: DataFrame, counted: DataFrame, groups: DataFrame, by: list[str], codes) -> DataFrame:
+    """relation() by what every block holds of the frequent groups: the places of their codes among its different ones."""
+
+    def run(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        made = []
+        answers = answers.sort_values("at")
+        for block, data in zip(own["block"], own["data"]):
+            places, found = codes(data)
+            some = np.unique(found)[answers["at"].to_numpy()]
+            made.append((block, *kept(places, found, some, answers["group"].to_numpy())))
+        del own, answers, data, places, found, some
+        give_back()
+        return pd.DataFrame(made, columns=["block", "groups", "data"])
+
+    answers = counted.select("block", "at", *by).join(groups.select(*by, "group"), by)
+    answers = answers.select(F.col("block").alias("of"), "at", "group")
+    both = rows.select("block", "data").groupBy("block").cogroup(answers.groupBy("of"))
+    return both.applyInPandas(run, "block long, groups array<long>, data binary")
+
+
+def frequent_words(row: pa.RecordBatch, listed: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of a block's words are frequent, and their groups. No word holds a blank."""
+    langs, tags, words = (row[name].flatten() for name in ("langs", "tags", "words"))
+    wanted = pc.binary_join_element_wise(listed.field("phrase"), listed.field("lang"), " ")
+    at = pc.index_in(pc.binary_join_element_wise(words, langs.take(tags), " "), value_set=wanted)
+    at = at.fill_null(-1).to_numpy()
+    some = np.flatnonzero(at >= 0)
+    return some, listed.field("group").to_numpy()[at[some]]
+
+
+def frequent_pairs(row: pa.RecordBatch, listed: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of the frequent pairs of groups that a block has both of, and their groups."""
+    own = row["groups"].flatten()
+    left, right = (pc.index_in(listed.field(name), value_set=own).fill_null(-1).to_numpy() for name in ("left", "right"))
+    both = (left >= 0) & (right >= 0)
+    some = left[both].astype(np.int64) << 32 | right[both]
+    order = np.argsort(some)
+    return some[order], listed.field("group").to_numpy()[both][order]
+
+
+def adjacent(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The merge-join of an ascending relation with itself at adjacent places: first places, and codes of both groups."""
+    places, which = grown(data)
+    next_to = np.diff(places) == 1
+    codes = which[:-1][next_to].astype(np.int64)
     codes <<= 32
-    codes |= which[1:][adjacent]
-    return places[:-1][adjacent], codes
+    codes |= which[1:][next_to]
+    return places[:-1][next_to], codes
 
 
 def counted_pairs(rows: DataFrame) -> DataFrame:
@@ -189,7 +237,7 @@ def counted_pairs(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, groups, data in zip(batch["block"], batch["groups"], batch["data"]):
-                codes = pairs(*grown(data.as_py()))[1]
+                codes = adjacent(data.as_py())[1]
                 codes.sort()
                 firsts = np.flatnonzero(np.diff(codes, prepend=-1))
                 codes, n = codes[firsts], np.diff(firsts, append=len(codes))
@@ -216,12 +264,13 @@ def frequent_phrases(
     words = whole.select("block", "langs", F.posexplode(F.arrays_zip("tags", "words", "counts")).alias("at", "own"))
     words = words.select("block", "at", F.get("langs", F.col("own.tags")).alias("lang"), F.col("own.words").alias("phrase"), F.col("own.counts").cast("long").alias("n"))
     totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("n")))
-    groups, held = frequent(words, ["lang", "phrase"], least)
-    rows = relation(whole, held, themselves)
+    groups = frequent(words, ["lang", "phrase"], least)
+    rows = relation(whole.drop("counts"), words, groups, ["lang", "phrase"], grown, frequent_words)
     level = groups.select("lang", "phrase", F.lit(1).alias("words"), "f", "group")
     levels = [level]
     for length in range(2, most_words + 1):
-        groups, held = frequent(counted_pairs(rows), ["left", "right"], least)
+        counted = counted_pairs(rows)
+        groups = frequent(counted, ["left", "right"], least)
         left = level.select("lang", F.col("phrase").alias("head"), F.col("group").alias("left"))
         right = level.select(F.substring_index("phrase", " ", -1).alias("last"), F.col("group").alias("right"))
         level = materialize(
@@ -232,7 +281,7 @@ def frequent_phrases(
         levels.append(level)
         if length == most_words or level.isEmpty():
             break
-        rows = relation(rows, held, followed)
+        rows = relation(rows, counted, groups, ["left", "right"], adjacent, frequent_pairs)
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)

@@ -2,11 +2,13 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from edges import ROWS, edge_docs, stored
 from pyspark.sql import functions as F
 
-from snapmart.llm.collocations import collocations, exact_score, pieces_of, tokens_of
+from snapmart.llm import collocations as operator
+from snapmart.llm.collocations import collocations, exact_score, grown, pieces_of, shrunk, tokens_of
 
 UPPER = {code: code + 32 for code in range(65, 91)}
 
@@ -92,3 +94,43 @@ def test_clashing_columns(spark, tmp_path):
     docs = edge_docs(spark).withColumnsRenamed({"block": "phrase", "gram": "f", "fp": "group", "key": "n"})
     docs = stored(spark, docs.withColumn("rank", F.lit(1)), tmp_path)
     assert fast(docs) == slow([(row[2], row[1]) for row in ROWS], 100)
+
+
+@pytest.mark.parametrize("bound", [0, 20, 200_000])
+def test_groups_looked_up_or_joined(spark, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr(operator, "BROADCAST_GROUPS", bound)
+    rng = random.Random(bound)
+    rows = [(rng.choice(["en", "de", None, "e n"]), " ".join(rng.choices(["a", "b", "c d", "é", "n a", "e."], k=rng.randint(0, 50)))) for _ in range(90)]
+    docs = stored(spark, spark.createDataFrame(rows, "lang string, text string").repartition(4), tmp_path)
+    want = slow(rows, 5)
+    assert want and fast(docs, least=5, block=150) == want
+
+
+def test_few_groups_move_no_block(spark, tmp_path, monkeypatch):
+    """Frequent groups that fit a broadcast make one row for each block, and neither blocks nor counted rows travel."""
+    plans = []
+
+    def seen(df):
+        plans.append(df)
+        return df.checkpoint(eager=True)
+
+    for name in ("materialize", "materialize_texts"):
+        monkeypatch.setattr(operator, name, seen, raising=False)
+    rows = [("en", "a b c d e f g h")] * 40
+    docs = stored(spark, spark.createDataFrame(rows, "lang string, text string").repartition(4), tmp_path)
+    assert fast(docs, least=10, block=30) == slow(rows, 10)
+    relations = [df for df in plans if df.columns == ["block", "groups", "data"]]
+    assert len(relations) == 4
+    for df in relations:
+        plan = df._jdf.queryExecution().toString()
+        plan = plan[plan.index("Physical Plan") :]
+        assert "BroadcastNestedLoopJoin" in plan and "HashJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_places_are_stored_as_steps():
+    places = np.arange(5, 1 << 20, dtype=np.int32)[np.arange((1 << 20) - 5) % 9 > 0]
+    which = (places % 7).astype(np.int32)
+    data = shrunk(places, which)
+    assert len(data) < len(places) // 20
+    assert all((a == b).all() and a.dtype == np.int32 for a, b in zip(grown(data), (places, which), strict=True))
+    assert [len(a) for a in grown(shrunk(places[:0], which[:0]))] == [0, 0]
