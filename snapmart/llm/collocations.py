@@ -5,13 +5,15 @@ persisted a block per row: a block is so many bytes of text in whole pieces, num
 between pieces, so that piece and position are one ascending number. A round
 
 - merge-joins the relation with itself where a place follows another, which gives the phrases of one word more,
-- counts them by group: every block sums its own, a shuffle by group sums those,
+- counts them by group: every block sums its own, a shuffle by group sums those. Pairs are dealt to parts by a hash of both
+  sides, as many as keep a part small, and a block sends each part its pairs as one compressed row,
 - semi-joins the frequent groups: each block keeps the occurrences of those that it holds as the next relation. Only they
   are extended.
 
-Occurrences never leave their block: what is shuffled to be counted is a row per block and different phrase. Groups are per
-language from the words on. Up to a counted number the frequent groups are broadcast as one row, and every block looks them
-up where it lies. Beyond it they are joined with the counted rows, and the blocks, compressed, travel to meet what they hold.
+Occurrences never leave their block: what is shuffled to be counted are its different phrases. Groups are per language from
+the words on. Up to a counted number the frequent groups are broadcast as one row, and every block looks them up where it
+lies. Beyond it the blocks, compressed, travel to meet what they hold: words by a join with the counted rows, pairs by one
+compressed answer of each part to each block.
 
 Parts of a frequent phrase are frequent, so that the counts of all cuts are at hand. Products are decimals of 38 digits.
 
@@ -38,6 +40,8 @@ MAX_WORDS = 5
 TOP = 2000
 #: Bytes of text in a block.
 BLOCK = 16 << 20
+#: Occurrences whose pairs are counted in one part, about.
+PART = 2 << 20
 #: Occurrences looked up at a time.
 SPAN = 1 << 20
 #: Parts of a language whose best are found before those of the language.
@@ -130,12 +134,45 @@ def grown(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=steps.dtype), which
 
 
-def frequent(counted: DataFrame, by: list[str], least: int) -> DataFrame:
-    """The frequent groups: by, f, group. counted: block, at, n, by."""
-    sums = counted.groupBy(*by).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+def packed(first: np.ndarray, *more: np.ndarray) -> bytes:
+    """Whole numbers, the first as steps from one to the next, compressed with like bytes side by side."""
+    arrays = [np.diff(first, prepend=0), *more]
+    planes = [np.ascontiguousarray(array, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for array in arrays]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, size: int, arrays: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data, 8 * size * arrays, codec="zstd", asbytes=True), np.uint8)
+    first, *more = (np.ascontiguousarray(planes.T).view(np.int64).ravel() for planes in raw.reshape(arrays, 8, size))
+    return [np.cumsum(first), *more]
+
+
+def with_groups(sums: DataFrame) -> DataFrame:
     return materialize(sums.withColumn("group", F.monotonically_increasing_id()))
 
 
+def frequent_words(counted: DataFrame, least: int) -> DataFrame:
+    """The frequent words: lang, phrase, f, group. counted: block, at, n, lang, phrase."""
+    return with_groups(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least))
+
+
+def frequent_pairs(counted: DataFrame, least: int) -> DataFrame:
+    """The frequent pairs of groups: part, left, right, f, group. counted: as counted_pairs() gives it."""
+
+    def run(own: pd.DataFrame) -> pd.DataFrame:
+        arrays = [unpacked(data, size, 3) for data, size in zip(own["data"], own["size"])]
+        left, right, n = (np.concatenate(column) for column in zip(*arrays))
+        del arrays
+        sums = pd.DataFrame({"left": left, "right": right, "f": n}).groupby(["left", "right"], as_index=False, sort=False).sum()
+        sums = sums[sums["f"] >= least]
+        sums.insert(0, "part", own["part"].iloc[0])
+        del left, right, n
+        give_back()
+        return sums
+
+    return with_groups(counted.groupBy("part").applyInPandas(run, "part int, left long, right long, f long"))
+
+
 def kept(places: np.ndarray, codes: np.ndarray, some: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, bytes]:
     """Groups and data of a relation: the occurrences whose code is one of some, which ascend and have these groups."""
     found = np.full(len(codes), -1, np.int32)
@@ -152,19 +189,12 @@ def kept(places: np.ndarray, codes: np.ndarray, some: np.ndarray, groups: np.nda
     return groups[held], shrunk(places[good], new[found])
 
 
-def relation(rows: DataFrame, counted: DataFrame, groups: DataFrame, by: list[str], codes, look_up) -> DataFrame:
+def looked_up(rows: DataFrame, groups: DataFrame, codes, look_up) -> DataFrame:
     """block, groups, data (places and, for each, which of the groups): the occurrences of the frequent groups, sorted.
 
-    codes: places and codes of the occurrences in the data of a row. look_up: codes, ascending, and groups of the frequent
-    groups that a row can hold.
+    All groups come as one row to where the rows lie. codes: places and codes of the occurrences in the data of a row.
+    look_up: codes, ascending, and groups of those that a row can hold.
     """
-    if groups.count() <= BROADCAST_GROUPS:
-        return materialize_texts(looked_up(rows, groups, by, codes, look_up))
-    return materialize(joined(rows, counted, groups, by, codes))
-
-
-def looked_up(rows: DataFrame, groups: DataFrame, by: list[str], codes, look_up) -> DataFrame:
-    """relation() where the rows lie: all frequent groups come to them as one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,48 +207,79 @@ def looked_up(rows: DataFrame, groups: DataFrame, by: list[str], codes, look_up)
             del batch
             give_back()
 
-    listed = groups.agg(F.collect_list(F.struct(*by, "group")).alias("frequent"))
-    return rows.crossJoin(F.broadcast(listed)).mapInArrow(run, "block long, groups array<long>, data binary")
+    listed = groups.agg(F.collect_list(F.struct(*groups.columns)).alias("frequent"))
+    return materialize_texts(rows.crossJoin(F.broadcast(listed)).mapInArrow(run, "block long, groups array<long>, data binary"))
 
 
-def joined(rows: DataFrame, counted: DataFrame, groups: DataFrame, by: list[str], codes) -> DataFrame:
-    """relation() by what every block holds of the frequent groups: the places of their codes among its different ones."""
+def joined(rows: DataFrame, answers: DataFrame, run) -> DataFrame:
+    """The same by what every block is told. answers: of (the block), more. run: groups and data of a row and its answers."""
 
-    def run(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        made = []
-        answers = answers.sort_values("at")
-        for block, data in zip(own["block"], own["data"]):
-            places, found = codes(data)
-            some = np.unique(found)[answers["at"].to_numpy()]
-            made.append((block, *kept(places, found, some, answers["group"].to_numpy())))
-        del own, answers, data, places, found, some
+    def told(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        made = [(row.block, *run(row, answers)) for row in own.itertuples()]
+        del own, answers
         give_back()
         return pd.DataFrame(made, columns=["block", "groups", "data"])
 
-    answers = counted.select("block", "at", *by).join(groups.select(*by, "group"), by)
-    answers = answers.select(F.col("block").alias("of"), "at", "group")
-    both = rows.select("block", "data").groupBy("block").cogroup(answers.groupBy("of"))
-    return both.applyInPandas(run, "block long, groups array<long>, data binary")
+    return materialize(rows.groupBy("block").cogroup(answers.groupBy("of")).applyInPandas(told, "block long, groups array<long>, data binary"))
 
 
-def frequent_words(row: pa.RecordBatch, listed: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of a block's words are frequent, and their groups. No word holds a blank."""
-    langs, tags, words = (row[name].flatten() for name in ("langs", "tags", "words"))
-    wanted = pc.binary_join_element_wise(listed.field("phrase"), listed.field("lang"), " ")
-    at = pc.index_in(pc.binary_join_element_wise(words, langs.take(tags), " "), value_set=wanted)
-    at = at.fill_null(-1).to_numpy()
-    some = np.flatnonzero(at >= 0)
-    return some, listed.field("group").to_numpy()[at[some]]
+def words_kept(blocks: DataFrame, counted: DataFrame, groups: DataFrame) -> DataFrame:
+    """The relation of the frequent words."""
 
+    def look_up(row: pa.RecordBatch, listed: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+        # No word holds a blank.
+        langs, tags, words = (row[name].flatten() for name in ("langs", "tags", "words"))
+        wanted = pc.binary_join_element_wise(listed.field("phrase"), listed.field("lang"), " ")
+        at = pc.index_in(pc.binary_join_element_wise(words, langs.take(tags), " "), value_set=wanted)
+        at = at.fill_null(-1).to_numpy()
+        some = np.flatnonzero(at >= 0)
+        return some, listed.field("group").to_numpy()[at[some]]
+
+    def told(row, answers: pd.DataFrame) -> tuple[np.ndarray, bytes]:
+        answers = answers.sort_values("at")
+        return kept(*grown(row.data), answers["at"].to_numpy(), answers["group"].to_numpy())
+
+    groups = groups.select("lang", "phrase", "group")
+    if groups.count() <= BROADCAST_GROUPS:
+        return looked_up(blocks.drop("counts"), groups, grown, look_up)
+    answers = counted.select(F.col("block").alias("of"), "at", "lang", "phrase").join(groups, ["lang", "phrase"])
+    return joined(blocks.select("block", "data"), answers.select("of", "at", "group"), told)
 
-def frequent_pairs(row: pa.RecordBatch, listed: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
-    """The codes of the frequent pairs of groups that a block has both of, and their groups."""
-    own = row["groups"].flatten()
-    left, right = (pc.index_in(listed.field(name), value_set=own).fill_null(-1).to_numpy() for name in ("left", "right"))
-    both = (left >= 0) & (right >= 0)
-    some = left[both].astype(np.int64) << 32 | right[both]
-    order = np.argsort(some)
-    return some[order], listed.field("group").to_numpy()[both][order]
+
+def pairs_kept(rows: DataFrame, counted: DataFrame, groups: DataFrame) -> DataFrame:
+    """The relation of the frequent pairs of groups. Beyond the bound a part answers each block with one row."""
+
+    def codes_of(own: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = pa.array(own)
+        left, right = (pc.index_in(pa.array(side), value_set=own).fill_null(-1).to_numpy() for side in (left, right))
+        both = (left >= 0) & (right >= 0)
+        some = left[both].astype(np.int64) << 32 | right[both]
+        order = np.argsort(some)
+        return some[order], group[both][order]
+
+    def look_up(row: pa.RecordBatch, listed: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+        return codes_of(row["groups"].flatten().to_numpy(), *(listed.field(name).to_numpy() for name in ("left", "right", "group")))
+
+    def answer(own: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
+        groups = groups[["left", "right", "group"]]
+        made = []
+        for block, data, size in zip(own["block"], own["data"], own["size"]):
+            left, right, _ = unpacked(data, size, 3)
+            found = pd.DataFrame({"left": left, "right": right}).merge(groups, on=["left", "right"])
+            made.append((block, len(found), packed(*(found[name].to_numpy() for name in groups))))
+        del own, groups
+        give_back()
+        return pd.DataFrame(made, columns=["of", "size", "data"])
+
+    def told(row, answers: pd.DataFrame) -> tuple[np.ndarray, bytes]:
+        arrays = [unpacked(data, size, 3) for data, size in zip(answers["data"], answers["size"])]
+        columns = [np.concatenate(column) for column in zip(*arrays)] if arrays else [np.zeros(0, np.int64)] * 3
+        return kept(*adjacent(row.data), *codes_of(np.array(row.groups, np.int64), *columns))
+
+    if groups.count() <= BROADCAST_GROUPS:
+        return looked_up(rows, groups.select("left", "right", "group"), adjacent, look_up)
+    both = counted.groupBy("part").cogroup(groups.select("part", "left", "right", "group").groupBy("part"))
+    return joined(rows, both.applyInPandas(answer, "of long, size int, data binary"), told)
 
 
 def adjacent(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -231,28 +292,38 @@ def adjacent(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return places[:-1][next_to], codes
 
 
-def counted_pairs(rows: DataFrame) -> DataFrame:
-    """block, at, left, right, n: the pairs of groups of every block."""
+def counted_pairs(rows: DataFrame, parts: int) -> DataFrame:
+    """part, block, size, data: the different pairs of groups of every block (left, right, n), dealt by what they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, groups, data in zip(batch["block"], batch["groups"], batch["data"]):
                 codes = adjacent(data.as_py())[1]
+                own = groups.values.to_numpy()
+                order = np.argsort(own)
+                rank = np.empty(len(own), np.int64)
+                rank[order] = np.arange(len(own))
+                own = own[order]
+                codes = rank[codes >> 32] << 32 | rank[codes & 0xFFFFFFFF]
                 codes.sort()
                 firsts = np.flatnonzero(np.diff(codes, prepend=-1))
                 codes, n = codes[firsts], np.diff(firsts, append=len(codes))
-                own = groups.values.to_numpy()
-                for at in range(0, len(codes), 1 << 16):
-                    some = codes[at : at + (1 << 16)]
-                    columns = [
-                        np.full(len(some), block.as_py()), np.arange(at, at + len(some), dtype=np.int32),
-                        own[some >> 32], own[some & 0xFFFFFFFF], n[at : at + len(some)],
-                    ]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["block", "at", "left", "right", "n"])
-                del codes, firsts, n
+                mixed = (own.view(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+                mixed ^= mixed >> np.uint64(29)
+                mixed = (mixed[codes >> 32] * np.uint64(0xBF58476D1CE4E5B9) + mixed[codes & 0xFFFFFFFF]) * np.uint64(0x94D049BB133111EB)
+                part = ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+                order = np.argsort(part, kind="stable")
+                ends = np.cumsum(np.bincount(part, minlength=parts))
+                for at, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
+                    if begin < end:
+                        some = codes[order[begin:end]]
+                        numbers = packed(own[some >> 32], own[some & 0xFFFFFFFF], n[order[begin:end]])
+                        columns = [pa.array([at], pa.int32()), pa.array([block.as_py()]), pa.array([end - begin], pa.int32()), pa.array([numbers])]
+                        yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "size", "data"])
+                del codes, firsts, n, mixed, part, order
             give_back()
 
-    return rows.mapInArrow(run, "block long, at int, left long, right long, n long")
+    return rows.mapInArrow(run, "part int, block long, size int, data binary")
 
 
 def frequent_phrases(
@@ -264,13 +335,14 @@ def frequent_phrases(
     words = whole.select("block", "langs", F.posexplode(F.arrays_zip("tags", "words", "counts")).alias("at", "own"))
     words = words.select("block", "at", F.get("langs", F.col("own.tags")).alias("lang"), F.col("own.words").alias("phrase"), F.col("own.counts").cast("long").alias("n"))
     totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("n")))
-    groups = frequent(words, ["lang", "phrase"], least)
-    rows = relation(whole.drop("counts"), words, groups, ["lang", "phrase"], grown, frequent_words)
+    groups = frequent_words(words, least)
+    rows = words_kept(whole, words, groups)
     level = groups.select("lang", "phrase", F.lit(1).alias("words"), "f", "group")
     levels = [level]
     for length in range(2, most_words + 1):
-        counted = counted_pairs(rows)
-        groups = frequent(counted, ["left", "right"], least)
+        occurrences = groups.agg(F.sum("f")).first()[0] or 0
+        counted = counted_pairs(rows, occurrences // PART + 1)
+        groups = frequent_pairs(counted, least)
         left = level.select("lang", F.col("phrase").alias("head"), F.col("group").alias("left"))
         right = level.select(F.substring_index("phrase", " ", -1).alias("last"), F.col("group").alias("right"))
         level = materialize(
@@ -281,7 +353,7 @@ def frequent_phrases(
         levels.append(level)
         if length == most_words or level.isEmpty():
             break
-        rows = relation(rows, counted, groups, ["left", "right"], adjacent, frequent_pairs)
+        rows = pairs_kept(rows, counted, groups)
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)

@@ -8,7 +8,7 @@ from edges import ROWS, edge_docs, stored
 from pyspark.sql import functions as F
 
 from snapmart.llm import collocations as operator
-from snapmart.llm.collocations import collocations, exact_score, grown, pieces_of, shrunk, tokens_of
+from snapmart.llm.collocations import collocations, counted_pairs, exact_score, grown, packed, pieces_of, shrunk, tokens_of, unpacked
 
 UPPER = {code: code + 32 for code in range(65, 91)}
 
@@ -96,9 +96,10 @@ def test_clashing_columns(spark, tmp_path):
     assert fast(docs) == slow([(row[2], row[1]) for row in ROWS], 100)
 
 
-@pytest.mark.parametrize("bound", [0, 20, 200_000])
-def test_groups_looked_up_or_joined(spark, tmp_path, monkeypatch, bound):
+@pytest.mark.parametrize(("bound", "part"), [(0, 1 << 20), (0, 100), (20, 100), (200_000, 100)])
+def test_groups_looked_up_or_joined(spark, tmp_path, monkeypatch, bound, part):
     monkeypatch.setattr(operator, "BROADCAST_GROUPS", bound)
+    monkeypatch.setattr(operator, "PART", part, raising=False)
     rng = random.Random(bound)
     rows = [(rng.choice(["en", "de", None, "e n"]), " ".join(rng.choices(["a", "b", "c d", "é", "n a", "e."], k=rng.randint(0, 50)))) for _ in range(90)]
     docs = stored(spark, spark.createDataFrame(rows, "lang string, text string").repartition(4), tmp_path)
@@ -127,6 +128,24 @@ def test_few_groups_move_no_block(spark, tmp_path, monkeypatch):
         assert "BroadcastNestedLoopJoin" in plan and "HashJoin" not in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_pairs_travel_in_a_few_bytes(spark):
+    """A block sends each part one row, and all its pairs once."""
+    rng = np.random.default_rng(1)
+    which = rng.integers(0, 500, 40_000).astype(np.int32)
+    groups = rng.permutation(np.arange(500) << 33)
+    rows = spark.createDataFrame([(7, groups.tolist(), bytearray(shrunk(np.arange(len(which), dtype=np.int32), which)))], "block long, groups array<long>, data binary")
+    made = counted_pairs(rows, 5).collect()
+    assert sorted(row["part"] for row in made) == [0, 1, 2, 3, 4] and {row["block"] for row in made} == {7}
+    want = Counter(zip(groups[which[:-1]].tolist(), groups[which[1:]].tolist()))
+    found = {}
+    for row in made:
+        left, right, n = unpacked(bytes(row["data"]), row["size"], 3)
+        found |= {(a, b): c for a, b, c in zip(left.tolist(), right.tolist(), n.tolist())}
+    assert sum(row["size"] for row in made) == len(found) and found == want
+    assert sum(len(row["data"]) for row in made) < 4 * len(want)
+    assert [len(a) for a in unpacked(packed(*[np.zeros(0, np.int64)] * 3), 0, 3)] == [0, 0, 0]
+
+
 def test_places_are_stored_as_steps():
     places = np.arange(5, 1 << 20, dtype=np.int32)[np.arange((1 << 20) - 5) % 9 > 0]
     which = (places % 7).astype(np.int32)
