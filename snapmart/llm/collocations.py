@@ -5,15 +5,15 @@ persisted a block per row: a block is so many bytes of text in whole pieces, num
 between pieces, so that piece and position are one ascending number. A round
 
 - merge-joins the relation with itself where a place follows another, which gives the phrases of one word more,
-- counts them by group: every block sums its own, a shuffle by group sums those. Pairs are dealt to parts by a hash of both
-  sides, as many as keep a part small, and a block sends each part its pairs as one compressed row,
+- counts them by group: every block sums its own, a shuffle by group sums those. Words, and pairs by both sides, are dealt to
+  parts by a hash, as many as keep a part small, and a block sends each part its own as one compressed row. A part numbers
+  what is frequent, and answers each block with one compressed row of what it sent and is frequent,
 - semi-joins the frequent groups: each block keeps the occurrences of those that it holds as the next relation. Only they
   are extended.
 
 Occurrences never leave their block: what is shuffled to be counted are its different phrases. Groups are per language from
 the words on. Up to a counted number the frequent groups are broadcast as one row, and every block looks them up where it
-lies. Beyond it the blocks, compressed, travel to meet what they hold: words by a join with the counted rows, pairs by one
-compressed answer of each part to each block.
+lies. Beyond it the blocks, compressed, travel to meet their answers.
 
 Parts of a frequent phrase are frequent, so that the counts of all cuts are at hand. Products are decimals of 38 digits.
 
@@ -23,6 +23,8 @@ to several at the ends of pieces. Ids are not read. An empty table gives an empt
 
 from __future__ import annotations
 
+import gc
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +44,8 @@ TOP = 2000
 BLOCK = 16 << 20
 #: Occurrences whose pairs are counted in one part, about.
 PART = 2 << 20
+#: Words of blocks counted in one part, about.
+WORDS = 1 << 19
 #: Occurrences looked up at a time.
 SPAN = 1 << 20
 #: Parts of a language whose best are found before those of the language.
@@ -73,8 +77,8 @@ def pieces_of(text: str | None, size: int) -> Iterator[bytes]:
 
 
 def blocks(docs: DataFrame, size: int) -> DataFrame:
-    """block, langs, words (different ones by language) with their tags (which language) and counts, data: places and words
-    of all occurrences. docs: lang, text."""
+    """block, langs with the words of each (how many) and all their occurrences, words (different ones by language) with their
+    tags (which language) and counts, data: places and words of all occurrences. docs: lang, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, ids, tags, words = 0, [], [], []
@@ -84,15 +88,19 @@ def blocks(docs: DataFrame, size: int) -> DataFrame:
             whole = np.concatenate(ids)
             places = np.flatnonzero(whole >= 0).astype(np.int32)
             counts = np.bincount(whole[places], minlength=len(words))
+            sums = np.zeros(len(known), np.int64)
+            np.add.at(sums, tags, counts)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([list(known)], pa.list_(pa.string())),
+                    pa.array([np.bincount(tags, minlength=len(known))], pa.list_(pa.int64())),
+                    pa.array([sums], pa.list_(pa.int64())),
                     pa.array([tags], pa.list_(pa.int32())),
                     pa.array([words], pa.list_(pa.string())),
                     pa.array([counts], pa.list_(pa.int32())),
                     pa.array([shrunk(places, whole[places])], pa.binary()),
                 ],
-                names=["langs", "tags", "words", "counts", "data"],
+                names=["langs", "sizes", "sums", "tags", "words", "counts", "data"],
             )
 
         for part in slices(batches):
@@ -115,7 +123,8 @@ def blocks(docs: DataFrame, size: int) -> DataFrame:
         if words:
             yield made()
 
-    made = docs.mapInArrow(run, "langs array<string>, tags array<int>, words array<string>, counts array<int>, data binary")
+    lists = "langs array<string>, sizes array<long>, sums array<long>, tags array<int>, words array<string>, counts array<int>"
+    made = docs.mapInArrow(run, f"{lists}, data binary")
     return materialize(made.withColumn("block", F.monotonically_increasing_id()))
 
 
@@ -147,41 +156,124 @@ def unpacked(data: bytes, size: int, arrays: int) -> list[np.ndarray]:
     return [np.cumsum(first), *more]
 
 
-def with_groups(sums: DataFrame) -> DataFrame:
-    return materialize(sums.withColumn("group", F.monotonically_increasing_id()))
-
-
-def frequent_words(counted: DataFrame, least: int) -> DataFrame:
-    """The frequent words: lang, phrase, f, group. counted: block, at, n, lang, phrase."""
-    return with_groups(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least))
-
-
-def frequent_pairs(counted: DataFrame, least: int) -> DataFrame:
-    """The frequent pairs of groups: part, left, right, f, group. counted: as counted_pairs() gives it."""
-
-    def run(own: pd.DataFrame) -> pd.DataFrame:
-        arrays = [unpacked(data, size, 3) for data, size in zip(own["data"], own["size"])]
+def keys_of(row: pa.RecordBatch) -> pa.StringArray:
+    """The words of a block, each with its language behind a blank, which no word holds."""
+    langs, tags, words = (row[name].flatten() for name in ("langs", "tags", "words"))
+    return pc.binary_join_element_wise(words, langs.take(tags), " ")
+
+
+def dealt(block: int, part: np.ndarray, parts: int, rows) -> pa.RecordBatch:
+    """part, block, size, data: what a block sends each part. part: of each row. rows: the data of those at some places."""
+    order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+    sizes = np.bincount(part, minlength=parts)
+    to = np.flatnonzero(sizes)
+    ends = np.cumsum(sizes)[to]
+    data = [rows(order[end - size : end]) for size, end in zip(sizes[to], ends)]
+    columns = [pa.array(to, pa.int32()), pa.array(np.full(len(to), block)), pa.array(sizes[to], pa.int32()), pa.array(data, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["part", "block", "size", "data"])
+
+
+def answered(own: pa.Table, ids: np.ndarray, n: np.ndarray, named: list[np.ndarray], least: int, answers: bool) -> tuple[np.ndarray, np.ndarray, list]:
+    """Which ids are frequent in a part and how often they occur; and what the blocks that sent its rows are told: block, size,
+    data (names and groups of the frequent ones). ids, n, named: of each row."""
+    sums = np.zeros(ids.max() + 1, np.int64)
+    np.add.at(sums, ids, n)
+    some = np.flatnonzero(sums >= least)
+    groups = np.full(len(sums), -1, np.int64)
+    groups[some] = (own["part"][0].as_py() << 32) + np.arange(len(some))
+    groups = groups[ids]
+    told, end = [], 0
+    for block, size in zip(own["block"].to_pylist(), own["size"].to_pylist()) if answers else ():
+        begin, end = end, end + size
+        good = np.flatnonzero(groups[begin:end] >= 0) + begin
+        if len(good):
+            told.append((block, len(good), packed(*(names[good] for names in named), groups[good])))
+    return some, sums[some], told
+
+
+def frequent_groups(counted: DataFrame, names: dict[str, str], run) -> tuple[DataFrame, DataFrame]:
+    """The frequent groups: group, more, f; and what blocks are told of them: of (the block), size, data.
+
+    counted: what blocks sent the parts. names: more columns of a group and their types. run: values of these columns, f and the
+    answers of a part. A group's number is that of its part and its place there.
+    """
+    listed = {**names, "f": "long"}
+    kinds = {"string": pa.string(), "long": pa.int64()}
+    schema = pa.schema(
+        [("part", pa.int32()), ("of", pa.int64()), ("size", pa.int32()), ("data", pa.binary()), *((name, pa.list_(kinds[kind])) for name, kind in listed.items())]
+    )
+
+    def part(own: pa.Table) -> pa.Table:
+        # Rows come in any order: that of the blocks gives the same numbers again.
+        own = own.sort_by("block")
+        *columns, told = run(own)
+        at = own["part"][0].as_py()
+        rows = [{"part": at, **{name: column for name, column in zip(listed, columns)}}, *({"part": at, "of": of, "size": size, "data": data} for of, size, data in told)]
+        made = pa.Table.from_pylist(rows, schema)
+        del own, columns, told, rows
+        give_back()
+        return made
+
+    kinds_of = ", ".join(f"{name} array<{kind}>" for name, kind in listed.items())
+    whole = materialize(counted.groupBy("part").applyInArrow(part, f"part int, of long, size int, data binary, {kinds_of}"))
+    groups = whole.filter("of is null").select("part", F.posexplode(F.arrays_zip(*listed)).alias("at", "own"))
+    number = F.shiftleft(F.col("part").cast("long"), 32) + F.col("at")
+    groups = groups.select(number.alias("group"), *(F.col(f"own.{name}").alias(name) for name in listed))
+    return materialize(groups), whole.filter("of is not null").select("of", "size", "data")
+
+
+def frequent_words(counted: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """The frequent words: group, key, f; and what blocks are told: places in their words, and groups."""
+
+    def run(own: pa.Table) -> tuple:
+        at, n, sizes, texts = [], [], [], []
+        for data, size in zip(own["data"], own["size"].to_pylist()):
+            *numbers, text = unpacked_keys(data.as_py(), size)
+            for held, some in zip((at, n, sizes), numbers):
+                held.append(some)
+            texts.append(text)
+        at, n, sizes = (np.concatenate(held) for held in (at, n, sizes))
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+        keys = pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(texts))])
+        del texts
+        found = keys.dictionary_encode()
+        some, f, told = answered(own, found.indices.to_numpy(), n, [at], least, True)
+        return found.dictionary.take(pa.array(some)).to_pylist(), f, told
+
+    return frequent_groups(counted, {"key": "string"}, run)
+
+
+def frequent_pairs(counted: DataFrame, least: int, answers: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The frequent pairs of groups: group, left, right, f; and what blocks are told: left, right and group."""
+
+    def run(own: pa.Table) -> tuple:
+        arrays = [unpacked(data.as_py(), size, 3) for data, size in zip(own["data"], own["size"].to_pylist())]
         left, right, n = (np.concatenate(column) for column in zip(*arrays))
         del arrays
-        sums = pd.DataFrame({"left": left, "right": right, "f": n}).groupby(["left", "right"], as_index=False, sort=False).sum()
-        sums = sums[sums["f"] >= least]
-        sums.insert(0, "part", own["part"].iloc[0])
-        del left, right, n
-        give_back()
-        return sums
+        (first, lefts), (second, rights) = (pd.factorize(side) for side in (left, right))
+        ids, codes = pd.factorize(first * np.int64(len(rights)) + second)
+        del first, second
+        some, f, told = answered(own, ids, n, [left, right], least, answers)
+        codes = codes[some]
+        return lefts[codes // len(rights)], rights[codes % len(rights)], f, told
+
+    return frequent_groups(counted, {"left": "long", "right": "long"}, run)
+
 
-    return with_groups(counted.groupBy("part").applyInPandas(run, "part int, left long, right long, f long"))
+def released(df: DataFrame) -> None:
+    """Let Spark delete the shuffle and checkpoint files of tables no longer named: it does when the driver's JVM collects them,
+    which by itself can be after the last round."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
 
 
 def kept(places: np.ndarray, codes: np.ndarray, some: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, bytes]:
-    """Groups and data of a relation: the occurrences whose code is one of some, which ascend and have these groups."""
+    """Groups and data of a relation: the occurrences whose code is one of some, which differ and have these groups."""
     found = np.full(len(codes), -1, np.int32)
     if len(some):
-        some = some.astype(codes.dtype)
+        index = pd.Index(some.astype(codes.dtype))
         for at in range(0, len(codes), SPAN):
-            own = codes[at : at + SPAN]
-            near = np.minimum(np.searchsorted(some, own), len(some) - 1)
-            found[at : at + SPAN] = np.where(some[near] == own, near, -1)
+            found[at : at + SPAN] = index.get_indexer(codes[at : at + SPAN])
     good = found >= 0
     found = found[good]
     held = np.bincount(found, minlength=len(some)) > 0
@@ -193,7 +285,7 @@ def looked_up(rows: DataFrame, groups: DataFrame, codes, look_up) -> DataFrame:
     """block, groups, data (places and, for each, which of the groups): the occurrences of the frequent groups, sorted.
 
     All groups come as one row to where the rows lie. codes: places and codes of the occurrences in the data of a row.
-    look_up: codes, ascending, and groups of those that a row can hold.
+    look_up: codes and groups of those that a row can hold.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,75 +303,48 @@ def looked_up(rows: DataFrame, groups: DataFrame, codes, look_up) -> DataFrame:
     return materialize_texts(rows.crossJoin(F.broadcast(listed)).mapInArrow(run, "block long, groups array<long>, data binary"))
 
 
-def joined(rows: DataFrame, answers: DataFrame, run) -> DataFrame:
-    """The same by what every block is told. answers: of (the block), more. run: groups and data of a row and its answers."""
+def joined(rows: DataFrame, answers: DataFrame, arrays: int, run) -> DataFrame:
+    """The same by what every block is told. run: groups and data of a row and its answers, so many arrays."""
 
     def told(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        made = [(row.block, *run(row, answers)) for row in own.itertuples()]
-        del own, answers
+        found = [unpacked(data, size, arrays) for data, size in zip(answers["data"], answers["size"])]
+        found = [np.concatenate(column) for column in zip(*found)] if found else [np.zeros(0, np.int64)] * arrays
+        made = [(row.block, *run(row, *found)) for row in own.itertuples()]
+        del own, answers, found
         give_back()
         return pd.DataFrame(made, columns=["block", "groups", "data"])
 
     return materialize(rows.groupBy("block").cogroup(answers.groupBy("of")).applyInPandas(told, "block long, groups array<long>, data binary"))
 
 
-def words_kept(blocks: DataFrame, counted: DataFrame, groups: DataFrame) -> DataFrame:
+def words_kept(blocks: DataFrame, groups: DataFrame, answers: DataFrame) -> DataFrame:
     """The relation of the frequent words."""
 
     def look_up(row: pa.RecordBatch, listed: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
-        # No word holds a blank.
-        langs, tags, words = (row[name].flatten() for name in ("langs", "tags", "words"))
-        wanted = pc.binary_join_element_wise(listed.field("phrase"), listed.field("lang"), " ")
-        at = pc.index_in(pc.binary_join_element_wise(words, langs.take(tags), " "), value_set=wanted)
-        at = at.fill_null(-1).to_numpy()
+        at = pc.index_in(keys_of(row), value_set=listed.field("key")).fill_null(-1).to_numpy()
         some = np.flatnonzero(at >= 0)
         return some, listed.field("group").to_numpy()[at[some]]
 
-    def told(row, answers: pd.DataFrame) -> tuple[np.ndarray, bytes]:
-        answers = answers.sort_values("at")
-        return kept(*grown(row.data), answers["at"].to_numpy(), answers["group"].to_numpy())
-
-    groups = groups.select("lang", "phrase", "group")
     if groups.count() <= BROADCAST_GROUPS:
-        return looked_up(blocks.drop("counts"), groups, grown, look_up)
-    answers = counted.select(F.col("block").alias("of"), "at", "lang", "phrase").join(groups, ["lang", "phrase"])
-    return joined(blocks.select("block", "data"), answers.select("of", "at", "group"), told)
+        return looked_up(blocks.select("block", "langs", "tags", "words", "data"), groups.select("key", "group"), grown, look_up)
+    return joined(blocks.select("block", "data"), answers, 2, lambda row, at, group: kept(*grown(row.data), at, group))
 
 
-def pairs_kept(rows: DataFrame, counted: DataFrame, groups: DataFrame) -> DataFrame:
-    """The relation of the frequent pairs of groups. Beyond the bound a part answers each block with one row."""
+def pairs_kept(rows: DataFrame, groups: DataFrame, answers: DataFrame) -> DataFrame:
+    """The relation of the frequent pairs of groups."""
 
     def codes_of(own: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        own = pa.array(own)
-        left, right = (pc.index_in(pa.array(side), value_set=own).fill_null(-1).to_numpy() for side in (left, right))
+        index = pd.Index(own)
+        left, right = (index.get_indexer(side) for side in (left, right))
         both = (left >= 0) & (right >= 0)
-        some = left[both].astype(np.int64) << 32 | right[both]
-        order = np.argsort(some)
-        return some[order], group[both][order]
+        return left[both].astype(np.int64) << 32 | right[both], group[both]
 
     def look_up(row: pa.RecordBatch, listed: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
         return codes_of(row["groups"].flatten().to_numpy(), *(listed.field(name).to_numpy() for name in ("left", "right", "group")))
 
-    def answer(own: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
-        groups = groups[["left", "right", "group"]]
-        made = []
-        for block, data, size in zip(own["block"], own["data"], own["size"]):
-            left, right, _ = unpacked(data, size, 3)
-            found = pd.DataFrame({"left": left, "right": right}).merge(groups, on=["left", "right"])
-            made.append((block, len(found), packed(*(found[name].to_numpy() for name in groups))))
-        del own, groups
-        give_back()
-        return pd.DataFrame(made, columns=["of", "size", "data"])
-
-    def told(row, answers: pd.DataFrame) -> tuple[np.ndarray, bytes]:
-        arrays = [unpacked(data, size, 3) for data, size in zip(answers["data"], answers["size"])]
-        columns = [np.concatenate(column) for column in zip(*arrays)] if arrays else [np.zeros(0, np.int64)] * 3
-        return kept(*adjacent(row.data), *codes_of(np.array(row.groups, np.int64), *columns))
-
     if groups.count() <= BROADCAST_GROUPS:
         return looked_up(rows, groups.select("left", "right", "group"), adjacent, look_up)
-    both = counted.groupBy("part").cogroup(groups.select("part", "left", "right", "group").groupBy("part"))
-    return joined(rows, both.applyInPandas(answer, "of long, size int, data binary"), told)
+    return joined(rows, answers, 3, lambda row, *found: kept(*adjacent(row.data), *codes_of(np.array(row.groups, np.int64), *found)))
 
 
 def adjacent(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -292,6 +357,38 @@ def adjacent(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return places[:-1][next_to], codes
 
 
+def packed_keys(at: np.ndarray, n: np.ndarray, keys: pa.StringArray) -> bytes:
+    """Places, counts and texts: 8 bytes that tell the length of the numbers, the numbers, the texts."""
+    ends = np.frombuffer(keys.buffers()[1], np.int32, len(keys) + 1, 4 * keys.offset)
+    numbers = packed(at, n, np.diff(ends))
+    texts = keys.buffers()[2].slice(ends[0], ends[-1] - ends[0])
+    return len(numbers).to_bytes(8, "little") + numbers + pa.compress(texts, codec="zstd", asbytes=True)
+
+
+def unpacked_keys(data: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Places, counts, lengths of the texts, the texts in one."""
+    begin = 8 + int.from_bytes(data[:8], "little")
+    at, n, sizes = unpacked(data[8:begin], size, 3)
+    return at, n, sizes, pa.decompress(data[begin:], int(sizes.sum()), codec="zstd", asbytes=True)
+
+
+def counted_words(blocks: DataFrame, parts: int) -> DataFrame:
+    """part, block, size, data: the different words of every block (place among them, n, word and language), dealt by a hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                row = batch.slice(row, 1)
+                keys, n = keys_of(row), row["counts"].flatten().to_numpy()
+                part = np.fromiter((zlib.crc32(key) % parts for key in keys.cast(pa.binary()).to_pylist()), np.int64, len(keys))
+                yield dealt(row["block"][0].as_py(), part, parts, lambda some: packed_keys(some, n[some], keys.take(pa.array(some))))
+                del row, keys, n, part
+            del batch
+            give_back()
+
+    return blocks.select("block", "langs", "tags", "words", "counts").mapInArrow(run, "part int, block long, size int, data binary")
+
+
 def counted_pairs(rows: DataFrame, parts: int) -> DataFrame:
     """part, block, size, data: the different pairs of groups of every block (left, right, n), dealt by what they are."""
 
@@ -311,16 +408,9 @@ def counted_pairs(rows: DataFrame, parts: int) -> DataFrame:
                 mixed = (own.view(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
                 mixed ^= mixed >> np.uint64(29)
                 mixed = (mixed[codes >> 32] * np.uint64(0xBF58476D1CE4E5B9) + mixed[codes & 0xFFFFFFFF]) * np.uint64(0x94D049BB133111EB)
-                part = ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
-                order = np.argsort(part, kind="stable")
-                ends = np.cumsum(np.bincount(part, minlength=parts))
-                for at, (begin, end) in enumerate(zip([0, *ends[:-1]], ends)):
-                    if begin < end:
-                        some = codes[order[begin:end]]
-                        numbers = packed(own[some >> 32], own[some & 0xFFFFFFFF], n[order[begin:end]])
-                        columns = [pa.array([at], pa.int32()), pa.array([block.as_py()]), pa.array([end - begin], pa.int32()), pa.array([numbers])]
-                        yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "size", "data"])
-                del codes, firsts, n, mixed, part, order
+                part = ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+                yield dealt(block.as_py(), part, parts, lambda some: packed(own[codes[some] >> 32], own[codes[some] & 0xFFFFFFFF], n[some]))
+                del codes, firsts, n, mixed, part
             give_back()
 
     return rows.mapInArrow(run, "part int, block long, size int, data binary")
@@ -332,17 +422,20 @@ def frequent_phrases(
     """lang, phrase, words, f of every frequent phrase; and lang, n: all word occurrences."""
     slim = docs.select(F.coalesce(F.col(lang_col), F.lit(NO_LANG)).alias("lang"), F.col(text_col).alias("text"))
     whole = blocks(slim, block)
-    words = whole.select("block", "langs", F.posexplode(F.arrays_zip("tags", "words", "counts")).alias("at", "own"))
-    words = words.select("block", "at", F.get("langs", F.col("own.tags")).alias("lang"), F.col("own.words").alias("phrase"), F.col("own.counts").cast("long").alias("n"))
-    totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("n")))
-    groups = frequent_words(words, least)
-    rows = words_kept(whole, words, groups)
-    level = groups.select("lang", "phrase", F.lit(1).alias("words"), "f", "group")
+    sums = whole.select(F.explode(F.arrays_zip("langs", "sizes", "sums")).alias("own")).select("own.*").toDF("lang", "words", "n")
+    sums = materialize(sums.groupBy("lang").agg(F.sum("words").alias("words"), F.sum("n").alias("n")))
+    words = sums.agg(F.sum("words")).first()[0] or 0
+    groups, answers = frequent_words(counted_words(whole, words // WORDS + 1), least)
+    rows = words_kept(whole, groups, answers)
+    del whole, answers
+    released(rows)
+    # A key is a word, which holds no blank, a blank and a language.
+    phrase = F.substring_index("key", " ", 1)
+    level = groups.select(F.expr("substring(key, instr(key, ' ') + 1)").alias("lang"), phrase.alias("phrase"), F.lit(1).alias("words"), "f", "group")
     levels = [level]
     for length in range(2, most_words + 1):
         occurrences = groups.agg(F.sum("f")).first()[0] or 0
-        counted = counted_pairs(rows, occurrences // PART + 1)
-        groups = frequent_pairs(counted, least)
+        groups, answers = frequent_pairs(counted_pairs(rows, occurrences // PART + 1), least, length < most_words)
         left = level.select("lang", F.col("phrase").alias("head"), F.col("group").alias("left"))
         right = level.select(F.substring_index("phrase", " ", -1).alias("last"), F.col("group").alias("right"))
         level = materialize(
@@ -353,11 +446,13 @@ def frequent_phrases(
         levels.append(level)
         if length == most_words or level.isEmpty():
             break
-        rows = pairs_kept(rows, counted, groups)
+        rows = pairs_kept(rows, groups, answers)
+        del answers
+        released(rows)
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)
-    return found.drop("group"), totals
+    return found.drop("group"), sums.drop("words")
 
 
 def exact_score(a: str, n: str, left: str, right: str):

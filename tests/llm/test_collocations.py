@@ -3,12 +3,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edges import ROWS, edge_docs, stored
 from pyspark.sql import functions as F
 
 from snapmart.llm import collocations as operator
-from snapmart.llm.collocations import collocations, counted_pairs, exact_score, grown, packed, pieces_of, shrunk, tokens_of, unpacked
+from snapmart.llm.collocations import collocations, counted_pairs, exact_score, grown, packed, packed_keys, pieces_of, shrunk, tokens_of, unpacked, unpacked_keys
 
 UPPER = {code: code + 32 for code in range(65, 91)}
 
@@ -128,6 +129,36 @@ def test_few_groups_move_no_block(spark, tmp_path, monkeypatch):
         assert "BroadcastNestedLoopJoin" in plan and "HashJoin" not in plan and "Exchange hashpartitioning" not in plan
 
 
+def test_many_groups_are_counted_once(spark, tmp_path, monkeypatch):
+    """Beyond the broadcast the parts that counted answer the blocks: no counted rows are made, joined or sent a second time."""
+    plans = []
+
+    def seen(df):
+        plans.append(df)
+        return df.checkpoint(eager=True)
+
+    monkeypatch.setattr(operator, "materialize", seen)
+    monkeypatch.setattr(operator, "BROADCAST_GROUPS", 0)
+    rows = [("en", "a b c d e f g h")] * 40 + [("de", "..,,;\n" * 20)] * 9 + [(None, "a b. a b")] * 12
+    docs = stored(spark, spark.createDataFrame(rows, "lang string, text string").repartition(4), tmp_path)
+    assert fast(docs, least=10, block=30) == slow(rows, 10)
+    relations = [df for df in plans if df.columns == ["block", "groups", "data"]]
+    assert len(relations) == 4
+    for df in relations:
+        plan = df._jdf.queryExecution().toString()
+        plan = plan[plan.index("Physical Plan") :]
+        assert "FlatMapCoGroupsIn" in plan and "MapInArrow" not in plan and "Generate" not in plan and "MergeJoin" not in plan
+
+
+def test_words_travel_as_places_counts_and_texts():
+    for words in (["a en", "é\n b", "a ", " x"], []):
+        keys = pa.concat_arrays([pa.array(["before"]), pa.array(words, pa.string())])[1:]
+        at, n = np.arange(len(words)) * 3, np.arange(len(words)) + (1 << 33)
+        places, counts, sizes, text = unpacked_keys(packed_keys(at, n, keys), len(words))
+        assert places.tolist() == at.tolist() and counts.tolist() == n.tolist()
+        assert sizes.tolist() == [len(word.encode()) for word in words] and text == "".join(words).encode()
+
+
 def test_pairs_travel_in_a_few_bytes(spark):
     """A block sends each part one row, and all its pairs once."""
     rng = np.random.default_rng(1)
