@@ -262,7 +262,7 @@ def frequent_pairs(counted: DataFrame, least: int, answers: bool = True) -> tupl
 
 def released(df: DataFrame) -> None:
     """Let Spark delete the shuffle and checkpoint files of tables no longer named: it does when the driver's JVM collects them,
-    which by itself can be after the last round."""
+    which by itself can be after the last round. What a job before this call used may go with the next call only."""
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
 
@@ -436,6 +436,7 @@ def frequent_phrases(
     for length in range(2, most_words + 1):
         occurrences = groups.agg(F.sum("f")).first()[0] or 0
         groups, answers = frequent_pairs(counted_pairs(rows, occurrences // PART + 1), least, length < most_words)
+        released(rows)
         left = level.select("lang", F.col("phrase").alias("head"), F.col("group").alias("left"))
         right = level.select(F.substring_index("phrase", " ", -1).alias("last"), F.col("group").alias("right"))
         level = materialize(
